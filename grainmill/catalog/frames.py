@@ -73,16 +73,18 @@ def rates_sql(bands, rates) -> str:
 def doc_features(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with numeric features of their whole text."""
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    words = F.size(F.split("text", " "))
+    chars = F.greatest(F.length("text"), F.lit(1))
+    words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     counted = documents.select(
         "doc_id",
         "lang",
         "source",
         F.col("n_chars").cast("double").alias("n_chars"),
         words.cast("double").alias("n_words"),
-        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
-        (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"),
-        (F.length("text") / F.greatest(words, F.lit(1))).alias("word_length"),
+        (breaks + 1).cast("double").alias("n_lines"),
+        (F.regexp_count("text", F.lit("[0-9]")) / chars).alias("digit_share"),
+        (chars / words).alias("word_length"),
     )
     return counted.join(labels, "doc_id")
 

@@ -78,26 +78,21 @@ def table_rows(df: DataFrame, key: str, html: str, caption: str, cells: int = 6)
     `(key, table_no, row_no, header, cells)`: the header is the first `<th>`, the cells are the first
     `cells` `<td>` of the row; a missing one is "N/A", as on the page.
     """
-    found = df.select(col(key), F.posexplode(element_bodies(col(html), "table")).alias("table_no", "body")).filter(
+    absent = F.lit("N/A")
+    tables = df.select(col(key), F.posexplode(element_bodies(col(html), "table")).alias("table_no", "body")).filter(
         own_text(F.get(element_bodies(F.col("body"), "caption"), F.lit(0))).contains(caption)
     )
-    rows = found.select(
+    rows = tables.select(
         col(key),
         "table_no",
         F.posexplode(F.flatten(F.transform(element_bodies(F.col("body"), "tbody"), lambda b: element_bodies(b, "tr")))).alias(
             "row_no", "row"
         ),
     )
-    heads = element_bodies(F.col("row"), "th")
-    data = element_bodies(F.col("row"), "td")
-    cell = lambda array, i: F.coalesce(own_text(F.get(array, F.lit(i))), F.lit("N/A"))
-    return rows.select(
-        col(key),
-        "table_no",
-        "row_no",
-        cell(heads, 0).alias("header"),
-        F.array(*[cell(data, i) for i in range(cells)]).alias("cells"),
-    )
+    head = own_text(F.get(element_bodies(F.col("row"), "th"), F.lit(0)))
+    found = F.transform(F.slice(element_bodies(F.col("row"), "td"), 1, cells), lambda cell: F.coalesce(own_text(cell), absent))
+    padded = F.slice(F.concat(found, F.array_repeat(absent, cells)), 1, cells)
+    return rows.select(col(key), "table_no", "row_no", F.coalesce(head, absent).alias("header"), padded.alias("cells"))
 
 
 def table_rates(rows: DataFrame, key: str) -> DataFrame:

@@ -48,10 +48,14 @@ def nearest_distinct(vectors: DataFrame, k: int, block_rows: int = BLOCK_ROWS, p
         "vec", "cell", F.pmod(spread, "query_blocks").cast("int").alias("qb"), F.explode(_block_numbers("held_blocks")).alias("hb")
     )
     candidates = serving.join(F.broadcast(blocks), "cell").select(
-        "vec", "copies", "cell", F.explode(_block_numbers("query_blocks")).alias("qb"), F.pmod(spread, "held_blocks").cast("int").alias("hb")
+        F.col("vec").alias("held"),
+        F.col("copies").alias("held_copies"),
+        F.col("cell").alias("held_cell"),
+        F.explode(_block_numbers("query_blocks")).alias("held_qb"),
+        F.pmod(spread, "held_blocks").cast("int").alias("held_hb"),
     )
-    pair = ["cell", "qb", "hb"]
-    short = queries.groupBy(*pair).cogroup(candidates.groupBy(*pair)).applyInPandas(_block_neighbours(k), f"vec array<double>, near {NEAR}")
+    met = queries.groupBy("cell", "qb", "hb").cogroup(candidates.groupBy("held_cell", "held_qb", "held_hb"))
+    short = met.applyInPandas(_block_neighbours(k), f"vec array<double>, near {NEAR}")
     ranked = short.select("vec", F.explode("near").alias("one")).withColumn(
         "place", F.row_number().over(Window.partitionBy("vec").orderBy("one.distance", "one.vec"))
     )
@@ -122,8 +126,8 @@ def _block_neighbours(k: int):
     def nearest(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or held.empty:
             return pd.DataFrame({"vec": [], "near": []})
-        a, b = np.array(queries["vec"].tolist(), dtype=float), np.array(held["vec"].tolist(), dtype=float)
-        copies = held["copies"].to_numpy()
+        a, b = np.array(queries["vec"].tolist(), dtype=float), np.array(held["held"].tolist(), dtype=float)
+        copies = held["held_copies"].to_numpy()
         near = []
         for start in range(0, len(a), 512):
             part = a[start : start + 512]

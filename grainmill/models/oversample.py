@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from grainmill.functions.columns import col
 from grainmill.models.neighbours import nearest_distinct
 from grainmill.operators.sample import HASH_RANGE, sample_rows
+from grainmill.session import checkpoint_folder
 
 ROWS_PER_TASK_STEP = 10_000
 MAX_CLASSES = 1_000
@@ -49,6 +50,8 @@ def _synthetic(rows: DataFrame, features: Sequence[str], key: Sequence[str], wan
     if extra:
         draws = draws.unionAll(sample_rows(rows, extra, key, seed).select(vec, F.lit(0).alias("copy"), F.lit(1).cast("bigint").alias("draw")))
     vectors = draws.groupBy("vec").agg(F.sum("copy").alias("copies"), F.sum("draw").alias("draws"))
+    checkpoint_folder(rows.sparkSession)
+    vectors = vectors.checkpoint()  # read several times below
     near = nearest_distinct(vectors.select("vec", "copies"), k)
     neighbours = F.slice(
         F.concat(

@@ -90,7 +90,9 @@ def k_fold_search(
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=points, evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed
     )
-    fitted: CrossValidatorModel = search.fit(with_fold(train, folds, key, seed))
+    folded = with_fold(train, folds, key, seed).persist()  # read by every fit; spills to disk, rebuilt if an executor goes
+    fitted: CrossValidatorModel = search.fit(folded)
+    folded.unpersist()
     shown = [{p.name: v for p, v in point.items()} for point in points]
     return Search(fitted.bestModel, [float(m) for m in fitted.avgMetrics], shown, evaluator.isLargerBetter())
 

@@ -1,25 +1,29 @@
 """Exact quantiles, ranks and modes that hold at any size.
 
 `median`, `percentile` and `mode` as plain aggregates keep a map of all distinct values in the one
-task that finishes a global aggregate. Here that is done only behind a distinct-count check; columns
-beyond it are narrowed with a fixed-size sketch and exact counts until few values remain. Only a few
-numbers per column ever reach the driver.
+task that finishes a global aggregate. Here a fixed-size sketch proposes narrow intervals around the
+wanted ranks, one counting scan makes them exact, and only the few values strictly inside an
+interval are looked at one by one. No shuffle carries the values of a column.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import as_double, col
 
-MAX_DISTINCT = 1_000_000  # distinct values of one column that a single task may hold
-MAX_BAND = 100_000  # rows of the last narrow band that a single task may sort
 SKETCH_ACCURACY = 10_000
+MARGIN = 2.0  # distance of a splitter from a wanted rank, in rank errors of the sketch
+SMALL = 2_000  # rows of an interval that are read out without narrowing it first
+MAX_VALUES = 100_000  # rows inside all intervals together that may be read out
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], as_type: str | None = "double") -> DataFrame:
@@ -47,45 +51,34 @@ def distinct_estimates(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
 # --- quantiles ----------------------------------------------------------------------------------
 
 
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    approx: bool = False,
-    max_distinct: int = MAX_DISTINCT,
-) -> dict[str, list[float | None]]:
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], approx: bool = False) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, nulls and NaN left out; `[None, …]` for an empty column.
 
     `approx=True` takes the sketch's answer (an actual value, no interpolation) in one scan.
     """
     columns, probabilities = list(columns), [float(p) for p in probabilities]
-    if not columns:
-        return {}
+    if not columns or not probabilities:
+        return {c: [] for c in columns}
+    values = {c: as_double(df, c) for c in columns}
+    around = [(p, p) if approx else _around(p) for p in probabilities]
+    points = sorted({p for pair in around for p in pair})
+    row = df.agg(
+        *[F.count(values[c]) for c in columns],
+        *[F.percentile_approx(values[c], points, SKETCH_ACCURACY) for c in columns],
+    ).first()
+    sizes = dict(zip(columns, row))
+    sketched = {c: [(q[points.index(a)], q[points.index(b)]) for a, b in around] for c, q in zip(columns, row[len(columns) :]) if sizes[c]}
     if approx:
-        row = df.agg(
-            *[F.percentile_approx(as_double(df, c), probabilities, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)]
-        ).first()
-        return {c: list(q) if q is not None else [None] * len(probabilities) for c, q in zip(columns, row)}
-
-    estimate = distinct_estimates(df, columns)
-    narrow = [c for c in columns if estimate[c] <= max_distinct]
-    wide = [c for c in columns if estimate[c] > max_distinct]
-    found = {c: [None] * len(probabilities) for c in columns}
-    if narrow:
-        rows = quantiles_by_counts(df, narrow, probabilities).collect()
-        found.update({r["name"]: list(r["quantiles"]) for r in rows})
-    if wide:
-        found.update(_quantiles_by_rank(df, wide, probabilities))
-    return found
-
-
-def quantiles_by_counts(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """`(name, quantiles)` from the value counts; for columns with a bounded number of distinct values."""
-    return (
-        value_counts(df, columns)
-        .groupBy("name")
-        .agg(F.percentile("value", F.array(*[F.lit(p) for p in probabilities]), F.col("n")).alias("quantiles"))
-    )
+        return {c: [low for low, _ in sketched[c]] if sizes[c] else [None] * len(probabilities) for c in columns}
+
+    places = {c: [p * (sizes[c] - 1) for p in probabilities] if sizes[c] else [] for c in columns}
+    start = [_Interval(c, values[c], None, None, 0, sizes[c], {r for x in places[c] for r in (math.floor(x), math.ceil(x))}) for c in sketched]
+    at = _resolve(df, start, sketched)
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for c in sketched:
+        ends = [(at[c][math.floor(x)], at[c][math.ceil(x)], x - math.floor(x)) for x in places[c]]
+        result[c] = [low + (high - low) * part for low, high, part in ends]
+    return result
 
 
 def medians(df: DataFrame, columns: Sequence[str], approx: bool = False) -> dict[str, float | None]:
@@ -101,107 +94,166 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5, appro
     return bounds
 
 
-def _quantiles_by_rank(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
-    values = {c: as_double(df, c) for c in columns}
-    sizes = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    wanted: dict[str, list[int]] = {}
-    for c, n in zip(columns, sizes):
-        positions = [p * (n - 1) for p in probabilities] if n else []
-        wanted[c] = sorted({r for x in positions for r in (math.floor(x), math.ceil(x))})
-    at = ranked_values(df, {c: (values[c], wanted[c]) for c in columns})
-    result = {}
-    for c, n in zip(columns, sizes):
-        result[c] = []
-        for p in probabilities:
-            if not n:
-                result[c].append(None)
-                continue
-            x = p * (n - 1)
-            low, high = at[c][math.floor(x)], at[c][math.ceil(x)]
-            result[c].append(low + (high - low) * (x - math.floor(x)))
-    return result
+# --- exact ranks --------------------------------------------------------------------------------
 
+Pair = tuple[float | None, float | None]
+
+
+def ranked_values(df: DataFrame, wanted: dict[str, tuple[Column, Iterable[int]]]) -> dict[str, dict[int, float]]:
+    """The value at each 0-based rank of each double expression, exactly; ranks outside the rows are left out."""
+    sizes = df.agg(*[F.count(value) for value, _ in wanted.values()]).first()
+    start = [_Interval(c, value, None, None, 0, n, {r for r in ranks if 0 <= r < n}) for (c, (value, ranks)), n in zip(wanted.items(), sizes)]
+    return {c: {} for c in wanted} | _resolve(df, [i for i in start if i.ranks], {})
+
+
+@dataclass
+class _Interval:
+    """An open interval of values, the rows below and inside it, and the ranks looked for in it."""
+
+    name: str
+    value: Column
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+    ranks: set[int] = field(default_factory=set)
+
+    def holds(self) -> Column:
+        tests = [self.value.isNotNull()]
+        tests += [self.value > F.lit(self.low)] if self.low is not None else []
+        tests += [self.value < F.lit(self.high)] if self.high is not None else []
+        return reduce(Column.__and__, tests)
+
+
+def _around(share: float) -> tuple[float, float]:
+    return max(0.0, share - MARGIN / SKETCH_ACCURACY), min(1.0, share + MARGIN / SKETCH_ACCURACY)
 
-# --- exact ranks --------------------------------------------------------------------------------
+
+def _resolve(df: DataFrame, intervals: list[_Interval], sketched: dict[str, list[Pair]]) -> dict[str, dict[int, float]]:
+    """Values at ranks. `sketched` holds pairs of splitters already at hand for whole columns.
+
+    Each round counts the rows below and at every splitter. A rank falls on a splitter, which is the
+    answer, or strictly between two. By the sketch's error bound only about `6 / SKETCH_ACCURACY` of
+    an interval's rows lie strictly between a pair, however hot single values are: if these are few
+    they are read out in the same scan, otherwise they are the interval of the next round.
+    """
+    found: dict[str, dict[int, float]] = {i.name: {} for i in intervals}
+    while intervals:
+        limit = MAX_VALUES // len(intervals)
+        large = [i for i in intervals if i.inside > SMALL]
+        pairs = {id(i): sketched[i.name] for i in large if i.name in sketched} if sketched else {}
+        pairs |= _sketch(df, [i for i in large if id(i) not in pairs])
+        sketched = {}
+        scans: dict[str, _Scan] = {}
+        for i in intervals:
+            scan = scans.setdefault(i.name, _Scan(i.value))
+            small = i.inside <= SMALL
+            scan.splitters |= {e for e in (i.low, i.high) if e is not None}
+            scan.splitters |= set() if small else {e for pair in pairs[id(i)] for e in pair}
+            if small:
+                scan.read.append((i.low, i.high))
+            elif i.inside * 3 * MARGIN / SKETCH_ACCURACY <= limit / len(pairs[id(i)]):
+                scan.read += pairs[id(i)]
+        cells = _tally(df, scans)
+        intervals = [part for i in intervals for part in _located(i, scans[i.name], cells[i.name], found[i.name])]
+    return found
+
+
+def _sketch(df: DataFrame, intervals: list[_Interval]) -> dict[int, list[Pair]]:
+    """A pair of splitters around every rank of every interval."""
+    if not intervals:
+        return {}
+    around = [[_around((r - i.below + 0.5) / i.inside) for r in sorted(i.ranks)] for i in intervals]
+    asked = [F.percentile_approx(F.when(i.holds(), i.value), [e for pair in pairs for e in pair], SKETCH_ACCURACY) for i, pairs in zip(intervals, around)]
+    return {id(i): list(zip(points[::2], points[1::2])) for i, points in zip(intervals, df.agg(*asked).first())}
 
 
 @dataclass
-class _Band:
-    """The open interval that still holds one wanted rank."""
+class _Scan:
+    """What one column is counted by, and the intervals whose values are read out."""
 
     value: Column
-    rank: int
-    low: float | None = None
-    high: float | None = None
-    below: int = 0  # rows <= low
-    inside: int = 0  # rows strictly between low and high
-    answer: float | None = None
-
-    def member(self) -> Column:
-        test = self.value.isNotNull()
-        if self.low is not None:
-            test = test & (self.value > F.lit(self.low))
-        if self.high is not None:
-            test = test & (self.value < F.lit(self.high))
-        return test
-
-
-def ranked_values(
-    df: DataFrame, wanted: dict[str, tuple[Column, Iterable[int]]], max_band: int = MAX_BAND
-) -> dict[str, dict[int, float]]:
-    """The value at each 0-based rank of each double expression, exactly.
-
-    Every round takes two sketch points around each rank inside its band and counts the rows on
-    both sides, so a band shrinks by about `SKETCH_ACCURACY / 4` per round and an endpoint that is a
-    hot value is either the answer or excluded. A band of at most `max_band` rows is sorted at once.
+    splitters: set[float] = field(default_factory=set)
+    read: list[Pair] = field(default_factory=list)
+
+    def points(self) -> list[float]:
+        return sorted(self.splitters)
+
+    def cells_read(self) -> list[int]:
+        """Open cells (numbered 2k below splitter k) that lie in an interval to be read out."""
+        points = self.points()
+        edges = [-math.inf, *points, math.inf]
+        wanted = [(-math.inf if low is None else low, math.inf if high is None else high) for low, high in self.read]
+        return [2 * k for k in range(len(points) + 1) if any(low <= edges[k] and edges[k + 1] <= high for low, high in wanted)]
+
+
+def _tally(df: DataFrame, scans: dict[str, _Scan]) -> dict[str, dict[int, tuple[int, list]]]:
+    """`{column: {cell: (rows, sorted (value, rows) pairs of a cell read out)}}` in one scan of the columns.
+
+    Tasks count whole Arrow batches by binary search and hand over one row per occupied cell.
     """
-    names = list(wanted)
-    sizes = df.agg(*[F.count(wanted[c][0]).alias(f"n{i}") for i, c in enumerate(names)]).first()
-    total = dict(zip(names, sizes))
-    bands = {(c, r): _Band(wanted[c][0], r, inside=total[c]) for c in names for r in wanted[c][1] if 0 <= r < total[c]}
-    while pending := [b for b in bands.values() if b.answer is None and b.inside > max_band]:
-        _narrow(df, pending)
-    last = [b for b in bands.values() if b.answer is None]
-    if last:
-        row = df.agg(
-            *[F.get(F.sort_array(F.collect_list(F.when(b.member(), b.value))), F.lit(b.rank - b.below)) for b in last]
-        ).first()
-        for b, answer in zip(last, row):
-            b.answer = answer
-    result: dict[str, dict[int, float]] = {c: {} for c in names}
-    for (c, r), b in bands.items():
-        result[c][r] = b.answer
+    names = list(scans)
+    points = [np.array(scans[c].points(), dtype=float) for c in names]
+    read = [np.array(scans[c].cells_read(), dtype=int) for c in names]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [np.zeros(2 * len(p) + 1, dtype=np.int64) for p in points]
+        kept: list[list[np.ndarray]] = [[] for _ in points]
+        for batch in batches:
+            for i, splitters in enumerate(points):
+                x = batch.column(i).to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)]
+                cell = np.searchsorted(splitters, x, "left") + np.searchsorted(splitters, x, "right")
+                rows[i] += np.bincount(cell, minlength=len(rows[i]))
+                kept[i].append(x[np.isin(cell, read[i])])
+        for i, splitters in enumerate(points):
+            filled = np.flatnonzero(rows[i])
+            value, times = np.unique(np.concatenate([np.empty(0), *kept[i]]), return_counts=True)
+            cell = 2 * np.searchsorted(splitters, value, "left")
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "column": np.full(len(filled) + len(value), i, dtype=np.int32),
+                    "cell": np.concatenate([filled, cell]).astype(np.int32),
+                    "value": pa.array(np.concatenate([np.zeros(len(filled)), value]), mask=np.arange(len(filled) + len(value)) < len(filled)),
+                    "n": np.concatenate([rows[i][filled], times]).astype(np.int64),
+                }
+            )
+
+    counted = df.select(*[scans[c].value.alias(f"v{i}") for i, c in enumerate(names)]).mapInArrow(count, "column int, cell int, value double, n bigint")
+    by_cell = counted.groupBy("column", "cell").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("n"),
+        F.sort_array(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("value", "n")))).alias("inside"),
+    )
+    result: dict[str, dict[int, tuple[int, list]]] = {c: {} for c in names}
+    by_cell = by_cell.select("column", "cell", "n", F.col("inside.value").alias("values"), F.col("inside.n").alias("times"))
+    for column, cell, n, values, times in by_cell.collect():  # one row per cell
+        result[names[column]][cell] = (n, list(zip(values, times)))
     return result
 
 
-def _narrow(df: DataFrame, bands: list[_Band]) -> None:
-    margin = 2.0 / SKETCH_ACCURACY
-    points = []
-    for b in bands:
-        share = (b.rank - b.below + 0.5) / b.inside
-        around = [max(0.0, share - margin), min(1.0, share + margin)]
-        points.append(F.percentile_approx(F.when(b.member(), b.value), around, SKETCH_ACCURACY))
-    ends = df.agg(*points).first()
-    counts = df.agg(
-        *[
-            F.count_if(test)
-            for b, (low, high) in zip(bands, ends)
-            for test in (b.value < F.lit(low), b.value <= F.lit(low), b.value < F.lit(high), b.value <= F.lit(high))
-        ]
-    ).first()
-    for i, (b, (low, high)) in enumerate(zip(bands, ends)):
-        under_low, to_low, under_high, to_high = counts[4 * i : 4 * i + 4]
-        if b.rank < under_low:
-            b.high, b.inside = low, under_low - b.below
-        elif b.rank < to_low:
-            b.answer = low
-        elif b.rank < under_high:
-            b.low, b.high, b.below, b.inside = low, high, to_low, under_high - to_low
-        elif b.rank < to_high:
-            b.answer = high
-        else:
-            end = b.below + b.inside
-            b.low, b.below, b.inside = high, to_high, end - to_high
+def _located(interval: _Interval, scan: _Scan, cells: dict[int, tuple[int, list]], answers: dict[int, float]) -> list[_Interval]:
+    """Answers for ranks on a splitter or in a cell read out; the others as narrower intervals."""
+    points, readable = scan.points(), set(scan.cells_read())
+    narrower: dict[int, _Interval] = {}
+    ranks, below = sorted(interval.ranks), 0
+    for cell, (n, inside) in sorted(cells.items()):
+        k = cell // 2
+        for r in [r for r in ranks if below <= r < below + n]:
+            if cell % 2:
+                answers[r] = points[k]
+            elif cell in readable:
+                upto = below
+                for value, times in inside:
+                    upto += times
+                    if r < upto:
+                        answers[r] = value
+                        break
+            else:
+                low, high = (points[k - 1] if k else None), (points[k] if k < len(points) else None)
+                part = narrower.setdefault(cell, _Interval(interval.name, interval.value, low, high, below, n))
+                part.ranks.add(r)
+        below += n
+    return list(narrower.values())
 
 
 # --- modes --------------------------------------------------------------------------------------
