@@ -118,7 +118,8 @@ def train_and_evaluate(
     """Search on train, score test, and build the metrics report of the best model."""
     search = k_fold_search(estimator, points, train, label, key, folds, **options)
     search.predictions = score(search.model, test)
-    search.counts = confusion(search.predictions, label)
+    counted = confusion(search.predictions, label)
+    search.counts = train.sparkSession.createDataFrame(counted.collect(), counted.schema)  # classes squared; test is scored once
     search.report = metrics_report(search.counts, name, search.best_params, search.best_score, feature_set)
     return search
 
@@ -160,6 +161,7 @@ def compare(
 
     Each entry of `models` builds an estimator and its grid for a list of feature columns.
     """
+    train, test = train.persist(), test.persist()  # read by every fit; spills to disk, rebuilt if an executor goes
     table = None
     for features, (name, build) in product(feature_sets, models.items()):
         estimator, points = build([*base_features, *features.columns])
@@ -168,6 +170,7 @@ def compare(
         )
         rows = search.report.filter("metric = 'accuracy'").select("model", "feature_set", F.col("value").alias("accuracy"))
         table = rows if table is None else table.unionAll(rows)
+    train.unpersist(), test.unpersist()
     return table
 
 

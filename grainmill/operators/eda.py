@@ -61,9 +61,9 @@ def _edges(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, tuple[
 
 
 def _bin(x: Column, edge: tuple[float, float], bins: int) -> Column:
-    """Bin number from 0; the last bin is closed on the right."""
+    """Bin number from 0, null for null (`least` alone would skip it); the last bin is closed on the right."""
     start, width = edge
-    return F.least(F.floor((x - F.lit(start)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
+    return F.when(x.isNotNull(), F.least(F.floor((x - F.lit(start)) / F.lit(width)), F.lit(bins - 1))).cast("bigint")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
