@@ -53,14 +53,28 @@ def element_bodies(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
 
 
+def first_body(html: Column, tag: str) -> Column:
+    """Inner HTML of the first `<tag>` element, '' without one; reads no further than that."""
+    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
+
+
 def strip_tags(html: Column) -> Column:
     return unescape(F.regexp_replace(html, "<[^>]*>", ""))
 
 
-def own_text(html: Column) -> Column:
-    """First text node that belongs to the element itself, trimmed; null if there is none."""
-    outside = F.split(F.regexp_replace(html, r"(?is)<(\w+)\b[^>]*>.*?</\1>|<[^>]*>", "\u0001"), "\u0001")
-    return F.trim(unescape(F.get(F.filter(outside, lambda piece: F.trim(piece) != ""), F.lit(0))))
+def own_texts(bodies: Column) -> Column:
+    """First text node that belongs to each element itself, trimmed; '' if there is none.
+
+    One step per `transform`: inside a lambda a sub-expression used twice is computed twice.
+    """
+    nested = r"(?is)<(\w+)\b[^>]*>.*?</\1>|<[^>]*>"
+    pieces = F.transform(bodies, lambda body: F.split(F.regexp_replace(body, nested, "\u0001"), "\u0001"))
+    first = F.transform(pieces, lambda parts: F.get(F.filter(parts, lambda piece: F.trim(piece) != ""), F.lit(0)))
+    return F.transform(first, lambda text: F.coalesce(F.trim(unescape(text), F.lit(" \t\r\n")), F.lit("")))
+
+
+def own_text(body: Column) -> Column:
+    return F.get(own_texts(F.array(body)), F.lit(0))
 
 
 def list_items(df: DataFrame, key: str, html: str, matching: str | None = None) -> DataFrame:
@@ -80,7 +94,7 @@ def table_rows(df: DataFrame, key: str, html: str, caption: str, cells: int = 6)
     """
     absent = F.lit("N/A")
     tables = df.select(col(key), F.posexplode(element_bodies(col(html), "table")).alias("table_no", "body")).filter(
-        own_text(F.get(element_bodies(F.col("body"), "caption"), F.lit(0))).contains(caption)
+        own_text(first_body(F.col("body"), "caption")).contains(caption)
     )
     rows = tables.select(
         col(key),
@@ -89,10 +103,13 @@ def table_rows(df: DataFrame, key: str, html: str, caption: str, cells: int = 6)
             "row_no", "row"
         ),
     )
-    head = own_text(F.get(element_bodies(F.col("row"), "th"), F.lit(0)))
-    found = F.transform(F.slice(element_bodies(F.col("row"), "td"), 1, cells), lambda cell: F.coalesce(own_text(cell), absent))
-    padded = F.slice(F.concat(found, F.array_repeat(absent, cells)), 1, cells)
-    return rows.select(col(key), "table_no", "row_no", F.coalesce(head, absent).alias("header"), padded.alias("cells"))
+    heads = own_texts(F.array(first_body(F.col("row"), "th")))
+    found = own_texts(F.slice(element_bodies(F.col("row"), "td"), 1, cells))
+    named = rows.select(col(key), "table_no", "row_no", F.concat(heads, found).alias("texts"))
+    shown = F.transform("texts", lambda text: F.when(text == "", absent).otherwise(text))
+    padded = F.slice(F.concat(shown, F.array_repeat(absent, cells)), 1, cells + 1)
+    whole = named.select(col(key), "table_no", "row_no", padded.alias("texts"))
+    return whole.select(col(key), "table_no", "row_no", F.get("texts", F.lit(0)).alias("header"), F.slice("texts", 2, cells).alias("cells"))
 
 
 def table_rates(rows: DataFrame, key: str) -> DataFrame:

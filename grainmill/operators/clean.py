@@ -38,20 +38,22 @@ def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.na.fill(values)
 
 
-def replace_out_of_range(df: DataFrame, ranges: dict[str, tuple[float | None, float | None]], refit: bool = True, approx: bool = False) -> DataFrame:
+def replace_out_of_range(
+    df: DataFrame, ranges: dict[str, tuple[float | None, float | None]], refit: bool = True, approx: bool = False, fill: Sequence[str] = ()
+) -> DataFrame:
     """Values below the low or above the high end become the median; then nulls do too.
 
     `refit` takes a new median after the replacement for the nulls, otherwise the first one is used
-    for both. All columns share the jobs.
+    for both. The columns of `fill` only get their nulls filled. All columns share the jobs.
     """
-    first = medians(df, list(ranges), approx)
-    repaired = {}
+    first = medians(df, [*ranges, *fill], approx)
+    repaired = {c: F.coalesce(as_double(df, c), F.lit(first[c])) for c in fill if first[c] is not None}
     for c, (low, high) in ranges.items():
         x = as_double(df, c)
         tests = ([x < F.lit(low)] if low is not None else []) + ([x > F.lit(high)] if high is not None else [])
         repaired[c] = F.when(reduce(Column.__or__, tests), F.lit(first[c])).otherwise(x) if tests else x
     df = add_columns(df, repaired)
-    last = medians(df, list(ranges), approx) if refit else first
+    last = medians(df, list(ranges), approx) if refit else {c: first[c] for c in ranges}
     return add_columns(df, {c: F.coalesce(col(c), F.lit(m)) for c, m in last.items() if m is not None})
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.columns import col, mean_of_available
 from grainmill.operators.bands import add_rate
-from grainmill.operators.clean import cap_columns, fill_constant, fill_from, fill_median, fill_mode, replace_out_of_range, round_columns
+from grainmill.operators.clean import cap_columns, fill_constant, fill_from, fill_mode, replace_out_of_range, round_columns
 from grainmill.operators.rows import first_rows, keep_columns, keep_range, lenient_numeric
 
 # The kept columns and the limits of the cleaning rules.
@@ -29,14 +29,13 @@ def clean_clinical(
     """Modes, range repair, medians, capped flags, slope mode, age filter, rates, smoking fill, rounding.
 
     `row_order` keeps the first valid rows in that order. Rate tables are `(lo, hi, group, rate)`.
-    Independent statistics share jobs: modes of the binary columns and slope, then the medians.
+    Independent statistics share jobs: modes of the binary columns and slope, then all first medians.
     """
     if row_order is not None:
         df = first_rows(df, VALID_ROWS, row_order)
     df = keep_columns(df, *KEPT_COLUMNS)
     df = fill_mode(df, *MODE_COLUMNS, "slope")
-    df = replace_out_of_range(df, RANGES, refit=refit)
-    df = fill_median(df, *MEDIAN_COLUMNS)
+    df = replace_out_of_range(df, RANGES, refit=refit, fill=MEDIAN_COLUMNS)
     df = fill_constant(cap_columns(df, 1, *FLAG_COLUMNS), {c: 0 for c in FLAG_COLUMNS})
     df = lenient_numeric(df, "age")
     if age_filter:
