@@ -68,9 +68,13 @@ def own_texts(bodies: Column) -> Column:
     One step per `transform`: inside a lambda a sub-expression used twice is computed twice.
     """
     nested = r"(?is)<(\w+)\b[^>]*>.*?</\1>|<[^>]*>"
-    pieces = F.transform(bodies, lambda body: F.split(F.regexp_replace(body, nested, "\u0001"), "\u0001"))
-    first = F.transform(pieces, lambda parts: F.get(F.filter(parts, lambda piece: F.trim(piece) != ""), F.lit(0)))
-    return F.transform(first, lambda text: F.coalesce(F.trim(unescape(text), F.lit(" \t\r\n")), F.lit("")))
+
+    def pieces(body: Column) -> Column:
+        outside = F.split(F.regexp_replace(body, nested, "\u0001"), "\u0001")
+        return F.when(body.contains("<"), F.get(F.filter(outside, lambda piece: F.trim(piece) != ""), F.lit(0))).otherwise(body)
+
+    decoded = F.transform(F.transform(bodies, pieces), lambda text: F.when(text.contains("&"), unescape(text)).otherwise(text))
+    return F.transform(decoded, lambda text: F.coalesce(F.trim(text, F.lit(" \t\r\n")), F.lit("")))
 
 
 def own_text(body: Column) -> Column:
