@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
 from grainmill.llm.staging import table
+from grainmill.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,3 +29,40 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+#: A document counts as toxic from this score on.
+TOXIC = 0.7
+
+
+def toxicity_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The labels that may be learnt from, as `(id, label)`."""
+    labels = table(spark, folder, "labels").where(~_held_out())
+    return labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label"))
+
+
+def _held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, toxicity_labels(spark, folder))
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "toxic_spans"
+    )
+
+
+#: A document counts as good from this score on.
+GOOD = 0.5
+
+
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs))
+    return scored.select(
+        "doc_id", F.col("quality_score").alias("score"), (F.col("quality_score") >= GOOD).cast("int").alias("predicted")
+    )

@@ -220,4 +220,5 @@ def near_duplicates(
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
     named = linked.join(smallest, "root").select("fp", "smallest")
     classes = least.join(named, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
+    classes = stored(classes, "classes")  # with plain shuffles below the join, adaptive execution can split a hot fingerprint
     return made.join(classes, "fp").select("id", "fp", "component_id")
