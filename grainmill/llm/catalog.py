@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm.packing import pack
 from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
 from grainmill.llm.staging import table
@@ -66,3 +68,11 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", F.col("quality_score").alias("score"), (F.col("quality_score") >= GOOD).cast("int").alias("predicted")
     )
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
