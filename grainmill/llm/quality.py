@@ -8,10 +8,9 @@ of the whole text, which also judges documents on which no labeller votes.
 
 from __future__ import annotations
 
-import re
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,24 +31,64 @@ GAIN = 10.0
 SLACK = 20
 
 
-def shape(word: str) -> str:
-    """Letters as a or A, digits as 0, runs cut to two: `Thou12***` gives `Aaa00**`."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return re.sub(r"(.)\1\1+", r"\1\1", kinds)
-
-
 #: What is known of a word.
 ATTRIBUTES = ("letters", "capitals", "chars", "symbols", "doubled_mark", "only_symbols", "clause_end", "short", "natural")
+LOWER, UPPER, DIGIT, MARK, CLAUSE, SYMBOL = range(6)
+
 
+@functools.cache
+def _classes() -> np.ndarray:
+    """The class of each code point."""
+    out = np.full(0x110000, SYMBOL, np.uint8)
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isalnum():
+            out[i] = UPPER if c.isupper() else LOWER if c.isalpha() else DIGIT
+    out[[ord(c) for c in "'\"()-"]] = MARK
+    out[[ord(c) for c in ".,;:!?"]] = CLAUSE
+    return out
 
-def _attributes(word: str) -> list[float]:
-    letters = sum(map(str.isalpha, word))
-    capitals = sum(map(str.isupper, word))
-    symbols = sum(not c.isalnum() and c not in ".,;:!?'\"()-" for c in word)
-    doubled = len(word) > 2 and not word[-1].isalnum() and word[-1] == word[-2]
-    stem = word[:-1] if word[-1] in ".,;:!?" else word
-    natural = stem.isalpha() and (capitals <= 1 or len(stem) == 1)
-    return [letters, capitals, len(word), symbols, doubled, symbols == len(word), len(stem) < len(word) and not doubled, 0 < letters <= 3, natural]
+
+def describe(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The attributes of words, and a hash of their shapes: letters as a or A, digits as 0, runs of one kind cut to two.
+
+    `Thou12***` has the shape `Aaa00**`.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    kinds = _classes()[points]
+    ends = np.cumsum(lengths)
+    starts, final = ends - lengths, ends - 1
+
+    def total(where):
+        return np.add.reduceat(where.astype(np.int64), starts)
+
+    capitals, symbols = total(kinds == UPPER), total(kinds == SYMBOL)
+    letters = total(kinds == LOWER) + capitals
+    doubled = (lengths > 2) & (kinds[final] > DIGIT) & (points[final] == points[final - 1])
+    stem = lengths - (kinds[final] == CLAUSE)
+    attributes = [
+        letters,
+        capitals,
+        lengths,
+        symbols,
+        doubled,
+        symbols == lengths,
+        (kinds[final] == CLAUSE) & ~doubled,
+        (letters > 0) & (letters <= 3),
+        (letters == stem) & (stem > 0) & ((capitals <= 1) | (stem == 1)),
+    ]
+    own = np.where(kinds <= DIGIT, kinds, points + 8).astype(np.uint64)
+    same = np.append(False, own[1:] == own[:-1])
+    same[starts] = False
+    kept = ~(same & np.append(False, same[:-1]))
+    kept[starts] = True
+    upto = np.append(0, np.cumsum(kept))
+    place = upto[:-1] - np.repeat(upto[starts], lengths)
+    powers = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
+    parts = np.where(kept, (own + np.uint64(1)) * powers[place & 63], np.uint64(0))
+    shapes = np.add.reduceat(parts, starts)
+    return np.stack(attributes, axis=1).astype(np.float32), (shapes >> np.uint64(33)).astype(np.int64)
 
 
 @dataclass
@@ -85,9 +124,9 @@ class Reader:
             rows = [r for r in text.split("\n") if r.strip()]
             lines.append(1 - len(set(rows)) / len(rows) if rows else 0.0)
         if self.known.fresh:
-            fresh = self.known.fresh
-            self.attributes = np.concatenate((self.attributes, np.array([_attributes(w) for w in fresh], np.float32)))
-            self.shapes = np.concatenate((self.shapes, [crc32(shape(w).encode("utf-8", "surrogatepass")) for w in fresh])).astype(np.int64)
+            attributes, shapes = describe(self.known.fresh)
+            self.attributes = np.concatenate((self.attributes, attributes))
+            self.shapes = np.concatenate((self.shapes, shapes))
             self.known.fresh = []
         n = np.fromiter(map(len, parts), np.int64, len(parts))
         codes = np.concatenate(parts) if parts else np.zeros(0, np.int64)
