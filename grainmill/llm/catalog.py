@@ -14,6 +14,7 @@ from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
 from grainmill.llm.staging import table
 from grainmill.llm.toxicity import fit_toxicity, score_toxicity
+from grainmill.llm.url_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +90,37 @@ def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: The rules of the query: action, host, path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op5_url_rules"] = r"""
+WITH parts AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages),
+rules(action, rhost, rpath) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+numbered AS (SELECT row_number() OVER () AS i, * FROM parts),
+fitting AS (
+  SELECT i, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(action, length(rhost || rpath)) AS action
+  FROM numbered JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY i)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM numbered LEFT JOIN fitting USING (i)
+"""
