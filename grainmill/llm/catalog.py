@@ -13,6 +13,7 @@ from grainmill.llm.piece_ids import encode_pieces
 from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
 from grainmill.llm.staging import table
+from grainmill.llm.token_counts import count_tokens, read_pieces
 from grainmill.llm.toxicity import fit_toxicity, score_toxicity
 from grainmill.llm.url_rules import judge
 
@@ -124,3 +125,10 @@ fitting AS (
   GROUP BY i)
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM numbered LEFT JOIN fitting USING (i)
 """
+
+
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, read_pieces(public_tokenizers.path("word_bpe_49k.json")))
+    return counted.select("doc_id", "n_words", "n_tokens")

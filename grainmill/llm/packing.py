@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.batches import in_chunks
 from grainmill.llm.staging import stored
-from grainmill.llm.word_ids import WordEncoder
+from grainmill.llm.word_ids import word_encoder
 
 DIMS = 3
 BUCKETS = 1024
@@ -70,7 +70,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
     """`(id, curve, ids)`: the key on the curve and the ids as little-endian unsigned 32-bit numbers, `end_id` last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, onto = WordEncoder(tokenizer), projection()
+        encoder, onto = word_encoder(tokenizer), projection()
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for part in in_chunks(texts):

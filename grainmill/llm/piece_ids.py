@@ -6,6 +6,7 @@ spaces, where no piece crosses, so each distinct stretch is merged once, all new
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -19,6 +20,8 @@ from grainmill.llm.merges import MergeTable, ranges
 SPACE = "▁"  # the mark that pieces have for a space
 STRETCH = re.compile(" *[^ ]+| +")
 CODE_POINTS = 0x110000
+#: The text's name on its way to the tasks.
+TEXT = "__text"
 
 
 class PieceModel:
@@ -163,6 +166,12 @@ class PieceModel:
         return "".join(out)
 
 
+@functools.lru_cache(2)
+def piece_model(path: str) -> PieceModel:
+    """The model of this process: what one task has learnt, the next one of the same worker knows."""
+    return PieceModel(path)
+
+
 def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
     """The columns of `docs` but the text, with `ids` (little-endian unsigned 32-bit numbers, begin and end ids
     included) and, if `decoded`, the text that decoding these ids gives. A null or empty text has the begin and
@@ -174,7 +183,7 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", decoded:
     schema = field_list(others.schema) + ", ids binary" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceModel(model)
+        pieces = piece_model(model)
         for batch in batches:
             texts = [x or "" for x in batch.column(batch.num_columns - 1).to_pylist()]
             for part in in_chunks(texts):
@@ -190,17 +199,13 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", decoded:
     return rows.mapInArrow(run, schema)
 
 
-#: The text's name on its way to the tasks.
-TEXT = "__text"
-
-
 def decode_pieces(df: DataFrame, model: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
     """The columns of `df` with the text of each row's ids (as `encode_pieces` gives them); null ids decode to an empty text."""
     kept = df.drop(into)
     at = kept.columns.index(ids_col)
 
     def run(batches):
-        pieces = PieceModel(model)
+        pieces = piece_model(model)
         for batch in batches:
             raw = [x or b"" for x in batch.column(at).to_pylist()]
             sizes = np.fromiter((len(x) // 4 for x in raw), np.int64, len(raw))

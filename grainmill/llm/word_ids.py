@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 
@@ -116,3 +117,9 @@ class WordEncoder:
                 parts[i], sizes[i] = np.array(own, np.uint32), len(own)
             ids = np.concatenate(parts)
         return ids, sizes
+
+
+@functools.lru_cache(2)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of this process: what one task has learnt, the next one of the same worker knows."""
+    return WordEncoder(path)
