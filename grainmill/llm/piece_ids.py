@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from grainmill.llm.batches import Words, field_list, in_chunks
 from grainmill.llm.merges import MergeTable, ranges
@@ -179,7 +180,8 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", decoded:
     """
     added = ["ids", *["decoded"] * decoded]
     others = docs.drop(text_col, *added)
-    rows = others.withColumn(TEXT, docs[text_col])
+    rows = docs.select(*[F.col(f"`{c}`") for c in others.columns], F.col(f"`{text_col}`").alias(TEXT))
+    names = [*others.columns, *added]
     schema = field_list(others.schema) + ", ids binary" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +196,7 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", decoded:
                 columns.append(pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()))
                 if decoded:
                     columns.append(pa.array(pieces.decode(ids, sizes), pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*others.columns, *added])
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path).withMetadata(df.columns[0], {"stored": path})
 
 

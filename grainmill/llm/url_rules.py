@@ -65,8 +65,8 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
 
     new = ("host", "path", "rule", "verdict")
     kept = pages.drop(*new)
-    url = F.coalesce(F.col("__url"), F.lit(""))
-    whole_pages = kept.withColumn("__url", F.coalesce(pages[url_col].cast("string"), F.lit("")))
+    url = F.col("__url")
+    whole_pages = pages.select(*[F.col(f"`{c}`") for c in kept.columns], F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("__url"))
     parts = whole_pages.select("__url").distinct().select("__url", host_of(url).alias("host"), path_of(url).alias("path"))
 
     labels = F.split("host", r"\.")
