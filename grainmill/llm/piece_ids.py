@@ -77,6 +77,8 @@ class PieceModel:
         for b, i in enumerate(bytes_at):
             self.raw[i] = bytes([b])
         self.raw_sizes = np.array([len(x) for x in self.raw], np.int64)
+        self.spaced = np.zeros(n, bool)
+        self.spaced[[i for i in plain if pieces[i].startswith(SPACE)]] = True
         self.is_byte = np.zeros(n, bool)
         self.is_byte[bytes_at] = True
         self._forget()
@@ -141,7 +143,7 @@ class PieceModel:
             except UnicodeDecodeError:
                 text = self._mended(ids[a:b])
             bare = ids[a:b][self.raw_sizes[ids[a:b]] > 0]
-            texts.append(text[1:] if len(bare) and not self.is_byte[bare[0]] and text.startswith(" ") else text)
+            texts.append(text[1:] if len(bare) and self.spaced[bare[0]] else text)
         return texts
 
     def _mended(self, ids: np.ndarray) -> str:
