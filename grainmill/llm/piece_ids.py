@@ -140,6 +140,8 @@ class PieceModel:
         for a, b in zip((ends - sizes).tolist(), ends.tolist()):
             try:
                 text = raw[upto[a] : upto[b]].decode()
+                if (self.raw_sizes[ids[a + 1 : b - 1]] == 0).any():  # a control id between bytes parts them
+                    text = self._mended(ids[a:b])
             except UnicodeDecodeError:
                 text = self._mended(ids[a:b])
             bare = ids[a:b][self.raw_sizes[ids[a:b]] > 0]
