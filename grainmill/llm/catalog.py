@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmill.llm.packing import pack
+from grainmill.llm.page_text import extract_text, fit_labeller
 from grainmill.llm.piece_ids import encode_pieces
 from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
@@ -132,3 +133,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     counted = count_tokens(docs, read_pieces(public_tokenizers.path("word_bpe_49k.json")))
     return counted.select("doc_id", "n_words", "n_tokens")
+
+
+@query
+def op8_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    texts = extract_text(pages, fit_labeller(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -122,7 +122,7 @@ def label(pages: list[Sequence], weights: dict, room: int = 1 << 15) -> list[np.
     return out
 
 
-def train(pages: list[Sequence], targets: list[np.ndarray], rounds: int = 12, rate: float = 0.01, batch: int = 32, seed: int = 3) -> dict[str, np.ndarray]:
+def train(pages: list[Sequence], targets: list[np.ndarray], rounds: int = 8, rate: float = 0.01, batch: int = 32, seed: int = 3) -> dict[str, np.ndarray]:
     """Weights that label the blocks of `pages` like `targets`, by Adam on the cross-entropy."""
     weights = initial(seed)
     moments = {n: (np.zeros_like(w), np.zeros_like(w)) for n, w in weights.items()}
