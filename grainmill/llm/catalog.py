@@ -15,6 +15,7 @@ from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
 from grainmill.llm.staging import table
 from grainmill.llm.token_counts import count_tokens, read_pieces
+from grainmill.llm.top_products import top_products, whole_vectors
 from grainmill.llm.toxicity import fit_toxicity, score_toxicity
 from grainmill.llm.url_rules import judge
 
@@ -140,3 +141,22 @@ def op8_page_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     texts = extract_text(pages, fit_labeller(pages))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = whole_vectors(table(spark, folder, "embeddings"), scale=256)
+    return top_products(vectors, "id % 50 = 0", k=5)
+
+
+SQL["op9_top_products"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
