@@ -75,14 +75,19 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+def pieces_of(docs: DataFrame) -> DataFrame:
+    """The pieces of `docs` in sequences of 4096 ids, with a checksum of each piece's ids."""
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=2)
     return pieces.select(
         F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces_of(table(spark, folder, "documents"))
+
+
 @query
 def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

@@ -300,13 +300,13 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return QualityModel(weights.astype(np.float32), bias, rates)
 
 
-def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """Every column of `docs` but one named so before, with `quality_score`: the probability that the document is good.
+def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", into: str = "quality_score") -> DataFrame:
+    """Every column of `docs` but one named so before, with the probability that the document is good.
 
     Whole texts are read. A text that is null or has no words scores 0.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("quality_score")
+    kept = docs.drop(into)
 
     def run(batches):
         reader, model = Reader(), held.value
@@ -321,6 +321,6 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
                     starts = (np.cumsum(c.lengths) - c.lengths)[full]
                     logits[full] = np.add.reduceat(model.weights[c.features], starts, dtype=float) * GAIN / (c.words[full] + SLACK)
                 scores.append(np.where(full, 1 / (1 + np.exp(-np.clip(logits + model.bias, -30, 30))), 0.0))
-            yield batch.append_column("quality_score", pa.array(np.concatenate(scores) if scores else np.zeros(0)))
+            yield batch.append_column(into, pa.array(np.concatenate(scores) if scores else np.zeros(0)))
 
-    return kept.mapInArrow(run, field_list(kept.schema) + ", quality_score double")
+    return kept.mapInArrow(run, f"{field_list(kept.schema)}, `{into}` double")

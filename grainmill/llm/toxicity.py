@@ -216,15 +216,15 @@ def fit_toxicity(
     return ToxicityModel(chain, weights)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", spans: bool = True) -> DataFrame:
-    """Every column of `docs` but those named so before, with `score` and (if `spans`) the offending `toxic_spans`.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", into: str = "score", spans: bool = True) -> DataFrame:
+    """Every column of `docs` but those named so before, with the score and (if `spans`) the offending `toxic_spans`.
 
     Whole texts are tagged. A null or empty text has no spans and the score of a text without toxic tokens.
     Offsets count characters (code points) of the text; each span has the largest marginal of its tokens.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("score", *["toxic_spans"] * spans)
-    schema = f"{field_list(kept.schema)}, score double" + f", toxic_spans {SPANS}" * spans
+    kept = docs.drop(into, *["toxic_spans"] * spans)
+    schema = f"{field_list(kept.schema)}, `{into}` double" + f", toxic_spans {SPANS}" * spans
 
     def run(batches):
         chain, weights = held.value.chain, held.value.weights
@@ -242,7 +242,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
                     at = np.cumsum(np.append(0, lengths))
                     for i, text in enumerate(texts[part]):
                         found.append(toxic_spans(text, odds[at[i] : at[i + 1]]) if sums[1, i] >= 0.5 else [])
-            batch = batch.append_column("score", pa.array(np.concatenate(scores) if scores else np.zeros(0)))
+            batch = batch.append_column(into, pa.array(np.concatenate(scores) if scores else np.zeros(0)))
             if spans:
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
                 batch = batch.append_column("toxic_spans", pa.array(found, kind))
