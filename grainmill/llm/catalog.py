@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm.neighbour_graph import nearest
 from grainmill.llm.packing import pack
 from grainmill.llm.page_text import extract_text, fit_labeller
 from grainmill.llm.piece_ids import encode_pieces
@@ -165,3 +166,8 @@ ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), "id % 20 = 0", k=20)
