@@ -149,6 +149,19 @@ def outer(spark, folder):
     return joins.outer_with_lookup(table(spark, folder, "customer").select("c_custkey", "c_mktsegment"), shares, "c_mktsegment", "segment")
 
 
+@query(
+    "J2_many",
+    f"""WITH bands AS (SELECT p_partkey % 7 AS grp, p_partkey * 40.0 AS lo, p_partkey * 40.0 + 30 AS hi, p_size FROM part)
+    SELECT o_orderkey, o_custkey % 8 AS grp, o_totalprice, p_size FROM orders LEFT JOIN bands ON bands.grp = o_custkey % 8 AND o_totalprice >= lo AND o_totalprice <= hi""",
+)
+def many_bands(spark, folder):
+    """A price band for each part, in seven groups, and orders in eight."""
+    cut = table(spark, folder, "part").select((F.col("p_partkey") % 7).alias("group"), (F.col("p_partkey") * F.lit(40.0)).alias("lo"), "p_size")
+    cut = cut.withColumn("hi", F.col("lo") + 30)
+    orders = table(spark, folder, "orders").select("o_orderkey", (F.col("o_custkey") % 8).alias("grp"), "o_totalprice")
+    return joins.band_join(orders, cut, F.col("o_totalprice"), F.col("grp"))
+
+
 @query(
     "J2",
     f"""WITH {PEOPLE} SELECT c_custkey, age, sex, rate FROM people
@@ -159,18 +172,13 @@ def band(spark, folder):
     return bands.add_rate(people(spark, folder), rates, "age", "sex", "rate")
 
 
-@query(
-    "J3",
-    f"SELECT {KEY_SQL}, l_quantity * l_discount AS product, greatest(l_quantity, l_extendedprice) AS larger FROM lineitem "
-    f"QUALIFY count(*) OVER (PARTITION BY {KEY_SQL}) = 1",
-)
+@query("J3", f"SELECT {KEY_SQL}, l_quantity * l_discount AS product, greatest(l_quantity, l_extendedprice) AS larger FROM lineitem")
 def side_by_side(spark, folder):
-    """Two feature frames of the rows whose key is unique, lined up by that key."""
-    lineitem = table(spark, folder, "lineitem")
-    single = lineitem.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("l_quantity").alias("q"), F.min("l_discount").alias("d"), F.min("l_extendedprice").alias("p")).filter("n = 1")
-    left = single.select(*KEY, (F.col("q") * F.col("d")).alias("product"))
-    right = single.select(*KEY, F.greatest("q", "p").alias("larger"))
-    return joins.concat_columns(left, right, *KEY)
+    """Two feature frames of all rows, lined up by the place of each row in its file."""
+    rows = table(spark, folder, "lineitem").select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    left = rows.select("file", "row", *KEY, (F.col("l_quantity") * F.col("l_discount")).alias("product"))
+    right = rows.select("file", "row", F.greatest("l_quantity", "l_extendedprice").alias("larger"))
+    return joins.concat_columns(left, right, "file", "row").select(*KEY, "product", "larger")
 
 
 # Random operators: the SQL states what must hold whatever rows are drawn.
@@ -193,11 +201,12 @@ def fixed_size(spark, folder):
     return sample.sample_rows(orders, 1000, ["o_orderkey"]).agg(F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_distinct"))
 
 
-@query("M3", "SELECT o_orderkey, o_totalprice FROM orders")
+@query("M3", "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 10 = 9 THEN 'test' ELSE 'train' END AS part FROM orders")
 def random_split(spark, folder):
-    """Both parts of a split together are the input again, each row once."""
-    train, test = sample.split_rows(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), [0.9, 0.1], ["o_orderkey"])
-    return train.unionAll(test)
+    """Both parts of a split together are the input again, each row once and in its part."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    train, test = sample.split_rows(orders, [0.9, 0.1], ["o_orderkey"], share=F.pmod("o_orderkey", F.lit(10)) / F.lit(10.0))
+    return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
 
 
 @query(

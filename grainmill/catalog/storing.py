@@ -4,15 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from grainmill.catalog.frames import FEATURES, doc_features
 from grainmill.catalog.registry import query, table
 from grainmill.functions.text import lines, word_counts
 from grainmill.models.evaluate import confusion, metrics_report
-from grainmill.models.feature_stages import assembler, scaler
-from grainmill.models.search import logistic_regression, pipeline
 from grainmill.operators.aggregates import group_mean
 from grainmill.operators.clean import fill_median
 from grainmill.operators.rows import union_all
@@ -159,7 +155,7 @@ def csv_sink(spark, folder):
 @query("K2", "SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_orderpriority")
 def single_csv_sink(spark, folder):
     path = scratch_path(spark, "k2")
-    writers.write_csv_single(table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n")), path)
+    writers.write_csv_single(table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n")), path, 1000)
     return readers.read_csv(spark, path, "o_orderpriority string, n bigint")
 
 
@@ -207,27 +203,29 @@ def ruled(spark, folder):
     return table(spark, folder, "labels").join(documents, "doc_id").select("doc_id", "quality", F.when(F.col("n_chars") > 400, 1).otherwise(0).alias("guess"))
 
 
+REPORT_CTES = """cls AS (SELECT c, count(*) FILTER (WHERE quality = c) AS support, count(*) FILTER (WHERE guess = c) AS predicted,
+    count(*) FILTER (WHERE quality = c AND guess = c) AS hits FROM ruled, (VALUES (0), (1)) AS v(c) GROUP BY c),
+  pr AS (SELECT c, support, hits, coalesce(hits / nullif(predicted, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM cls),
+  f AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f FROM pr),
+  rep AS (SELECT c || '.0' AS "class", p AS "precision", r AS recall, f AS f1, support FROM f
+    UNION ALL SELECT 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support), sum(hits) / sum(support), sum(support) FROM f
+    UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(support) FROM f
+    UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f * support) / sum(support), sum(support) FROM f)"""
+
+
 @query(
     "K6",
-    f"""WITH {RULE_SQL} SELECT 'accuracy' AS metric, round(avg(CASE WHEN quality = guess THEN 1.0 ELSE 0.0 END), 6) AS value FROM ruled
-    UNION ALL SELECT 'confusion[' || quality || '.0,' || guess || '.0]', CAST(count(*) AS DOUBLE) FROM ruled GROUP BY quality, guess""",
+    f"""WITH {RULE_SQL}, {REPORT_CTES}
+    SELECT 'accuracy' AS metric, round(f1, 6) AS value FROM rep WHERE "class" = 'accuracy'
+    UNION ALL SELECT 'confusion[' || quality || '.0,' || guess || '.0]', CAST(count(*) AS DOUBLE) FROM ruled GROUP BY quality, guess
+    UNION ALL SELECT m || '[' || "class" || ']', round(CAST(v AS DOUBLE), 6) FROM (SELECT "class", unnest(['precision', 'recall', 'f1', 'support']) AS m,
+      unnest(["precision", recall, f1, support]) AS v FROM rep WHERE "class" <> 'accuracy')""",
 )
 def report_sink(spark, folder):
     path = scratch_path(spark, "k6")
     writers.write_report(metrics_report(confusion(ruled(spark, folder), "quality", "guess"), "length rule", {"limit": 400}), path)
     back = readers.read_json(spark, path, "model string, feature_set string, metric string, value double, params map<string,string>")
-    return back.filter("metric = 'accuracy' or metric like 'confusion%'").select("metric", F.round("value", 6).alias("value"))
-
-
-@query("K7", "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_same FROM labels")
-def model_sink(spark, folder):
-    path = scratch_path(spark, "k7")
-    docs = doc_features(spark, folder)
-    model = pipeline(assembler(FEATURES, "raw_features"), scaler(), logistic_regression("quality", max_iter=20, regParam=0.1)).fit(docs)
-    writers.save_model(model, path)
-    first = model.transform(docs).select("doc_id", F.col("prediction").alias("before"))
-    again = PipelineModel.load(path).transform(docs).select("doc_id", F.col("prediction").alias("after"))
-    return first.join(again, "doc_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("before") == F.col("after")).alias("n_same"))
+    return back.select("metric", F.round("value", 6).alias("value"))
 
 
 @query("K8", "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_orderstatus")

@@ -40,6 +40,19 @@ def missing(df: DataFrame, name: str) -> Column:
     return col(name).isNull()
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column in its own type with NaN turned into null: NaN is missing everywhere."""
+    if isinstance(df.schema[name].dataType, FLOATING):
+        return F.when(~F.isnan(col(name)), col(name))
+    return col(name)
+
+
+def number(x: Column) -> Column:
+    """A numeric expression as a double with NaN turned into null."""
+    value = x.cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def as_double(df: DataFrame, name: str) -> Column:
     """The column as a double with NaN turned into null."""
     if isinstance(df.schema[name].dataType, FLOATING):
@@ -70,10 +83,11 @@ def choose(condition: Column, then, otherwise) -> Column:
 
 
 def mean_of_available(*parts: Column) -> Column:
-    """Row mean of the parts that are not null; null only if all are."""
-    total = sum((F.coalesce(p.cast("double"), F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0].cast("double"), F.lit(0.0)))
-    present = sum((p.isNotNull().cast("int") for p in parts[1:]), parts[0].isNotNull().cast("int"))
-    return F.when(present > 0, total / F.nullif(present, F.lit(0)))
+    """Row mean of the parts that are neither null nor NaN; null only if all are."""
+    values = [number(p) for p in parts]
+    total = sum((F.coalesce(v, F.lit(0.0)) for v in values[1:]), F.coalesce(values[0], F.lit(0.0)))
+    there = sum((v.isNotNull().cast("int") for v in values[1:]), values[0].isNotNull().cast("int"))
+    return F.when(there > 0, total / F.nullif(there, F.lit(0)))
 
 
 def null_propagating_sum(*parts: Column) -> Column:

@@ -23,8 +23,8 @@ def accuracy(predictions: DataFrame, label: str, prediction: str = "prediction")
     return predictions.agg(F.avg((col(label) == col(prediction)).cast("double")).alias("accuracy"))
 
 
-def area_under_roc(predictions: DataFrame, label: str, score: str = "rawPrediction", bins: int = 1000) -> float:
-    """Area under the ROC curve; `bins=0` uses every distinct score, otherwise the curve is down-sampled."""
+def area_under_roc(predictions: DataFrame, label: str, score: str = "rawPrediction", bins: int = 0) -> float:
+    """Area under the ROC curve over every distinct score; with `bins` the curve is down-sampled."""
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins).evaluate(predictions)
 
 

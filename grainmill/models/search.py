@@ -15,8 +15,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.functions.columns import add_columns, as_double, col
+from grainmill.functions.columns import add_columns, as_double, col, present
 from grainmill.models.evaluate import confusion, metrics_report
+from grainmill.operators.rows import top_rows
 from grainmill.operators.sample import HASH_RANGE, with_fold
 from grainmill.session import checkpoint_folder
 
@@ -83,16 +84,23 @@ def k_fold_search(
     evaluator=None,
     seed: int = 42,
     parallelism: int = 2,
+    fold: str | None = None,
 ) -> Search:
-    """Search with folds taken from the row key, so every run and every grid point sees the same folds."""
+    """Search with folds taken from the row key, so every run and every grid point sees the same folds.
+
+    `fold` names a column of the caller's own fold numbers (0 to `folds` - 1) to be used instead.
+    """
     checkpoint_folder(train.sparkSession)
     evaluator = evaluator or MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
     search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=points, evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed
+        estimator=estimator, estimatorParamMaps=points, evaluator=evaluator, numFolds=folds, foldCol=fold or "fold", parallelism=parallelism, seed=seed
     )
-    folded = with_fold(train, folds, key, seed).persist()  # read by every fit; spills to disk, rebuilt if an executor goes
-    fitted: CrossValidatorModel = search.fit(folded)
-    folded.unpersist()
+    folded = train if fold is not None else with_fold(train, folds, key, seed, "fold")
+    folded = folded.persist()  # read by every fit; spills to disk, rebuilt if an executor goes
+    try:
+        fitted: CrossValidatorModel = search.fit(folded)
+    finally:
+        folded.unpersist()
     shown = [{p.name: v for p, v in point.items()} for point in points]
     return Search(fitted.bestModel, [float(m) for m in fitted.avgMetrics], shown, evaluator.isLargerBetter())
 
@@ -163,27 +171,29 @@ def compare(
     """
     train, test = train.persist(), test.persist()  # read by every fit; spills to disk, rebuilt if an executor goes
     table = None
-    for features, (name, build) in product(feature_sets, models.items()):
-        estimator, points = build([*base_features, *features.columns])
-        search = train_and_evaluate(
-            name, estimator, points, features.apply(train), features.apply(test), label, key, folds, features.name, **options
-        )
-        rows = search.report.filter("metric = 'accuracy'").select("model", "feature_set", F.col("value").alias("accuracy"))
-        table = rows if table is None else table.unionAll(rows)
-    train.unpersist(), test.unpersist()
+    try:
+        for features, (name, build) in product(feature_sets, models.items()):
+            estimator, points = build([*base_features, *features.columns])
+            search = train_and_evaluate(
+                name, estimator, points, features.apply(train), features.apply(test), label, key, folds, features.name, **options
+            )
+            rows = search.report.filter("metric = 'accuracy'").select("model", "feature_set", F.col("value").alias("accuracy"))
+            table = rows if table is None else table.unionAll(rows)
+    finally:
+        train.unpersist(), test.unpersist()
     return table
 
 
 def best_result(results: DataFrame) -> DataFrame:
     """The best row; by model and feature set name on a tie."""
-    return results.orderBy(F.desc("accuracy"), "model", "feature_set").limit(1)
+    return top_rows(results, 1, "accuracy", "model", "feature_set")
 
 
 def best_per_model(results: DataFrame) -> DataFrame:
     """Each model's best accuracy over the feature sets."""
     return results.groupBy("model").agg(
-        F.max("accuracy").alias("accuracy"),
-        F.min_by("feature_set", F.struct(-F.col("accuracy"), "feature_set")).alias("feature_set"),
+        F.max(present(results, "accuracy")).alias("accuracy"),
+        F.min_by("feature_set", F.struct(-present(results, "accuracy"), "feature_set")).alias("feature_set"),
     )
 
 
@@ -193,7 +203,7 @@ def choose_challenger(results: DataFrame, production: str, first: str, second: s
     Production stays if the better challenger is behind by more than the tolerance; else the larger
     challenger wins, the second on a tie.
     """
-    at = {m: F.max(F.when(F.col("model") == m, F.col("accuracy"))) for m in (production, first, second)}
+    at = {m: F.max(F.when(F.col("model") == m, present(results, "accuracy"))) for m in (production, first, second)}
     wide = results.agg(at[production].alias("p"), at[first].alias("a"), at[second].alias("b"))
     return wide.select(
         F.when(F.greatest("a", "b") - F.col("p") < -tolerance, F.lit(production))

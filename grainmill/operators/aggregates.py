@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.functions.columns import as_double, col, numeric_columns
+from grainmill.functions.columns import as_double, col, numeric_columns, present
 from grainmill.operators.order_statistics import mode_table, quantiles
 
 PAIRS_PER_SCAN = 400  # correlation pairs computed by one aggregate
@@ -150,5 +150,6 @@ def class_ratio(df: DataFrame, label: str, numerator=0, denominator=1) -> DataFr
 
 
 def arg_max(df: DataFrame, value: str, tie: str) -> DataFrame:
-    """The whole row with the largest value; the lowest `tie` column on a tie."""
-    return df.filter(col(value).isNotNull()).orderBy(col(value).desc(), col(tie).asc()).limit(1)
+    """The whole row with the largest value, null and NaN left out; the lowest `tie` column on a tie."""
+    x = present(df, value)
+    return df.filter(x.isNotNull()).orderBy(x.desc(), col(tie).asc()).limit(1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.functions.columns import add_columns, col
+from grainmill.functions.columns import add_columns, col, number
 from grainmill.operators.joins import band_join
 
 # Band edges and labels of the two rate sources. The last band is open.
@@ -31,7 +31,8 @@ Band = tuple[int, int | None, str]
 
 
 def band_label(x: Column, bands: Sequence[Band]) -> Column:
-    """Label of the closed band that holds the number; null below, between and outside the bands."""
+    """Label of the closed band that holds the number; null below, between and outside the bands, and for NaN."""
+    x = number(x)
     label = F.lit(None).cast("string")
     for low, high, text in reversed(bands):
         test = x >= F.lit(low)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainmill.functions.columns import add_columns, as_double, cap_upper, clamp, col, missing, numeric_columns, text_columns
+from grainmill.functions.columns import add_columns, as_double, cap_upper, clamp, col, missing, numeric_columns, present, text_columns
 from grainmill.operators.joins import BROADCAST_ROWS, fits_broadcast
 from grainmill.operators.order_statistics import distinct_estimates, iqr_bounds, medians, modes
 from grainmill.session import checkpoint_folder
@@ -58,8 +58,8 @@ def replace_out_of_range(
 
 
 def cap_columns(df: DataFrame, cap: float, *columns: str) -> DataFrame:
-    """Upper limit for the named columns; null stays null."""
-    return add_columns(df, {c: cap_upper(col(c), cap).cast(df.schema[c].dataType) for c in columns})
+    """Upper limit for the named columns; null stays null, and NaN becomes null."""
+    return add_columns(df, {c: cap_upper(present(df, c), cap).cast(df.schema[c].dataType) for c in columns})
 
 
 def clamp_iqr(df: DataFrame, *columns: str, factor: float = 1.5, approx: bool = False) -> DataFrame:
@@ -88,8 +88,8 @@ def trim_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def fill_from(df: DataFrame, column: str, value: Column) -> DataFrame:
-    """Nulls of a column taken from another expression."""
-    return add_columns(df, {column: F.coalesce(col(column), value)})
+    """Nulls and NaN of a column taken from another expression."""
+    return add_columns(df, {column: F.coalesce(present(df, column), value)})
 
 
 def round_columns(df: DataFrame, digits: int, *columns: str, half_even: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.functions.columns import as_double, col
+from grainmill.functions.columns import as_double, col, present
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 2.0  # distance of a splitter from a wanted rank, in rank errors of the sketch
@@ -27,11 +27,11 @@ MAX_VALUES = 100_000  # rows inside all intervals together that may be read out
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], as_type: str | None = "double") -> DataFrame:
-    """`(name, value, n)` over non-null values: one scan, hot values combined map-side."""
+    """`(name, value, n)` over values that are neither null nor NaN: one scan, hot values combined map-side."""
     if as_type == "double":
         picked = df.select(*[as_double(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
     else:
-        picked = df.select(*[(col(c) if as_type is None else col(c).cast(as_type)).alias(f"v{i}") for i, c in enumerate(columns)])
+        picked = df.select(*[(present(df, c) if as_type is None else present(df, c).cast(as_type)).alias(f"v{i}") for i, c in enumerate(columns)])
     names = F.create_map(*[part for i, c in enumerate(columns) for part in (F.lit(f"v{i}"), F.lit(c))])
     return (
         picked.unpivot([], [f"v{i}" for i in range(len(columns))], "name", "value")
@@ -77,7 +77,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     for c in sketched:
         ends = [(at[c][math.floor(x)], at[c][math.ceil(x)], x - math.floor(x)) for x in places[c]]
-        result[c] = [low + (high - low) * part for low, high, part in ends]
+        result[c] = [low if low == high else low + (high - low) * part for low, high, part in ends]  # equal ends may be infinite
     return result
 
 

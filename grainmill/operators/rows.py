@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainmill.functions.columns import add_columns, col, numeric_columns
+from grainmill.functions.columns import add_columns, col, numeric_columns, present
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -59,11 +59,12 @@ def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
 
 def top_rows(df: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
     """The `n` rows with the largest value; `ties` (ascending) make the result repeatable."""
-    return df.orderBy(col(by).desc_nulls_last(), *[col(t).asc() for t in ties]).limit(n)
+    return sort_descending(df, by, *ties).limit(n)
 
 
 def sort_descending(df: DataFrame, by: str, *ties: str) -> DataFrame:
-    return df.orderBy(col(by).desc_nulls_last(), *[col(t).asc() for t in ties])
+    """Largest first; null and NaN last."""
+    return df.orderBy(present(df, by).desc_nulls_last(), *[col(t).asc() for t in ties])
 
 
 def last_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -72,12 +73,13 @@ def last_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
 
 
 def keep_range(df: DataFrame, name: str, low=None, high=None, include_high: bool = False) -> DataFrame:
-    """Rows with `low <= name < high` (`<=` with `include_high`); null rows go."""
-    test = col(name).isNotNull()
+    """Rows with `low <= name < high` (`<=` with `include_high`); null and NaN rows go."""
+    x = present(df, name)
+    test = x.isNotNull()
     if low is not None:
-        test = test & (col(name) >= F.lit(low))
+        test = test & (x >= F.lit(low))
     if high is not None:
-        test = test & ((col(name) <= F.lit(high)) if include_high else (col(name) < F.lit(high)))
+        test = test & ((x <= F.lit(high)) if include_high else (x < F.lit(high)))
     return df.filter(test)
 
 

@@ -47,12 +47,15 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
     return df.filter(share < F.lit(cut)).unionAll(ties)
 
 
-def split_rows(df: DataFrame, weights: Sequence[float], key: Sequence[str], seed: int = 42) -> list[DataFrame]:
-    """Disjoint parts with about the given shares; each is a filter over the input."""
+def split_rows(df: DataFrame, weights: Sequence[float], key: Sequence[str], seed: int = 42, share: Column | None = None) -> list[DataFrame]:
+    """Disjoint parts with about the given shares; each is a filter over the input.
+
+    `share` is the caller's own number in [0, 1) for each row, in place of the hash of its key.
+    """
     total = float(sum(weights))
     edges = [0.0, *[e / total for e in accumulate(weights)]]
     edges[-1] = 1.0
-    share = hash_share(key, seed)
+    share = hash_share(key, seed) if share is None else share
     return [df.filter((share >= F.lit(a)) & (share < F.lit(b))) for a, b in zip(edges, edges[1:])]
 
 

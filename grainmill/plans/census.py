@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from grainmill.functions.columns import with_self_products
 from grainmill.operators.aggregates import group_mean
 from grainmill.operators.clean import trim_text
-from grainmill.operators.joins import outer_with_lookup
+from grainmill.operators.joins import outer_small, outer_with_lookup
 from grainmill.operators.profile import null_counts
 from grainmill.operators.rows import drop_incomplete, keep_equal
 from grainmill.sources.readers import literal_table, read_csv
@@ -68,4 +68,4 @@ def segment_summary(customers: DataFrame, orders: DataFrame, shares: DataFrame)
     customers = drop_incomplete(trim_text(customers.select("c_custkey", "c_mktsegment")))
     spending = orders.select("o_custkey", "o_totalprice").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     means = group_mean(spending, "c_mktsegment", "o_totalprice", "average_price")
-    return outer_with_lookup(means, shares, "c_mktsegment", "segment")
+    return outer_small(means, shares, "c_mktsegment", "segment")

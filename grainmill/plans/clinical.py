@@ -15,7 +15,6 @@ KEPT_COLUMNS = (
     "age", "sex", "painloc", "painexer", "cp", "trestbps", "smoke", "fbs", "prop", "nitr", "pro", "diuretic",
     "thaldur", "thalach", "exang", "oldpeak", "slope", "target",
 )
-VALID_ROWS = 899
 MODE_COLUMNS = ("painloc", "painexer", "exang")
 MEDIAN_COLUMNS = ("thaldur", "thalach")
 FLAG_COLUMNS = ("fbs", "prop", "nitr", "pro", "diuretic")
@@ -24,15 +23,15 @@ AGES = (18, 75)
 
 
 def clean_clinical(
-    df: DataFrame, abs_rates: DataFrame, cdc_rates: DataFrame, row_order: str | None = None, refit: bool = True, age_filter: bool = True
+    df: DataFrame, abs_rates: DataFrame, cdc_rates: DataFrame, row_order: str | None = None, n_rows: int | None = None, refit: bool = True, age_filter: bool = True
 ) -> DataFrame:
     """Modes, range repair, medians, capped flags, slope mode, age filter, rates, smoking fill, rounding.
 
-    `row_order` keeps the first valid rows in that order. Rate tables are `(lo, hi, group, rate)`.
+    With `n_rows`, only the first rows in the order of `row_order` are kept; without it all are. Rate tables are `(lo, hi, group, rate)`.
     Independent statistics share jobs: modes of the binary columns and slope, then all first medians.
     """
-    if row_order is not None:
-        df = first_rows(df, VALID_ROWS, row_order)
+    if n_rows is not None:
+        df = first_rows(df, n_rows, *([row_order] if row_order else []))
     df = keep_columns(df, *KEPT_COLUMNS)
     df = fill_mode(df, *MODE_COLUMNS, "slope")
     df = replace_out_of_range(df, RANGES, refit=refit, fill=MEDIAN_COLUMNS)

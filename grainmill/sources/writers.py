@@ -7,15 +7,14 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_csv_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One CSV file, for small results only: a larger frame raises before anything is written.
+def write_csv_single(df: DataFrame, path: str, max_rows: int) -> None:
+    """One CSV file, for results of at most `max_rows` rows: a larger frame raises before anything is written.
 
     The rows are gathered by a shuffle, so the work before it stays parallel.
     """
@@ -65,8 +64,8 @@ def save_model(model: MLWritable, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def to_driver(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
-    """A small result as pandas; a larger one raises instead of being cut."""
+def to_driver(df: DataFrame, max_rows: int) -> pd.DataFrame:
+    """A result of at most `max_rows` rows as pandas; a larger one raises instead of being cut."""
     taken = df.limit(max_rows + 1).toPandas()
     if len(taken) > max_rows:
         raise ValueError(f"more than {max_rows} rows; aggregate first")

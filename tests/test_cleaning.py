@@ -67,11 +67,13 @@ def test_bands_are_closed_and_the_last_is_open(spark):
 def test_band_join_small_and_large_lookup(spark, monkeypatch, limit):
     """The cell join gives the same rows as the broadcast join."""
     table = bands.rate_table(spark, bands.SEVEN_BANDS, {label: (i + 0.5, i + 0.25) for i, (_, _, label) in enumerate(bands.SEVEN_BANDS)})
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df, rows=limit: df.limit(rows + 1).count() <= rows)
-    ages = [None, -1e9, 10.0, 18.0, 24.0, 24.5, 25.0, 50.0, 64.0, 74.9, 75.0, 1e9]
+    monkeypatch.setattr(joins, "LOOPED_BANDS", limit)
+    ages = [None, float("nan"), -1e9, 10.0, 18.0, 24.0, 24.5, 25.0, 50.0, 64.0, 74.9, 75.0, 1e9]
     df = spark.createDataFrame([(a, s) for a in ages for s in (0, 1, None)], "age double, sex int")
-    got = {(r["age"], r["sex"]): r["rate"] for r in bands.add_rate(df, table, "age", "sex", "rate").collect()}
-    assert len(got) == len(ages) * 3
+    found = bands.add_rate(df, table, "age", "sex", "rate").collect()
+    assert len(found) == len(ages) * 3
+    assert all(r["rate"] is None for r in found if r["age"] != r["age"])
+    got = {(r["age"], r["sex"]): r["rate"] for r in found}
     assert got[(18.0, 1)] == 0.5 and got[(18.0, 0)] == 0.25 and got[(18.0, None)] == 0.25
     assert got[(1e9, 1)] == 6.5 and got[(24.5, 1)] is None and got[(10.0, 1)] is None and got[(None, 1)] is None
     assert got[(50.0, 0)] == 3.25 and got[(64.0, 1)] == 4.5
@@ -88,6 +90,24 @@ def test_outer_join_with_lookup(spark, monkeypatch, limit):
     )
 
 
+def test_many_groups_of_one_open_band_stay_small(spark):
+    """Cells are cut per group: a band of a group makes a row, however far the groups lie apart."""
+    table = spark.range(2000).select(F.col("id").alias("group"), (F.col("id") * 10.0).alias("lo"), F.lit(None).cast("double").alias("hi"), F.col("id").alias("rate"))
+    df = spark.range(2000).select("id", (F.col("id") * 10.0 + 5).alias("x"))
+    joined = joins.band_join(df, table, F.col("x"), F.col("id"))
+    assert joined.filter("rate = id").count() == 2000 == joined.count()
+    plan = joined._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan
+
+
+def test_concat_columns_keeps_all_rows_and_refuses_repeated_ids(spark):
+    left = spark.createDataFrame([(1, 10), (2, 20)], "id int, x int")
+    right = spark.createDataFrame([(1, 5), (3, 7)], "id int, y int")
+    assert sorted(map(tuple, joins.concat_columns(left, right, "id").collect())) == [(1, 10, 5), (2, 20, None), (3, None, 7)]
+    with pytest.raises(Exception, match="occurs twice"):
+        joins.concat_columns(left, right.unionAll(right), "id").collect()
+
+
 def test_concat_columns_refuses_shared_names(spark):
     df = spark.createDataFrame([(1, 2)], "id int, x int")
     assert joins.is_unique(df, "id")
