@@ -140,7 +140,7 @@ def html_tables(spark, folder):
     other = F.lit("<table><caption>Something else</caption><tbody><tr><th>no</th><td>9</td></tr></tbody></table>")
     wanted = F.concat(F.lit("<TABLE id='t'><caption>Rates by priority, 2022</caption><thead><tr><th>p</th></tr></thead><tbody>"), first, second, F.lit("</tbody></TABLE>"))
     pages = table(spark, folder, "orders").select("o_orderkey", F.concat(F.lit("<html><body>"), other, wanted, F.lit("</body></html>")).alias("html"))
-    found = X.table_rows(pages, "o_orderkey", "html", "Rates by priority")
+    found = X.table_rows(pages, "o_orderkey", "html", "Rates by priority", 6)
     rates = X.table_rates(found.withColumn("header", F.concat_ws("|", "row_no", "header")), "o_orderkey")
     number = F.split("label", r"\|")
     return rates.select("o_orderkey", number[0].cast("int").alias("row_no"), number[1].alias("header"), "male_rate", "female_rate")

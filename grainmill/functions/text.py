@@ -1,11 +1,14 @@
-"""Text and HTML expressions, all native: no Python worker is started."""
+"""Text expressions, and tables read off HTML pages."""
 
 from __future__ import annotations
 
+from html import unescape
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import col
+from grainmill.functions.html import ABSENT, items, read_pages, tables
 
 
 def lines(df: DataFrame, text: str, out: str = "value") -> DataFrame:
@@ -38,82 +41,41 @@ def percent_to_fraction(text: Column) -> Column:
 DECIMAL_PATTERN = r"(\d+\.\d+)"
 AGE_RANGE_PATTERN = r"(\d+[–\-]\d+ years|\d+ years and older)"
 
-# Named entities that occur in running text; `&amp;` comes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-
-
-def unescape(text: Column) -> Column:
-    for entity, plain in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
-
-
-def element_bodies(html: Column, tag: str) -> Column:
-    """Array of the inner HTML of every `<tag>` element (elements of this kind must not nest)."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
-
-
-def first_body(html: Column, tag: str) -> Column:
-    """Inner HTML of the first `<tag>` element, '' without one; reads no further than that."""
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
-
-
-def strip_tags(html: Column) -> Column:
-    return unescape(F.regexp_replace(html, "<[^>]*>", ""))
-
+def list_items(df: DataFrame, key: str, html: str, matching: str | None = None, own: bool = False) -> DataFrame:
+    """`(key, item_no, text)`: one row per `<li>`, optionally only where the text matches a pattern.
 
-def own_texts(bodies: Column) -> Column:
-    """First text node that belongs to each element itself, trimmed; '' if there is none.
-
-    One step per `transform`: inside a lambda a sub-expression used twice is computed twice.
+    The text is that of the item without the items of lists inside it, or with `own` its first text that is in
+    no element of its own ('' if there is none).
     """
-    nested = r"(?is)<(\w+)\b[^>]*>.*?</\1>|<[^>]*>"
-
-    def pieces(body: Column) -> Column:
-        outside = F.split(F.regexp_replace(body, nested, "\u0001"), "\u0001")
-        return F.when(body.contains("<"), F.get(F.filter(outside, lambda piece: F.trim(piece) != ""), F.lit(0))).otherwise(body)
-
-    decoded = F.transform(F.transform(bodies, pieces), lambda text: F.when(text.contains("&"), unescape(text)).otherwise(text))
-    return F.transform(decoded, lambda text: F.coalesce(F.trim(text, F.lit(" \t\r\n")), F.lit("")))
-
-
-def own_text(body: Column) -> Column:
-    return F.get(own_texts(F.array(body)), F.lit(0))
 
+    def read(page: str) -> list[tuple]:
+        return [(i, (x.own or "") if own else "".join(x.whole)) for i, x in enumerate(items(page))]
 
-def list_items(df: DataFrame, key: str, html: str, matching: str | None = None) -> DataFrame:
-    """`(key, item_no, text)`: one row per `<li>`, optionally only where the text matches a pattern."""
-    items = (
-        df.select(col(key), F.posexplode(element_bodies(col(html), "li")).alias("item_no", "body"))
-        .select(col(key), "item_no", strip_tags(F.col("body")).alias("text"))
-    )
-    return items if matching is None else items.filter(F.col("text").rlike(matching))
+    found = read_pages(df, key, html, "item_no bigint, text string", read).withColumn("item_no", F.col("item_no").cast("int"))
+    return found if matching is None else found.filter(F.col("text").rlike(matching))
 
 
-def table_rows(df: DataFrame, key: str, html: str, caption: str, cells: int = 6) -> DataFrame:
+def table_rows(df: DataFrame, key: str, html: str, caption: str, cells: int | None = None) -> DataFrame:
     """Rows of the tables whose caption contains a text.
 
-    `(key, table_no, row_no, header, cells)`: the header is the first `<th>`, the cells are the first
-    `cells` `<td>` of the row; a missing one is "N/A", as on the page.
+    `(key, table_no, row_no, header, cells)`: the header is the first `<th>`, the cells are all `<td>` of the
+    row, or with `cells` exactly that many; a missing or empty one is "N/A", as on the page. Pages without the
+    text are not taken apart.
     """
-    absent = F.lit("N/A")
-    tables = df.select(col(key), F.posexplode(element_bodies(col(html), "table")).alias("table_no", "body")).filter(
-        own_text(first_body(F.col("body"), "caption")).contains(caption)
-    )
-    rows = tables.select(
-        col(key),
-        "table_no",
-        F.posexplode(F.flatten(F.transform(element_bodies(F.col("body"), "tbody"), lambda b: element_bodies(b, "tr")))).alias(
-            "row_no", "row"
-        ),
-    )
-    heads = own_texts(F.array(first_body(F.col("row"), "th")))
-    found = own_texts(F.slice(element_bodies(F.col("row"), "td"), 1, cells))
-    named = rows.select(col(key), "table_no", "row_no", F.concat(heads, found).alias("texts"))
-    shown = F.transform("texts", lambda text: F.when(text == "", absent).otherwise(text))
-    padded = F.slice(F.concat(shown, F.array_repeat(absent, cells)), 1, cells + 1)
-    whole = named.select(col(key), "table_no", "row_no", padded.alias("texts"))
-    return whole.select(col(key), "table_no", "row_no", F.get("texts", F.lit(0)).alias("header"), F.slice("texts", 2, cells).alias("cells"))
+
+    def read(page: str) -> list[tuple]:
+        if caption not in page and caption not in unescape(page):
+            return []
+        found = []
+        for number, table in enumerate(tables(page)):
+            if any(caption in c for c in table.captions[:1]):
+                for place, (header, texts) in enumerate(table.rows):
+                    texts = texts if cells is None else (texts + [ABSENT] * cells)[:cells]
+                    found.append((number, place, header, texts))
+        return found
+
+    rows = read_pages(df, key, html, "table_no bigint, row_no bigint, header string, cells array<string>", read)
+    return rows.withColumns({c: F.col(c).cast("int") for c in ("table_no", "row_no")})
 
 
 def table_rates(rows: DataFrame, key: str) -> DataFrame:

@@ -105,10 +105,10 @@ def test_html_table_by_caption(spark):
     row = "<tr><th> 18–24 </th><td>9.5</td><td>1</td><td>2</td><td><b>x</b> 7.5 </td><td>3</td><td>4</td><td>ignored</td></tr>"
     page = f"<table><caption>Other</caption><tbody>{row}</tbody></table><table class='a'><caption>Daily smokers &amp; more</caption><tbody>{row}<tr><td>N/A</td></tr></tbody></table>"
     df = spark.createDataFrame([(1, page)], "id int, html string")
-    found = text.table_rows(df, "id", "html", "Daily smokers & more").orderBy("row_no").collect()
+    found = text.table_rows(df, "id", "html", "Daily smokers & more", 6).orderBy("row_no").collect()
     assert [(r["table_no"], r["header"]) for r in found] == [(1, "18–24"), (1, "N/A")]
     assert found[0]["cells"] == ["9.5", "1", "2", "7.5", "3", "4"] and found[1]["cells"] == ["N/A"] * 6
-    rates = text.table_rates(text.table_rows(df, "id", "html", "Daily"), "id").collect()
+    rates = text.table_rates(text.table_rows(df, "id", "html", "Daily", 6), "id").collect()
     assert (rates[0]["male_rate"], rates[0]["female_rate"]) == (0.095, 0.075) and rates[1]["male_rate"] is None
 
 
@@ -118,3 +118,22 @@ def test_list_item_rates(spark):
     row = text.item_rates(items, "id").first()
     assert (row["label"], round(row["male_rate"], 6), round(row["female_rate"], 6)) == ("18–24 years", 0.075, 0.05)
     assert [r["n"] for r in items.select(text.first_group(F.col("text"), text.DECIMAL_PATTERN).alias("n")).collect()][-1] is None
+
+
+def test_html_as_authors_write_it(spark):
+    pages = [
+        "<ul><li>18&ndash;24 years<li>25&#8211;44<li>three</ul>",
+        "<ul><li>outer<ul><li>inner a</li><li>inner b</ul> rest</li><!-- <li>gone</li> --><li><b>bold</b> own</li></ul><li>alone",
+        "<table><caption>Some <b>x</b></caption><thead><tr><th>no</thead><tr><th>a<td>1<td>2<tr><td><table><tr><td>in</table>out</table>",
+        None,
+        "<ul><li title='a > b'>ok</li><script>'<li>no</li>'</script></ul>" + "<b>" * 3000,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    listed = {}
+    for r in sorted(text.list_items(df, "id", "html").collect()):
+        listed.setdefault(r["id"], []).append(r["text"])
+    assert listed == {0: ["18–24 years", "25–44", "three"], 1: ["outer rest", "inner a", "inner b", "bold own", "alone"], 4: ["ok"]}
+    own = [r["text"] for r in text.list_items(df.filter("id = 1"), "id", "html", own=True).orderBy("item_no").collect()]
+    assert own == ["outer", "inner a", "inner b", "own", "alone"]
+    rows = text.table_rows(df, "id", "html", "Some").orderBy("row_no").collect()
+    assert [(r["table_no"], r["row_no"], r["header"], r["cells"]) for r in rows] == [(0, 0, "a", ["1", "2"]), (0, 1, "N/A", ["out"])]
