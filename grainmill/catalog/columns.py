@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from grainmill.catalog.frames import GAPPED, KEY, KEY_SQL, gapped
 from grainmill.catalog.registry import query, table
 from grainmill.functions import columns as C
+from grainmill.functions import custom
 from grainmill.functions import text as X
 from grainmill.models.feature_stages import PairwiseProduct, SquareFeatures
 from grainmill.operators.rows import distinct_values
@@ -182,16 +183,22 @@ def item_rates(spark, folder):
     )
 
 
+@query("X1", "SELECT p_partkey, p_size * 2.0 + p_retailprice AS value FROM part")
+def series_function(spark, folder):
+    """A caller's own function over series of two columns."""
+    value = custom.scalar(lambda size, price: size * 2.0 + price, "double")
+    return table(spark, folder, "part").select("p_partkey", value("p_size", "p_retailprice").alias("value"))
+
+
 @query("X2", "SELECT p_partkey, CASE WHEN p_size > 25 THEN p_retailprice ELSE p_size END AS picked FROM part")
 def row_function(spark, folder):
-    """A caller's own function over whole batches; native expressions come first."""
+    """A caller's own function over whole batches of rows."""
 
-    def pick(batches):
-        for batch in batches:
-            picked = batch["p_retailprice"].where(batch["p_size"] > 25, batch["p_size"].astype(float))
-            yield pd.DataFrame({"p_partkey": batch["p_partkey"], "picked": picked})
+    def pick(batch):
+        picked = batch["p_retailprice"].where(batch["p_size"] > 25, batch["p_size"].astype(float))
+        return pd.DataFrame({"p_partkey": batch["p_partkey"], "picked": picked})
 
-    return table(spark, folder, "part").select("p_partkey", "p_size", "p_retailprice").mapInPandas(pick, "p_partkey bigint, picked double")
+    return custom.map_frame(table(spark, folder, "part").select("p_partkey", "p_size", "p_retailprice"), pick, "p_partkey bigint, picked double")
 
 
 @query("X3", "SELECT p_partkey, p_size, CAST(p_size AS DOUBLE) * p_size AS p_size_squared FROM part")

@@ -7,13 +7,14 @@ from itertools import combinations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import add_columns, as_double, col
+from grainmill.operators.joins import lookup_side
 
 
 class PairwiseProduct(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -64,12 +65,12 @@ class IndexedModeImputer(Estimator, HasInputCols, HasOutputCols, DefaultParamsRe
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         indexes = [f"{c}Index" for c in self.getInputCols()]
         indexer = StringIndexer(inputCols=self.getInputCols(), outputCols=indexes, handleInvalid="keep").fit(dataset)
-        indexed = indexer.transform(dataset)
-        imputers = [
-            Imputer(inputCol=i, outputCol=out, strategy="mode", missingValue=float(len(labels))).fit(indexed)
+        # the most frequent value has index 0, so the mode needs no job of its own
+        filled = [
+            f"CASE WHEN `{i}` = {len(labels)} THEN 0D ELSE `{i}` END AS `{out}`"
             for i, out, labels in zip(indexes, self.getOutputCols(), indexer.labelsArray)
         ]
-        return PipelineModel([indexer, *imputers])
+        return PipelineModel([indexer, SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")])
 
 
 def mean_imputer(columns: Sequence[str], prefix: str = "Imputed") -> Imputer:
@@ -138,4 +139,4 @@ def balanced_weights(train: DataFrame, label: str) -> DataFrame:
 
 def balanced_weight(train: DataFrame, label: str, out: str = "weight") -> DataFrame:
     weights = balanced_weights(train, label).select(F.col("label").alias("_label"), F.col("weight").alias(out))
-    return train.join(F.broadcast(weights), col(label) == F.col("_label"), "left").drop("_label")
+    return train.join(lookup_side(weights), col(label) == F.col("_label"), "left").drop("_label")

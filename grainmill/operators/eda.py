@@ -94,8 +94,7 @@ def scatter_grid(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataF
     edges = _edges(df, columns, bins)
     names = [c for c in columns if c in edges]
     placed = df.select(*[_bin(as_double(df, c), edges[c], bins).alias(f"v{i}") for i, c in enumerate(names)])
-    # rows are first combined into cells over all columns, then taken apart into pairs
-    cells = placed.groupBy(*placed.columns).agg(F.count("*").alias("weight"))
+    # each row is taken apart into its pairs before the count, so a task sends at most bins squared cells of each pair
     pairs = [
         F.struct(F.lit(names[i]).alias("f1"), F.lit(names[j]).alias("f2"), F.col(f"v{i}").alias("bin1"), F.col(f"v{j}").alias("bin2"))
         for i, j in combinations(range(len(names)), 2)
@@ -103,10 +102,10 @@ def scatter_grid(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataF
     if not pairs:
         return df.sparkSession.createDataFrame([], "f1 string, f2 string, bin1 bigint, bin2 bigint, n bigint")
     return (
-        cells.select(F.inline(F.array(*pairs)), "weight")
+        placed.select(F.inline(F.array(*pairs)))
         .filter("bin1 is not null and bin2 is not null")
         .groupBy("f1", "f2", "bin1", "bin2")
-        .agg(F.sum("weight").alias("n"))
+        .agg(F.count("*").alias("n"))
     )
 
 

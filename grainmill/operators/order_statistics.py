@@ -9,12 +9,10 @@ interval are looked at one by one. No shuffle carries the values of a column.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -190,45 +188,25 @@ class _Scan:
 def _tally(df: DataFrame, scans: dict[str, _Scan]) -> dict[str, dict[int, tuple[int, list]]]:
     """`{column: {cell: (rows, sorted (value, rows) pairs of a cell read out)}}` in one scan of the columns.
 
-    Tasks count whole Arrow batches by binary search and hand over one row per occupied cell.
+    The cell of a value is a sum of comparisons with the splitters. Tasks combine their rows by cell; only
+    values of cells to be read out keep their own rows, so the shuffle carries little else.
     """
     names = list(scans)
-    points = [np.array(scans[c].points(), dtype=float) for c in names]
-    read = [np.array(scans[c].cells_read(), dtype=int) for c in names]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [np.zeros(2 * len(p) + 1, dtype=np.int64) for p in points]
-        kept: list[list[np.ndarray]] = [[] for _ in points]
-        for batch in batches:
-            for i, splitters in enumerate(points):
-                x = batch.column(i).to_numpy(zero_copy_only=False)
-                x = x[~np.isnan(x)]
-                cell = np.searchsorted(splitters, x, "left") + np.searchsorted(splitters, x, "right")
-                rows[i] += np.bincount(cell, minlength=len(rows[i]))
-                kept[i].append(x[np.isin(cell, read[i])])
-        for i, splitters in enumerate(points):
-            filled = np.flatnonzero(rows[i])
-            value, times = np.unique(np.concatenate([np.empty(0), *kept[i]]), return_counts=True)
-            cell = 2 * np.searchsorted(splitters, value, "left")
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "column": np.full(len(filled) + len(value), i, dtype=np.int32),
-                    "cell": np.concatenate([filled, cell]).astype(np.int32),
-                    "value": pa.array(np.concatenate([np.zeros(len(filled)), value]), mask=np.arange(len(filled) + len(value)) < len(filled)),
-                    "n": np.concatenate([rows[i][filled], times]).astype(np.int64),
-                }
-            )
-
-    counted = df.select(*[scans[c].value.alias(f"v{i}") for i, c in enumerate(names)]).mapInArrow(count, "column int, cell int, value double, n bigint")
-    by_cell = counted.groupBy("column", "cell").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("n"),
-        F.sort_array(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("value", "n")))).alias("inside"),
-    )
+    placed = []
+    for i, c in enumerate(names):
+        x = F.col(f"v{i}")
+        steps = [F.when(x > F.lit(p), 2).when(x == F.lit(p), 1).otherwise(0) for p in scans[c].points()]
+        cell = F.when(x.isNotNull(), reduce(Column.__add__, steps, F.lit(0)))
+        read = scans[c].cells_read()
+        value = F.when(cell.isin(read), x) if read else F.lit(None).cast("double")
+        placed.append(F.struct(F.lit(i).alias("column"), cell.alias("cell"), value.alias("value")))
+    picked = df.select(*[scans[c].value.cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    counted = picked.select(F.inline(F.array(*placed))).filter("cell IS NOT NULL").groupBy("column", "cell", "value").agg(F.count("*").alias("n"))
     result: dict[str, dict[int, tuple[int, list]]] = {c: {} for c in names}
-    by_cell = by_cell.select("column", "cell", "n", F.col("inside.value").alias("values"), F.col("inside.n").alias("times"))
-    for column, cell, n, values, times in by_cell.collect():  # one row per cell
-        result[names[column]][cell] = (n, list(zip(values, times)))
-    return result
+    for column, cell, value, n in counted.collect():  # one row per cell, and the values read out
+        held, inside = result[names[column]].get(cell, (0, []))
+        result[names[column]][cell] = (held + n, inside if value is None else [*inside, (value, n)])
+    return {c: {cell: (n, sorted(inside)) for cell, (n, inside) in cells.items()} for c, cells in result.items()}
 
 
 def _located(interval: _Interval, scan: _Scan, cells: dict[int, tuple[int, list]], answers: dict[int, float]) -> list[_Interval]:

@@ -8,16 +8,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grainmill.functions.columns import col
+from grainmill.operators.joins import lookup_side
 from grainmill.operators.order_statistics import ranked_values
 
 HASH_RANGE = 1 << 52  # hash values stay exact as doubles
-MAX_CLASSES = 10_000
-CLASSES_PER_SCAN = 50
+SLOTS = 1 << 16  # parts of the hash range that are counted
 
 
 def hash_share(key: Sequence[str], seed: int = 42) -> Column:
@@ -62,25 +61,25 @@ def split_rows(df: DataFrame, weights: Sequence[float], key: Sequence[str], seed
 def stratified_split(df: DataFrame, label: str, test_share: float, key: Sequence[str], seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """`(train, test)` with `round(test_share * n)` test rows of every class.
 
-    Each class is cut at the hash with the wanted rank. The ranks of all classes are found together
-    by counting, so a class with most of the rows is no heavier than the others.
+    Each class is cut at the hash with the wanted rank. One count over (class, slot of the hash) finds the slots
+    of all cuts, whatever the number of classes; only the rows of a class's own cut slot are ranked.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(col(label)).agg(F.count("*")).limit(MAX_CLASSES + 1).collect()}
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
     share = hash_share(key, seed)
-    wanted = {c: round(test_share * n) for c, n in counts.items()}
-    cuts: dict[object, float] = {}
-    chosen = [c for c, k in wanted.items() if k > 0]
-    for start in range(0, len(chosen), CLASSES_PER_SCAN):
-        batch = chosen[start : start + CLASSES_PER_SCAN]
-        found = ranked_values(df, {c: (F.when(col(label).eqNullSafe(F.lit(c)), share), [wanted[c] - 1]) for c in batch})
-        cuts.update({c: found[c][wanted[c] - 1] for c in batch})
-    schema = T.StructType([T.StructField("_class", df.schema[label].dataType), T.StructField("_cut", T.DoubleType())])
-    table = F.broadcast(df.sparkSession.createDataFrame([(c, cuts.get(c, -1.0)) for c in counts], schema))
-    placed = df.withColumn("_share", share).join(table, col(label).eqNullSafe(F.col("_class")))
-    part = [placed.filter(test).select(*[col(c) for c in df.columns]) for test in (F.col("_share") > F.col("_cut"), F.col("_share") <= F.col("_cut"))]
-    return part[0], part[1]
+    slot = F.floor(share * SLOTS).cast("int")
+    counted = df.groupBy(col(label).alias("_class"), slot.alias("_slot")).agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy("_class").orderBy("_slot")
+    whole = Window.partitionBy("_class")
+    run = counted.withColumns({"_upto": F.sum("_n").over(upto), "_wanted": F.bround(F.sum("_n").over(whole) * F.lit(float(test_share))).cast("bigint")})
+    # the slot of a class in which its wanted number of test rows is reached, and how many rows of that slot are among them
+    cuts = run.filter("_wanted > 0 AND _upto >= _wanted AND _upto - _n < _wanted").select("_class", F.col("_slot").alias("_cut"), (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_rest"))
+    placed = df.withColumns({"_share": share, "_slot": slot}).join(lookup_side(cuts), col(label).eqNullSafe(F.col("_class")), "left")
+    at_cut = F.col("_slot") == F.col("_cut")
+    order = Window.partitionBy("_class").orderBy("_share", *[col(k) for k in key])
+    border = placed.filter(at_cut).withColumn("_test", F.row_number().over(order) <= F.col("_rest"))
+    clear = placed.filter(~F.coalesce(at_cut, F.lit(False))).withColumn("_test", F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False)))
+    both = clear.unionAll(border)
+    names = [col(c) for c in df.columns]
+    return both.filter("NOT _test").select(*names), both.filter("_test").select(*names)
 
 
 def with_fold(df: DataFrame, folds: int, key: Sequence[str], seed: int = 42, out: str = "fold") -> DataFrame:

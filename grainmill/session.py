@@ -27,17 +27,33 @@ def build_session(app: str = "grainmill", master: str | None = None, **settings:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`; a temporary one only where it is unset."""
+    """The shared folder named by `spark.checkpoint.dir`.
+
+    Where it is unset: a temporary folder under a local master, else one below the warehouse, which must then
+    not be on the driver's own disk.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="grainmill-")
+        folder = own_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go if no shared folder is named."""
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return tempfile.mkdtemp(prefix="grainmill-")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/grainmill-scratch")
+    whole = path.getFileSystem(conf).makeQualified(path).toString()
+    if whole.startswith("file:"):
+        raise ValueError(f"{whole} is on one machine: name a shared folder in spark.checkpoint.dir")
+    return whole
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{checkpoint_folder(spark).rstrip('/')}/grainmill/{name}-{uuid.uuid4().hex}"

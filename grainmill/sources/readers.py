@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainmill.functions.columns import col
-from grainmill.operators.rows import union_ranked
+from grainmill.operators.rows import union_all
 
 Schema = T.StructType | str
 
@@ -66,16 +66,25 @@ def with_place(df: DataFrame) -> DataFrame:
 
 
 def read_folder(spark: SparkSession, folder: str, schema: Schema, row_tag: str = "row") -> DataFrame:
-    """All CSV, JSON and XML files of a folder as one frame.
+    """All CSV, JSON and XML files of a folder as one frame; a format may be absent, but not all three.
 
     `source_rank` (CSV 0, JSON 1, XML 2) and the columns of `with_place` give the reading order.
     """
     folder = folder.rstrip("/")
-    return union_ranked(
-        with_place(read_csv(spark, f"{folder}/*.csv", schema)),
-        with_place(read_json(spark, f"{folder}/*.json", schema)),
-        with_place(read_xml(spark, f"{folder}/*.xml", schema, row_tag)),
-    )
+    readers = [
+        ("csv", lambda path: read_csv(spark, path, schema)),
+        ("json", lambda path: read_json(spark, path, schema)),
+        ("xml", lambda path: read_xml(spark, path, schema, row_tag)),
+    ]
+    found = [(rank, read(f"{folder}/*.{kind}")) for rank, (kind, read) in enumerate(readers) if _exists(spark, f"{folder}/*.{kind}")]
+    if not found:
+        raise FileNotFoundError(f"no CSV, JSON or XML file in {folder}")
+    return union_all(*[with_place(df).withColumn("source_rank", F.lit(rank)) for rank, df in found])
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,9 @@ def table_stage(inputs: str | Sequence[str], outputs: str | Sequence[str] | None
     `outputs` are dropped after the function ran and before its tables are written.
 
     A result may read a table that it or `outputs` replaces: every frame is first written whole
-    under a new name, and the tables change hands only then.
+    under a new name, and the tables change hands only then. If a frame can't be written, what was
+    written before it is dropped and the tables stay as they were. While tables change hands the
+    old ones are kept aside, and come back if a new one can't take its name.
     """
     if inputs is None:
         raise ValueError("inputs cannot be None")
@@ -30,15 +32,15 @@ def table_stage(inputs: str | Sequence[str], outputs: str | Sequence[str] | None
         def stage(spark: SparkSession, **kwargs) -> dict:
             frames: Frames = spark.table(inputs) if isinstance(inputs, str) else [spark.table(t) for t in inputs]
             result = dict(func(frames, **kwargs) or {})
-            staged = {}
-            for name, df in result.pop("tables", {}).items():
-                staged[name] = f"{name}__{uuid.uuid4().hex[:12]}"
-                df.write.saveAsTable(staged[name])
-            for name in drops:
-                spark.sql(f"DROP TABLE IF EXISTS {name}")
-            for name, new in staged.items():
-                spark.sql(f"DROP TABLE IF EXISTS {name}")
-                spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+            staged: dict[str, str] = {}
+            try:
+                for name, df in result.pop("tables", {}).items():
+                    staged[name] = _aside(name)
+                    df.write.saveAsTable(staged[name])
+            except BaseException:
+                _drop(spark, staged.values())
+                raise
+            _swap(spark, staged, drops)
             return result
 
         return stage
@@ -46,6 +48,37 @@ def table_stage(inputs: str | Sequence[str], outputs: str | Sequence[str] | None
     return decorate
 
 
+def _aside(name: str) -> str:
+    return f"{name}__{uuid.uuid4().hex[:12]}"
+
+
+def _drop(spark: SparkSession, names: Iterable[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _swap(spark: SparkSession, staged: dict[str, str], drops: Sequence[str]) -> None:
+    """Give the staged tables their names; the old ones go last."""
+    kept: dict[str, str] = {}
+    placed: list[str] = []
+    try:
+        for name in dict.fromkeys([*drops, *staged]):
+            if spark.catalog.tableExists(name):
+                kept[name] = _aside(name)
+                spark.sql(f"ALTER TABLE {name} RENAME TO {kept[name]}")
+        for name, new in staged.items():
+            spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+            placed.append(name)
+    except BaseException:
+        _drop(spark, [*placed, *(new for name, new in staged.items() if name not in placed)])
+        for name, old in kept.items():
+            if not spark.catalog.tableExists(name):
+                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    # a table with a path of its own shares no files with its successor
+    _drop(spark, kept.values())
+
+
 def run_stages(spark: SparkSession, stages: Sequence[Callable[..., dict]], **kwargs) -> list[dict]:
     """Run stages in order; each hands over through the tables it writes."""
     return [stage(spark, **kwargs) for stage in stages]

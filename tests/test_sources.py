@@ -137,3 +137,47 @@ def test_html_as_authors_write_it(spark):
     assert own == ["outer", "inner a", "inner b", "own", "alone"]
     rows = text.table_rows(df, "id", "html", "Some").orderBy("row_no").collect()
     assert [(r["table_no"], r["row_no"], r["header"], r["cells"]) for r in rows] == [(0, 0, "a", ["1", "2"]), (0, 1, "N/A", ["out"])]
+
+
+def test_folder_with_some_formats(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "k int, s string")
+    df.write.option("header", True).csv(str(tmp_path / "x" / "a.csv"))
+    assert [(r["k"], r["source_rank"]) for r in readers.read_folder(spark, str(tmp_path / "x"), "k int, s string").collect()] == [(1, 0)]
+    (tmp_path / "y").mkdir()
+    with pytest.raises(FileNotFoundError):
+        readers.read_folder(spark, str(tmp_path / "y"), "k int, s string")
+
+
+def test_failing_stage_leaves_tables_as_they_were(spark):
+    from grainmill.sources.stages import table_stage
+
+    spark.sql("DROP TABLE IF EXISTS stage_in")
+    spark.range(3).write.saveAsTable("stage_in")
+    before = {t.name for t in spark.catalog.listTables()}
+
+    @table_stage("stage_in", "stage_in")
+    def failing(frame):
+        return {"tables": {"stage_in": frame.limit(1), "stage_out": frame.select(F.raise_error(F.lit("no")).alias("x"))}}
+
+    with pytest.raises(Exception, match="no"):
+        failing(spark)
+    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("stage_in").count() == 3
+
+    @table_stage("stage_in", "stage_in")
+    def halved(frame):
+        return {"tables": {"stage_in": frame.limit(1)}}
+
+    halved(spark)
+    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("stage_in").count() == 1
+    spark.sql("DROP TABLE stage_in")
+
+
+def test_folder_for_intermediate_tables(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from grainmill import session
+
+    assert "grainmill-" in session.own_folder(spark)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://x:1"), conf=spark.conf, _jvm=spark._jvm, _jsc=spark._jsc)
+    with pytest.raises(ValueError, match="shared folder"):
+        session.own_folder(cluster)

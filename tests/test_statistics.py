@@ -107,3 +107,15 @@ def test_suggestions_and_terms(spark):
     }
     pairs = spark.createDataFrame([("a", "b", -0.934), ("a", "c", 0.2)], "f1 string, f2 string, correlation double")
     assert [r["term"] for r in eda.interaction_terms(eda.strong_pairs(pairs)).collect()] == ["a * b (Correlation: 0.93)"]
+
+
+def test_stratified_split_of_many_classes(spark):
+    from pyspark.sql import functions as F
+
+    from grainmill.operators.sample import stratified_split
+
+    df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, F.col("id") % 400).alias("c"))
+    train, test = stratified_split(df, "c", 0.25, ["id"])
+    sizes, taken = ({r["c"]: r["count"] for r in x.groupBy("c").count().collect()} for x in (df, test))
+    assert taken == {c: round(0.25 * n) for c, n in sizes.items() if round(0.25 * n)} and len(sizes) > 130
+    assert train.count() + test.count() == 6000 == train.unionAll(test).distinct().count()
