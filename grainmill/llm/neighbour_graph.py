@@ -75,6 +75,7 @@ def _edges(a, b, score) -> pa.RecordBatch:
 
 
 EDGES = "a long, b long, score double"
+GRAPH = EDGES + ", first boolean, floor double"
 
 
 def _products(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -82,17 +83,19 @@ def _products(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
 
 
 def _first_neighbours(nodes: DataFrame, width: int, k: int, trees: int) -> DataFrame:
-    """Neighbours within the leaves of random trees: a range of one random projection to each task, cut further there."""
-
-    def grow(tree):
-        def run(batches):
-            got = [b for b in batches if b.num_rows]
-            if not got:
-                return
-            node = np.concatenate([b.column(0).to_numpy() for b in got])
-            codes = np.concatenate([_bytes_of(b.column(1), width) for b in got])
-            scale = np.concatenate([b.column(2).to_numpy() for b in got])
-            rng, todo = np.random.default_rng(tree), [np.arange(len(node))]
+    """Neighbours within the leaves of random trees: ranges of each tree's own projection to the tasks, cut further there.
+
+    All trees share one shuffle.
+    """
+
+    def grow(batches):
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        tree, node, scale = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 1, 3))
+        codes = np.concatenate([_bytes_of(b.column(2), width) for b in got])
+        for t in np.unique(tree):
+            rng, todo = np.random.default_rng(t), [np.flatnonzero(tree == t)]
             while todo:
                 part = todo.pop()
                 if len(part) > LEAF:
@@ -106,16 +109,9 @@ def _first_neighbours(nodes: DataFrame, width: int, k: int, trees: int) -> DataF
                     top = np.argpartition(-near, n - 1, axis=1)[:, :n]
                     yield _edges(np.repeat(node[part], n), node[part][top].ravel(), np.take_along_axis(near, top, 1).ravel())
 
-        return run
-
-    grown = [
-        nodes.repartitionByRange(F.col("cut")[t], "node").sortWithinPartitions("node").select("node", "vec", "scale").mapInArrow(grow(t), EDGES)
-        for t in range(trees)
-    ]
-    out = grown[0]
-    for one in grown[1:]:
-        out = out.union(one)
-    return out
+    planted = nodes.select(F.posexplode(F.slice("cut", 1, trees)).alias("tree", "at"), "node", "vec", "scale")
+    ranged = planted.repartitionByRange("tree", "at", "node").sortWithinPartitions("tree", "node")
+    return ranged.select("tree", "node", "vec", "scale").mapInArrow(grow, EDGES)
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -144,7 +140,7 @@ def _joined(parts):
 
 
 def _keep_best(k: int):
-    """Rows sorted by (a, score descending, b) to the `k` best distinct b of each a."""
+    """Rows sorted by (a, score descending, b) to the `k` best distinct b of each a; each knows the score that a new one must beat."""
 
     def run(batches):
         for batch in _whole_runs(batches):
@@ -152,15 +148,20 @@ def _keep_best(k: int):
             fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
             kept = np.flatnonzero(fresh)
             starts = _runs(a[kept])
-            rank = np.arange(len(kept)) - np.repeat(starts, np.diff(np.append(starts, len(kept))))
-            yield batch.take(pa.array(kept[rank < k]))
+            counts = np.diff(np.append(starts, len(kept)))
+            rank = np.arange(len(kept)) - np.repeat(starts, counts)
+            score = batch.column(2).to_numpy()[kept]
+            floor = np.repeat(np.where(counts >= k, score[np.minimum(starts + k, starts + counts) - 1], -np.inf), counts)
+            best = rank < k
+            part = batch.take(pa.array(kept[best]))
+            yield part.append_column("first", pa.array(rank[best] == 0)).append_column("floor", pa.array(floor[best]))
 
     return run
 
 
 def _best(edges: DataFrame, k: int) -> DataFrame:
     ordered = edges.repartition("a").sortWithinPartitions("a", F.desc("score"), "b")
-    return ordered.mapInArrow(_keep_best(k), EDGES)
+    return ordered.mapInArrow(_keep_best(k), GRAPH)
 
 
 def _around(graph: DataFrame, nodes: DataFrame, reverse: int, with_floor: bool) -> DataFrame:
@@ -171,21 +172,25 @@ def _around(graph: DataFrame, nodes: DataFrame, reverse: int, with_floor: bool)
     pairs = graph.select(F.col("a").alias("v"), F.col("b").alias("u")).union(back)
     if with_floor:
         pairs = pairs.union(nodes.select("node", "node"))
-        floors = graph.groupBy("a").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
-        known = known.join(floors, known["u"] == floors["a"], "left").drop("a")
+        known = known.join(graph.where("first").select(F.col("a").alias("u"), "floor"), "u", "left")
     else:
-        known = known.withColumns({"floor": F.lit(0.0), "n": F.lit(0).cast("long")})
-    return pairs.distinct().join(known, "u").select("v", "u", "vec", "scale", "floor", "n").repartition("v").sortWithinPartitions("v", "u")
+        known = known.withColumn("floor", F.lit(0.0))
+    return pairs.join(known, "u").select("v", "u", "vec", "scale", "floor").repartition("v").sortWithinPartitions("v", "u")
+
 
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows sorted by the first two columns without repetitions: a neighbour may be one in both directions."""
+    a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    return batch.take(pa.array(np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))))
 
-def _compare(width: int, k: int):
+
+def _compare(width: int):
     """The neighbourhoods of nodes to pairs that are better than what either end has."""
 
     def run(batches):
-        for batch in _whole_runs(batches):
+        for batch in map(_once, _whole_runs(batches)):
             u, codes, scale = batch.column(1).to_numpy(), _bytes_of(batch.column(2), width), batch.column(3).to_numpy()
-            full = np.nan_to_num(batch.column(5).to_numpy(zero_copy_only=False).astype(float)) >= k
-            floor = np.where(full, batch.column(4).to_numpy(zero_copy_only=False).astype(float), -np.inf)
+            floor = batch.column(4).fill_null(-np.inf).to_numpy()
             starts = np.append(_runs(batch.column(0).to_numpy()), batch.num_rows)
             found = []
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -202,12 +207,12 @@ def _compare(width: int, k: int):
     return run
 
 
-def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24, trees: int = 4, rounds: int = 4) -> DataFrame:
-    """`(a, b, score)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, scale, cut)`."""
+def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24, trees: int = 4, rounds: int = 3) -> DataFrame:
+    """`(a, b, score, first, floor)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, scale, cut)`."""
     graph = stored(_best(_first_neighbours(nodes, width, k, trees), k), "graph")
     for _ in range(rounds):
-        better = _around(graph, nodes, reverse, True).mapInArrow(_compare(width, k), EDGES)
-        turned = stored(_best(graph.union(better), k), "graph")
+        better = _around(graph, nodes, reverse, True).mapInArrow(_compare(width), EDGES)
+        turned = stored(_best(graph.select("a", "b", "score").union(better), k), "graph")
         forget(graph)
         graph = turned
     return graph
@@ -215,7 +220,7 @@ def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24
 
 def _fat_rows(batches):
     """Rows sorted by v to one row for each v, with the ids, scales and codes of its neighbours."""
-    for batch in _whole_runs(batches):
+    for batch in map(_once, _whole_runs(batches)):
         u, vec, scale = batch.column(1).to_numpy(), batch.column(2).to_pylist(), batch.column(3).to_numpy()
         starts = _runs(batch.column(0).to_numpy()).tolist()
         ends = [*starts[1:], batch.num_rows]
@@ -277,7 +282,7 @@ def _pool(size: int, step: int):
     return run
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, pool: int = 192, step: int = 96, reverse: int = 24) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, pool: int = 256, step: int = 256, reverse: int = 24) -> DataFrame:
     """`(a, b, score)`: for each node a of `queries(node)` up to `pool` nodes b found along the graph, a itself among them.
 
     Neighbourhoods are written once, bucketed by node, so that in each round only the questions are shuffled.
@@ -311,7 +316,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, p
 
 
 def nearest(
-    df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = 32, rounds: int = 4, pool: int = 192
+    df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = 32, rounds: int = 3, pool: int = 256
 ) -> DataFrame:
     """`(query_id, rank, vec_id, score)`: for each row with `is_query` (over `id`) the `k` largest inner products found among all others.
 
