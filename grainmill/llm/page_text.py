@@ -138,32 +138,24 @@ def lesson(page: list[Block], rng: np.random.Generator, copies: int) -> list[tup
 
 
 def fit_labeller(pages: DataFrame, html_col: str = "html", fit_pages: int = 300, copies: int = 2, most_blocks: int = 200, seed: int = 5) -> dict | None:
-    """The labeller's weights, from `fit_pages` pages at most, picked by a hash of their markup.
+    """The labeller's weights, from `fit_pages` pages at most, picked by a hash of their markup among a share of all pages.
 
     Only pages with up to `most_blocks` blocks are learnt from (that bounds the sample; labelling has no such
     bound). None if no page's names tell of main text; then the names alone decide on every page.
     """
-    spark = pages.sparkSession
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The least `fit_pages` hashes of a task's useful pages, with their pages."""
-        kept: dict[int, str] = {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                key = crc32(text.encode("utf-8", "surrogatepass"))
-                if key in kept or (len(kept) >= fit_pages and key > max(kept)):
-                    continue
+            useful = []
+            for text in batch.column("page").to_pylist():
                 found = blocks(text)
-                if len(found) <= most_blocks and any(map(told_by_names, found)):
-                    kept[key] = text
-                    if len(kept) > fit_pages:
-                        del kept[max(kept)]
-        yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.string())], names=["key", "page"])
-
-    rows = pages.select(F.col(html_col).alias("page")).mapInArrow(told, "key long, page string")
-    sample = rows.groupBy("key").agg(F.min("page").alias("page")).orderBy("key").limit(fit_pages).collect()
+                useful.append(0 < len(found) <= most_blocks and any(map(told_by_names, found)))
+            yield batch.filter(pa.array(useful, pa.bool_()))
+
+    keyed = pages.select(F.crc32(F.col(html_col).cast("binary")).alias("key"), F.col(html_col).alias("page")).where("page <> ''")
+    share = min(1.0, 8 * fit_pages / max(1, pages.count()))  # of the pages, so that enough of them are useful
+    some = keyed.where(F.col("key") < F.lit(int(share * (1 << 32)))).mapInArrow(told, "key long, page string")
+    sample = some.groupBy("key").agg(F.min("page").alias("page")).orderBy("key").limit(fit_pages).collect()
     rng, reader = np.random.default_rng(seed), Describer()
     lessons = [x for r in sample for x in lesson(blocks(r["page"]), rng, copies)]
     return train([reader.sequence(p) for p, _ in lessons], [y for _, y in lessons]) if lessons else None

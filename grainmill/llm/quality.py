@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.llm.batches import Words, field_list, in_chunks
-from grainmill.llm.staging import forget, stored
+from grainmill.llm.staging import by_hash, forget, stored
 
 BAD, GOOD, NONE = 0, 1, 2
 #: Hash space of word shapes and their runs.
@@ -292,7 +292,7 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     posterior, rates = estimate(patterns, np.array([r["n"] for r in counts], float))
     known = docs.sparkSession.createDataFrame(list(zip(codes.tolist(), posterior.tolist())), "pattern long, label double")
     picked = voted.where("id IS NOT NULL").groupBy("id").agg(F.min("pattern").alias("pattern"))
-    picked = picked.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(fit_docs).join(F.broadcast(known), "pattern")
+    picked = by_hash(picked, "id", fit_docs, sum(r["n"] for r in counts), 11).join(F.broadcast(known), "pattern")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("trim(text) <> ''")
     texts = texts.join(F.broadcast(picked), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
     weights, bias = _train(_features(texts.select("text", "label")).collect())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grainmill.session import scratch_path
 
@@ -24,5 +25,16 @@ def forget(df: DataFrame) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def by_hash(df: DataFrame, key: str, n: int, total: int, seed: int) -> DataFrame:
+    """Up to `n` of about `total` rows, those with the least hash of a key.
+
+    Rows that can hardly be among them are filtered first, so that tasks don't each send `n` rows to be merged.
+    """
+    hashed = F.xxhash64(key, F.lit(seed))
+    if total > 4 * n:
+        df = df.where(F.pmod(hashed, F.lit(1 << 40)) < F.lit(int((1 << 40) * 4 * n / total)))
+    return df.orderBy(F.pmod(hashed, F.lit(1 << 40)), key).limit(n)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.batches import field_list, in_chunks
 from grainmill.llm.chain import ChainField, Tagger, core, fit
-from grainmill.llm.staging import forget, stored
+from grainmill.llm.staging import by_hash, forget, stored
 
 #: Lengths of word beginnings that may mark a token.
 BEGINNINGS = range(3, 7)
@@ -69,11 +69,10 @@ def toxic_spans(text: str, odds: np.ndarray) -> list[dict]:
     return spans
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_docs: int) -> DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame, counts: dict[int, int], id_col: str, text_col: str, fit_docs: int) -> DataFrame:
     """`(text, label)` of up to `fit_docs` documents of each label, picked by a hash of the id, without most copies of each other."""
     one = labels.where("label IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
-    by_hash = [F.xxhash64("id", F.lit(7)), "id"]
-    picked = [one.where(F.col("label") == x).orderBy(*by_hash).limit(fit_docs) for x in (0, 1)]
+    picked = [by_hash(one.where(F.col("label") == x), "id", fit_docs, counts[x], 7) for x in (0, 1)]
     picked = F.broadcast(picked[0].union(picked[1]))  # at most 2 * fit_docs pairs of numbers
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(picked, "id")
     texts = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label")).where("text IS NOT NULL")
@@ -191,7 +190,7 @@ def fit_toxicity(
     flat = ToxicityModel(None, np.array([np.log((base + 1e-9) / (1 - base + 1e-9)), 0, 0, 0]))
     if len(counts) < 2:
         return flat
-    sample = stored(_sample(docs, labels, id_col, text_col, fit_docs), "toxicity")
+    sample = stored(_sample(docs, labels, counts, id_col, text_col, fit_docs), "toxicity")
     marking = _marking(sample)
     passages = _passages(sample, marking, fit_passages) if marking else []
     if not passages:
