@@ -1,142 +1,84 @@
-"""Exact nearest neighbours inside one table of distinct vectors, spread over the cluster.
+"""Nearest neighbours inside one table of distinct vectors, spread over the cluster.
 
-Vectors are grouped around pivots taken from the data (so dense regions get more of them). The
-triangle inequality bounds how far a cell's neighbours can lie, and a vector is copied only to the
-cells it may serve. Inside a cell, blocks of queries meet blocks of candidates, so a task holds two
-blocks however large the cell is; the blocks' short lists are merged per query.
+Every vector goes to one leaf of each of a few random trees: tasks take ranges of a tree's own random
+projection and cut them on at medians of further ones. Inside a leaf neighbours are exact, and a vector's short
+lists from its leaves are merged. Work and shuffle are trees times rows times leaf, whatever the data; a
+table of at most one leaf has exact neighbours.
 """
 
 from __future__ import annotations
 
-import math
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
-
-from grainmill.session import checkpoint_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no installed package
 
-MAX_PIVOTS = 2_000
-BLOCK_ROWS = 4_096
+TREES, LEAF = 6, 1024
+LEAVES_PER_TASK = 8
 NEAR = "array<struct<distance: double, vec: array<double>, copies: bigint>>"
 
 
-def nearest_distinct(vectors: DataFrame, k: int, block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> DataFrame:
-    """`(vec, near)`: the k nearest other vectors of each, with distance and number of copies.
+def nearest_distinct(vectors: DataFrame, k: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+    """`(vec, near)`: near vectors of each, at most `k`, with distance and number of copies, nearest first.
 
-    `vectors` has distinct `vec array<double>` and `copies bigint`.
+    `vectors` has distinct `vec array<double>` of one length and `copies bigint`; it is read more than once.
     """
-    checkpoint_folder(vectors.sparkSession)
     n = vectors.count()
-    wanted = pivots or min(MAX_PIVOTS, max(1, round(math.sqrt(n) / 4)) if n > block_rows else 1)
-    seeds = np.array([r[0] for r in vectors.orderBy(F.xxhash64("vec"), "vec").select("vec").limit(wanted).collect()], dtype=float)
-    placed = vectors.select("vec", "copies", _nearest_pivot(seeds)(F.col("vec")).alias("at")).select("vec", "copies", "at.*").checkpoint()
-    reach, radius, sizes = _reach(placed, seeds, k)
-    serving = placed.withColumn("cell", F.explode(_served_cells(seeds, reach, radius)(F.col("vec"), F.col("cell"))))
-    held = {r["cell"]: r["n"] for r in serving.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
-    blocks = placed.sparkSession.createDataFrame(
-        [(c, math.ceil(m / block_rows), math.ceil(held[c] / block_rows)) for c, m in sizes.items()], "cell int, query_blocks int, held_blocks int"
-    )
-    spread = F.xxhash64("vec", F.lit(7))
-    queries = placed.join(F.broadcast(blocks), "cell").select(
-        "vec", "cell", F.pmod(spread, "query_blocks").cast("int").alias("qb"), F.explode(_block_numbers("held_blocks")).alias("hb")
-    )
-    candidates = serving.join(F.broadcast(blocks), "cell").select(
-        F.col("vec").alias("held"),
-        F.col("copies").alias("held_copies"),
-        F.col("cell").alias("held_cell"),
-        F.explode(_block_numbers("query_blocks")).alias("held_qb"),
-        F.pmod(spread, "held_blocks").cast("int").alias("held_hb"),
-    )
-    met = queries.groupBy("cell", "qb", "hb").cogroup(candidates.groupBy("held_cell", "held_qb", "held_hb"))
-    short = met.applyInPandas(_block_neighbours(k), f"vec array<double>, near {NEAR}")
-    ranked = short.select("vec", F.explode("near").alias("one")).withColumn(
-        "place", F.row_number().over(Window.partitionBy("vec").orderBy("one.distance", "one.vec"))
-    )
-    return ranked.filter(F.col("place") <= k).groupBy("vec").agg(F.array_sort(F.collect_list("one")).alias("near"))
-
-
-def _block_numbers(column: str) -> Column:
-    return F.sequence(F.lit(0), F.col(column) - 1)
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-    return np.sqrt(np.maximum(squares, 0.0))
-
-
-def _nearest_pivot(seeds: np.ndarray):
-    @F.pandas_udf("cell int, r double")
-    def place(vec: pd.Series) -> pd.DataFrame:
-        far = _distances(np.array(vec.tolist(), dtype=float), seeds)
-        cell = far.argmin(1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "r": far[np.arange(len(cell)), cell]})
-
-    return place
-
-
-def _reach(placed: DataFrame, seeds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
-    """Per cell: a distance within which all k neighbours of its vectors lie, its radius, its size."""
-    nearest = Window.partitionBy("cell").orderBy("r")
-    close = placed.select("cell", "r", F.row_number().over(nearest).alias("i")).filter(F.col("i") <= k + 1)
-    close = close.groupBy("cell").agg(F.sort_array(F.collect_list("r")).alias("close"))
-    totals = placed.groupBy("cell").agg(F.max("r").alias("radius"), F.count("*").alias("n"))
-    rows = totals.join(F.broadcast(close), "cell").collect()  # at most one row per pivot
-    radius = np.full(len(seeds), -np.inf)
-    nearby = np.full((len(seeds), k + 1), np.inf)
-    for row in rows:
-        radius[row["cell"]] = row["radius"]
-        nearby[row["cell"], : len(row["close"])] = row["close"]
-    between = _distances(seeds, seeds)
-    reach = np.full(len(seeds), -np.inf)
-    for row in rows:
-        i = row["cell"]
-        bound = np.sort((radius[i] + between[i][:, None] + nearby).ravel())
-        reach[i] = bound[min(k, len(bound) - 1)]
-    return reach, radius, {row["cell"]: row["n"] for row in rows}
-
-
-def _served_cells(seeds: np.ndarray, reach: np.ndarray, radius: np.ndarray):
-    """For each vector the cells whose queries may have it as a neighbour, its own included."""
-    between = _distances(seeds, seeds)
-
-    @F.pandas_udf("array<int>")
-    def serve(vec: pd.Series, cell: pd.Series) -> pd.Series:
-        own = cell.to_numpy()
-        far = _distances(np.array(vec.tolist(), dtype=float), seeds)
-        gap = far**2 - (far[np.arange(len(own)), own] ** 2)[:, None]
-        apart = 2.0 * between[own]
-        plane = np.divide(gap, apart, out=np.zeros_like(gap), where=apart > 0)
-        least = np.maximum(plane, far - radius[None, :])
-        slack = 1e-7 * (1.0 + far)  # rounding must not lose a neighbour
-        inside = (least <= reach[None, :] + slack) & np.isfinite(radius)[None, :]
-        inside[np.arange(len(own)), own] = True
-        return pd.Series([np.flatnonzero(row).astype("int32").tolist() for row in inside])
-
-    return serve
-
-
-def _block_neighbours(k: int):
-    def nearest(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or held.empty:
-            return pd.DataFrame({"vec": [], "near": []})
-        a, b = np.array(queries["vec"].tolist(), dtype=float), np.array(held["held"].tolist(), dtype=float)
-        copies = held["held_copies"].to_numpy()
-        near = []
-        for start in range(0, len(a), 512):
-            part = a[start : start + 512]
-            rough = _distances(part, b)
-            top = np.argpartition(rough, min(k + 4, len(b) - 1), axis=1)[:, : k + 5]
-            for q, picks in zip(part, top):
-                exact = np.sqrt(((b[picks] - q) ** 2).sum(1))
-                order = [j for j in np.argsort(exact, kind="stable") if not np.array_equal(b[picks[j]], q)][:k]
-                near.append([{"distance": float(exact[j]), "vec": b[picks[j]].tolist(), "copies": int(copies[picks[j]])} for j in order])
-        return pd.DataFrame({"vec": queries["vec"], "near": near})
-
-    return nearest
+    rows = planted(vectors, trees)
+    tasks = max(1, trees * n // (leaf * LEAVES_PER_TASK))
+    ranged = rows.repartitionByRange(tasks, "tree", "at", "vec").sortWithinPartitions("tree", "vec").select("tree", "vec", "copies")
+    short = ranged.mapInPandas(_leaves(k, max(leaf, 2 * k + 2)), f"vec array<double>, near {NEAR}")
+    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("near"))))  # at most trees * k entries
+    return short.groupBy("vec").agg(F.slice(merged, 1, k).alias("near"))
+
+
+def planted(vectors: DataFrame, trees: int) -> DataFrame:
+    """`(vec, copies, tree, at)`: each vector once for each tree, with its place along the tree's first direction."""
+    first = vectors.select(F.size("vec").alias("width")).first()
+    width = first["width"] if first else 0
+    directions = np.random.default_rng(11).standard_normal((trees, max(1, width)))
+    places = [F.aggregate(F.zip_with("vec", F.lit(d.tolist()), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) for d in directions]
+    return vectors.select("vec", "copies", F.posexplode(F.array(*places)).alias("tree", "at"))
+
+
+def _leaves(k: int, leaf: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [b for b in batches if len(b)]
+        if not got:
+            return
+        rows = pd.concat(got, ignore_index=True)
+        tree, copies = rows["tree"].to_numpy(), rows["copies"].to_numpy()
+        points = np.array(rows["vec"].tolist(), dtype=float).reshape(len(rows), -1)
+        for t in np.unique(tree):
+            rng, todo = np.random.default_rng(t), [np.flatnonzero(tree == t)]
+            while todo:
+                part = todo.pop()
+                if len(part) > leaf:
+                    order = part[np.argsort(points[part] @ rng.standard_normal(points.shape[1]), kind="stable")]
+                    todo += [order[: len(order) // 2], order[len(order) // 2 :]]
+                else:
+                    yield _within(points[part], copies[part], k)
+
+    return run
+
+
+def _within(points: np.ndarray, copies: np.ndarray, k: int) -> pd.DataFrame:
+    """The nearest other points of each point of a leaf."""
+    squares = (points * points).sum(1)
+    rough = squares[:, None] + squares[None, :] - 2.0 * points @ points.T
+    np.fill_diagonal(rough, np.inf)
+    n = min(k + 4, len(points) - 1)
+    near = []
+    for i in range(len(points)):
+        picks = np.argpartition(rough[i], n - 1)[:n] if n else np.zeros(0, int)
+        exact = np.sqrt(((points[picks] - points[i]) ** 2).sum(1))
+        order = picks[np.lexsort((picks, exact))][:k]
+        exact.sort()
+        near.append([{"distance": float(d), "vec": points[j].tolist(), "copies": int(copies[j])} for d, j in zip(exact, order)])
+    return pd.DataFrame({"vec": points.tolist(), "near": near})

@@ -13,18 +13,16 @@ from grainmill.operators.sample import HASH_RANGE, sample_rows
 from grainmill.session import checkpoint_folder
 
 ROWS_PER_TASK_STEP = 10_000
-MAX_CLASSES = 1_000
 
 
 def smote(df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
     """`(features…, label, synthetic)`: every class brought up to the size of the largest.
 
     Each row of a smaller class is used equally often as a base, the remainder by hash of its key.
-    A synthetic row is `x + u (y - x)` with `y` one of the k nearest rows of the class and `u` uniform.
+    A synthetic row is `x + u (y - x)` with `y` one of the k nearest rows of the class that its
+    leaves of random trees hold (all of the class up to a thousand rows) and `u` uniform.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(col(label)).agg(F.count("*")).limit(MAX_CLASSES + 1).collect()}
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    counts = {r[0]: r[1] for r in df.groupBy(col(label)).agg(F.count("*")).collect()}  # one row per class
     largest = max(counts.values(), default=0)
     result = df.select(*[col(c) for c in features], col(label), F.lit(False).alias("synthetic"))
     for value, n in sorted(counts.items(), key=lambda item: str(item[0])):

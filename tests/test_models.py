@@ -44,18 +44,24 @@ def test_stratified_split_with_a_hot_class(spark):
     assert train.join(test, "id").count() == 0 and train.count() + test.count() == 3000
 
 
-@pytest.mark.parametrize("options", [{}, {"block_rows": 40, "pivots": 12}])
-def test_neighbours_are_exact_for_any_cells_and_blocks(spark, options):
+@pytest.mark.parametrize("options,least", [({}, 1.0), ({"leaf": 60, "trees": 6}, 0.95)])
+def test_neighbours_within_the_leaves_of_trees(spark, options, least):
+    """One leaf is exact; several trees of smaller leaves find nearly all of the five nearest."""
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 3))
     x[:100] *= 0.01
-    df = spark.createDataFrame([(p.tolist(), 1) for p in x], "vec array<double>, copies bigint")
+    df = spark.createDataFrame([(p.tolist(), 1) for p in x], "vec array<double>, copies bigint").cache()
     got = {tuple(r["vec"]): [n["distance"] for n in r["near"]] for r in neighbours.nearest_distinct(df, 5, **options).collect()}
     far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     far.sort(1)
     assert len(got) == 300
-    for p, distances in zip(x, far):
-        np.testing.assert_allclose(got[tuple(p)], distances[1:6], rtol=1e-12)
+    hits = [np.isclose(d, true[1:6], rtol=1e-12).all() if least == 1.0 else np.mean([np.isclose(d, t).any() for t in true[1:6]]) for d, true in ((got[tuple(p)], f) for p, f in zip(x, far))]
+    assert np.mean(hits) >= least
+
+
+def test_each_vector_goes_to_one_leaf_of_each_tree(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.col("embedding").cast("array<double>").alias("vec"), F.lit(1).cast("bigint").alias("copies"))
+    assert {r["count"] for r in neighbours.planted(df, 5).groupBy("vec").count().collect()} == {5}
 
 
 def test_smote_balances_on_segments(spark, points):
