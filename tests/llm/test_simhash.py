@@ -37,7 +37,7 @@ def test_fingerprint_is_the_plain_one():
         assert fingerprint(text) == plain_fingerprint(text), text
 
 
-@pytest.mark.parametrize("distance,crowd", [(4, 64), (4, 2), (4, 1), (2, 64), (2, 3), (0, 64)])
+@pytest.mark.parametrize("distance,crowd", [(4, 64), (4, 1), (2, 3)])
 def test_links_reach_what_all_pairs_reach(frame, distance, crowd):
     rng = random.Random(7)
     words = [rng.getrandbits(64) for _ in range(60)]
