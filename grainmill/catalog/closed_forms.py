@@ -6,9 +6,13 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from grainmill.catalog.frames import gapped
 from grainmill.catalog.registry import query, table
+from grainmill.catalog.storing import unique
 from grainmill.models import feature_stages, search
 from grainmill.operators.sample import split_rows
+from grainmill.plans.challenge import challenge
+from grainmill.plans.preparation import prepare
 from grainmill.session import scratch_path
 from grainmill.sources import writers
 
@@ -158,3 +162,39 @@ def no_noise(spark, folder):
     model = search.pipeline(feature_stages.assembler(["x"]), search.decision_tree("y", maxDepth=1)).fit(train)
     found = search.robustness(model, test, ["x"], "y", KEY, rounds=5, std=0.0)
     return found.withColumns({c: F.round(c, 6) for c in ("accuracy", "mean_accuracy", "low", "high")})
+
+
+@query(
+    "K10_models",
+    f"""WITH {POINTS_SQL}, s AS (SELECT avg(x) AS m, stddev_samp(x) AS d FROM points), kept AS (SELECT points.* FROM points, s WHERE abs(x - m) / d - 3 < 0.01),
+    trained AS (SELECT 0 AS part, x, y FROM kept WHERE fold <> 4), {SPLIT_SQL},
+    a AS (SELECT avg(CAST(y = CASE WHEN x <= t THEN below ELSE above END AS INTEGER)) AS a FROM kept, best WHERE fold = 4)
+    SELECT model, round(a, 6) AS accuracy, 'product' AS choice FROM a, (VALUES ('production'), ('max'), ('product')) AS m(model)""",
+)
+def challenged(spark, folder):
+    """The whole flow through tables. The second column is twice the first, so all three models cut alike and the last wins the tie."""
+    raw = unique("k10_models")
+    points(spark, folder).withColumn("w", F.col("x") * 2.0).write.saveAsTable(raw)
+    tables = challenge(
+        spark, raw, raw, "y", ["x", "w"], ["p_partkey", "fold"],
+        lambda names: search.pipeline(feature_stages.assembler(names), search.decision_tree("y", maxDepth=1)), share=F.col("fold") / F.lit(5.0), rounds=3,
+    )
+    found = spark.table(tables["results"]).crossJoin(F.broadcast(spark.table(tables["choice"])))  # one row
+    return found.select("model", F.round("accuracy", 6).alias("accuracy"), "choice")
+
+
+@query(
+    "prepared",
+    """WITH base AS (SELECT CASE WHEN l_linenumber <> 3 THEN l_quantity END AS q, CASE WHEN l_linenumber <> 5 THEN l_extendedprice END AS p, l_discount AS d FROM lineitem),
+    m AS (SELECT median(q) AS mq, median(p) AS mp, median(d) AS md FROM base),
+    f AS (SELECT coalesce(q, mq) AS q, coalesce(p, mp) AS p, coalesce(d, md) AS d FROM base, m),
+    b AS (SELECT quantile_cont(q, 0.25) AS q1, quantile_cont(q, 0.75) AS q3, quantile_cont(p, 0.25) AS p1, quantile_cont(p, 0.75) AS p3, quantile_cont(d, 0.25) AS d1, quantile_cont(d, 0.75) AS d3 FROM f),
+    c AS (SELECT greatest(least(q, q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)) AS q, greatest(least(p, p3 + 1.5 * (p3 - p1)), p1 - 1.5 * (p3 - p1)) AS p,
+      greatest(least(d, d3 + 1.5 * (d3 - d1)), d1 - 1.5 * (d3 - d1)) AS d FROM f, b)
+    SELECT 'quantity' AS feature1, 'price' AS feature2, round(corr(q, p), 6) AS correlation FROM c
+    UNION ALL SELECT 'quantity', 'discount', round(corr(q, d), 6) FROM c UNION ALL SELECT 'price', 'discount', round(corr(p, d), 6) FROM c""",
+)
+def prepared(spark, folder):
+    """Gaps filled, outliers clamped, the most correlated pairs."""
+    _, pairs = prepare(gapped(spark, folder).select("quantity", "price", "discount"), n=3)
+    return pairs.select("feature1", "feature2", F.round("correlation", 6).alias("correlation"))

@@ -21,7 +21,7 @@ CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 
-def _unique(name: str) -> str:
+def unique(name: str) -> str:
     return f"grainmill_{name}_{uuid.uuid4().hex[:10]}"
 
 
@@ -104,7 +104,7 @@ def text_scan(spark, folder):
 
 @query("S10", "SELECT s_nationkey, CAST(count(*) AS BIGINT) AS n FROM supplier GROUP BY s_nationkey")
 def table_scan(spark, folder):
-    name = _unique("s10")
+    name = unique("s10")
     writers.write_table(table(spark, folder, "supplier"), name, scratch_path(spark, "s10"))
     return readers.read_table(spark, name).groupBy("s_nationkey").agg(F.count("*").alias("n"))
 
@@ -134,7 +134,7 @@ def uri_scan(spark, folder):
     "SELECT 'part_copy', CAST(count(*) AS BIGINT) FROM part",
 )
 def table_listing(spark, folder):
-    database = _unique("s13")
+    database = unique("s13")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 's13')}'")
     for name in ("orders", "part"):
         writers.write_table(table(spark, folder, name), f"{database}.{name}_copy")
@@ -168,7 +168,7 @@ def parquet_sink(spark, folder):
 
 @query("K4", "SELECT p_type, CAST(count(*) AS BIGINT) AS n FROM part WHERE p_size > 25 GROUP BY p_type")
 def table_sink(spark, folder):
-    name, path = _unique("k4"), scratch_path(spark, "k4")
+    name, path = unique("k4"), scratch_path(spark, "k4")
     part = table(spark, folder, "part")
     writers.write_table(part, name, path)
     writers.write_table(part.filter("p_size > 25"), name, path)
@@ -240,7 +240,7 @@ def driver_result(spark, folder):
 )
 def replaced_input(spark, folder):
     """A stage that replaces the table it reads."""
-    name = _unique("k9")
+    name = unique("k9")
     table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority").write.saveAsTable(name)
 
     @table_stage(name, name)
@@ -259,7 +259,7 @@ def replaced_input(spark, folder):
 )
 def stage_flow(spark, folder):
     """Three stages that hand over through tables: gaps filled, averaged, rounded."""
-    raw, clean, means = (_unique(f"k10_{n}") for n in ("raw", "clean", "means"))
+    raw, clean, means = (unique(f"k10_{n}") for n in ("raw", "clean", "means"))
     price = F.when(F.col("o_custkey") % 7 != 0, F.col("o_totalprice")).alias("price")
     table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", price).write.saveAsTable(raw)
 
@@ -282,7 +282,7 @@ def stage_flow(spark, folder):
 )
 def car_flow(spark, folder):
     """Three formats, rounding, first row per key in reading order, parquet staging, table."""
-    path, staging, name = scratch_path(spark, "etl"), scratch_path(spark, "etl_staging"), _unique("etl")
+    path, staging, name = scratch_path(spark, "etl"), scratch_path(spark, "etl_staging"), unique("etl")
     df = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", (F.col("c_acctbal") / 3).alias("price"))
     part = [df.filter(F.col("c_nationkey") % 3 == i).drop("c_nationkey").orderBy("c_custkey") for i in range(3)]
     part[0].write.option("header", True).csv(f"{path}/a.csv")
