@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 #: Characters of text that are worked on together, so that memory does not follow the length of a batch.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 
 def in_chunks(texts: list[str], size: int = CHUNK) -> Iterator[slice]:

@@ -151,7 +151,7 @@ def fit(sequences: list[list[str]], tags: np.ndarray, size: int = 1 << 16, round
 class Tagger:
     """Marginals of whole texts; keeps the weights of words it has seen, up to `keep` of them."""
 
-    def __init__(self, model: ChainField, keep: int = 300_000):
+    def __init__(self, model: ChainField, keep: int = 200_000):
         self.model, self.keep = model, keep
         self.forget()
 

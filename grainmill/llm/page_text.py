@@ -57,7 +57,7 @@ CHUNK = 2_000_000
 class Describer:
     """Blocks as the labeller's input; knows up to `keep` words."""
 
-    def __init__(self, keep: int = 300_000):
+    def __init__(self, keep: int = 200_000):
         self.keep, self.words, self.hashes, self.paths = keep, Words(), np.zeros(0, np.int64), {}
 
     def _path(self, path: tuple[str, ...]) -> np.ndarray:

@@ -32,7 +32,7 @@ class PieceModel:
     their start are supported; others are refused.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 450_000):
         from sentencepiece import SentencePieceProcessor
 
         library = SentencePieceProcessor(model_file=path)

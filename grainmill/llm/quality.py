@@ -107,7 +107,7 @@ class Counted:
 class Reader:
     """Counts texts; keeps what it knows of up to `keep` words."""
 
-    def __init__(self, keep: int = 300_000):
+    def __init__(self, keep: int = 200_000):
         self.keep = keep
         self._forget()
 

@@ -115,7 +115,7 @@ def read_pieces(path: str) -> list[tuple[bytes, bool]]:
 class Counter:
     """Counts texts; keeps the numbers of up to `keep` space-separated words."""
 
-    def __init__(self, automaton: Automaton, keep: int = 300_000):
+    def __init__(self, automaton: Automaton, keep: int = 200_000):
         self.automaton, self.keep = automaton, keep
         self._forget()
 

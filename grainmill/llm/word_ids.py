@@ -35,7 +35,7 @@ class WordEncoder:
     are split and merged here, all new words of a batch at once; other words go to the tokenizer itself.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 450_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
