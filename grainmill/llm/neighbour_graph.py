@@ -3,8 +3,9 @@
 Equal vectors are one node. Random cuts of the space give every node first neighbours; then, round after round,
 all that are neighbours of one node (or have it as theirs) are compared with each other and every node keeps
 the best it has seen. A query starts at a node and follows the graph: the best nodes seen so far are asked for
-their neighbours until all of them have been asked. Both work on vectors of one byte for each component, whose
-products are exact whole numbers; what is found is ranked by the products of the original vectors.
+their neighbours until all of them have been asked. Both work on the components as they are stored, multiplied in
+double precision, so near copies stay apart wherever their vectors do. The last bits of such products depend on the
+order of the sums: all of a pool that can be among the best by these bits is ranked again by sums in one order.
 """
 
 from __future__ import annotations
@@ -47,27 +48,26 @@ def _floats(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _bytes_of(column: pa.Array, width: int) -> np.ndarray:
-    """Binary cells of `width` bytes as rows of whole numbers, in floats that hold their products exactly."""
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.int8).reshape(-1, width).astype(np.float32)
+def _vectors(column: pa.Array, width: int) -> np.ndarray:
+    """Binary cells of `width` components, of four or eight bytes each, as rows in double precision."""
+    cells = column.to_pylist()
+    kind = "<f4" if cells and len(cells[0]) == 4 * width else "<f8"
+    return np.frombuffer(b"".join(cells), kind).reshape(-1, width).astype(np.float64)
 
 
 def _coded(exact: DataFrame, width: int, trees: int) -> DataFrame:
-    """`(node, vec, scale, cut)`: components as bytes with their scale, and random projections to cut the space by."""
+    """`(node, vec, norm, cut)`: all components in the precision they have, the vector's length, and random projections to cut the space by."""
+    kind = "<f4" if exact.schema["v"].dataType.elementType.typeName() == "float" else "<f8"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         onto = np.random.default_rng(11).standard_normal((width, trees))
         for batch in batches:
             v = _floats(batch.column(1), width)
-            scale = np.abs(v).max(axis=1) / 127
-            codes = np.rint(v / scale[:, None]).astype(np.int8)
+            cells = pa.array([c.tobytes() for c in v.astype(kind)], pa.binary())
             cuts = pa.array(list(v @ onto), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale), cuts], names=["node", "vec", "scale", "cut"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), cells, pa.array(np.linalg.norm(v, axis=1)), cuts], names=["node", "vec", "norm", "cut"])
 
-    return exact.select("node", "v").mapInArrow(run, "node long, vec binary, scale double, cut array<double>")
+    return exact.select("node", "v").mapInArrow(run, "node long, vec binary, norm double, cut array<double>")
 
 
 def _edges(a, b, score) -> pa.RecordBatch:
@@ -78,10 +78,6 @@ EDGES = "a long, b long, score double"
 GRAPH = EDGES + ", first boolean, floor double"
 
 
-def _products(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    return (codes @ codes.T).astype(float) * (scale[:, None] * scale[None])
-
-
 def _first_neighbours(nodes: DataFrame, width: int, k: int, trees: int) -> DataFrame:
     """Neighbours within the leaves of random trees: ranges of each tree's own projection to the tasks, cut further there.
 
@@ -92,26 +88,26 @@ def _first_neighbours(nodes: DataFrame, width: int, k: int, trees: int) -> DataF
         got = [b for b in batches if b.num_rows]
         if not got:
             return
-        tree, node, scale = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 1, 3))
-        codes = np.concatenate([_bytes_of(b.column(2), width) for b in got])
+        tree, node = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 1))
+        v = np.concatenate([_vectors(b.column(2), width) for b in got])
         for t in np.unique(tree):
             rng, todo = np.random.default_rng(t), [np.flatnonzero(tree == t)]
             while todo:
                 part = todo.pop()
                 if len(part) > LEAF:
-                    order = part[np.argsort(codes[part] @ rng.standard_normal(width) * scale[part], kind="stable")]
+                    order = part[np.argsort(v[part] @ rng.standard_normal(width), kind="stable")]
                     todo += [order[: len(order) // 2], order[len(order) // 2 :]]
                     continue
-                near = _products(codes[part], scale[part])
+                near = v[part] @ v[part].T
                 np.fill_diagonal(near, -np.inf)
                 n = min(k, len(part) - 1)
                 if n:
                     top = np.argpartition(-near, n - 1, axis=1)[:, :n]
                     yield _edges(np.repeat(node[part], n), node[part][top].ravel(), np.take_along_axis(near, top, 1).ravel())
 
-    planted = nodes.select(F.posexplode(F.slice("cut", 1, trees)).alias("tree", "at"), "node", "vec", "scale")
+    planted = nodes.select(F.posexplode(F.slice("cut", 1, trees)).alias("tree", "at"), "node", "vec")
     ranged = planted.repartitionByRange("tree", "at", "node").sortWithinPartitions("tree", "node")
-    return ranged.select("tree", "node", "vec", "scale").mapInArrow(grow, EDGES)
+    return ranged.select("tree", "node", "vec").mapInArrow(grow, EDGES)
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -139,14 +135,23 @@ def _joined(parts):
         yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
 
 
+def _one_of_each(a: np.ndarray, b: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """Places, in order, of one row of each (a, b): the first with the least `later`.
+
+    The scores of one pair can differ in the last bits, so its rows need not stand together.
+    """
+    order = np.lexsort((later, b, a))
+    a, b = a[order], b[order]
+    return np.sort(order[np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]])
+
+
 def _keep_best(k: int):
     """Rows sorted by (a, score descending, b) to the `k` best distinct b of each a; each knows the score that a new one must beat."""
 
     def run(batches):
         for batch in _whole_runs(batches):
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-            kept = np.flatnonzero(fresh)
+            kept = _one_of_each(a, b, np.zeros(len(a), bool))
             starts = _runs(a[kept])
             counts = np.diff(np.append(starts, len(kept)))
             rank = np.arange(len(kept)) - np.repeat(starts, counts)
@@ -165,17 +170,17 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
 
 
 def _around(graph: DataFrame, nodes: DataFrame, reverse: int, with_floor: bool) -> DataFrame:
-    """`(v, u, vec, scale, floor)`, sorted by v: v itself, its neighbours, and the `reverse` best of those it is a neighbour of."""
+    """`(v, u, vec, floor)`, sorted by v: v itself, its neighbours, and the `reverse` best of those it is a neighbour of."""
     order = Window.partitionBy("b").orderBy(F.desc("score"), "a")
     back = graph.withColumn("n", F.row_number().over(order)).where(F.col("n") <= reverse).select(F.col("b").alias("v"), F.col("a").alias("u"))
-    known = nodes.select(F.col("node").alias("u"), "vec", "scale")
+    known = nodes.select(F.col("node").alias("u"), "vec")
     pairs = graph.select(F.col("a").alias("v"), F.col("b").alias("u")).union(back)
     if with_floor:
         pairs = pairs.union(nodes.select("node", "node"))
         known = known.join(graph.where("first").select(F.col("a").alias("u"), "floor"), "u", "left")
     else:
         known = known.withColumn("floor", F.lit(0.0))
-    return pairs.join(known, "u").select("v", "u", "vec", "scale", "floor").repartition("v").sortWithinPartitions("v", "u")
+    return pairs.join(known, "u").select("v", "u", "vec", "floor").repartition("v").sortWithinPartitions("v", "u")
 
 
 def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -189,12 +194,12 @@ def _compare(width: int):
 
     def run(batches):
         for batch in map(_once, _whole_runs(batches)):
-            u, codes, scale = batch.column(1).to_numpy(), _bytes_of(batch.column(2), width), batch.column(3).to_numpy()
-            floor = batch.column(4).fill_null(-np.inf).to_numpy()
+            u, vectors = batch.column(1).to_numpy(), _vectors(batch.column(2), width)
+            floor = batch.column(3).fill_null(-np.inf).to_numpy()
             starts = np.append(_runs(batch.column(0).to_numpy()), batch.num_rows)
             found = []
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                near = _products(codes[s:e], scale[s:e])
+                near = vectors[s:e] @ vectors[s:e].T
                 np.fill_diagonal(near, -np.inf)
                 i, j = np.nonzero(near > floor[s:e, None])
                 found.append((u[s + i], u[s + j], near[i, j]))
@@ -208,7 +213,7 @@ def _compare(width: int):
 
 
 def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24, trees: int = 4, rounds: int = 3) -> DataFrame:
-    """`(a, b, score, first, floor)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, scale, cut)`."""
+    """`(a, b, score, first, floor)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, cut)`."""
     graph = stored(_best(_first_neighbours(nodes, width, k, trees), k), "graph")
     for _ in range(rounds):
         better = _around(graph, nodes, reverse, True).mapInArrow(_compare(width), EDGES)
@@ -219,15 +224,15 @@ def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24
 
 
 def _fat_rows(batches):
-    """Rows sorted by v to one row for each v, with the ids, scales and codes of its neighbours."""
+    """Rows sorted by v to one row for each v, with the ids and vectors of its neighbours."""
     for batch in map(_once, _whole_runs(batches)):
-        u, vec, scale = batch.column(1).to_numpy(), batch.column(2).to_pylist(), batch.column(3).to_numpy()
+        u, vec = batch.column(1).to_numpy(), batch.column(2).to_pylist()
         starts = _runs(batch.column(0).to_numpy()).tolist()
         ends = [*starts[1:], batch.num_rows]
-        cells = [[x[s:e].tobytes() for s, e in zip(starts, ends)] for x in (u, scale)]
-        codes = [b"".join(vec[s:e]) for s, e in zip(starts, ends)]
+        ids = [u[s:e].tobytes() for s, e in zip(starts, ends)]
+        vectors = [b"".join(vec[s:e]) for s, e in zip(starts, ends)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(starts)), *(pa.array(c, pa.binary()) for c in (*cells, codes))], names=["node", "ids", "scales", "codes"]
+            [batch.column(0).take(pa.array(starts)), pa.array(ids, pa.binary()), pa.array(vectors, pa.binary())], names=["node", "ids", "vectors"]
         )
 
 
@@ -236,14 +241,14 @@ def _ask(width: int):
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                query, floor, own_scale = (part.column(i).to_numpy() for i in (0, 1, 2))
-                own = _bytes_of(part.column(3), width)
-                ids, scales = (np.frombuffer(b"".join(part.column(i).to_pylist()), t) for i, t in ((4, "<i8"), (5, "<f8")))
-                codes = np.frombuffer(b"".join(part.column(6).to_pylist()), np.int8).reshape(-1, width)
-                row = np.repeat(np.arange(part.num_rows), [len(x) // 8 for x in part.column(4).to_pylist()])
-                score = np.einsum("ij,ij->i", codes.astype(np.float32), own[row]).astype(float) * (scales * own_scale[row])
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                query, floor = (part.column(i).to_numpy() for i in (0, 1))
+                own, near = _vectors(part.column(2), width), part.column(3).to_pylist()
+                ids, counts = np.frombuffer(b"".join(near), "<i8"), [len(x) // 8 for x in near]
+                vectors = np.frombuffer(b"".join(part.column(4).to_pylist()), "<f4" if len(part.column(2)[0].as_py()) == 4 * width else "<f8")
+                row = np.repeat(np.arange(part.num_rows), counts)
+                score = np.einsum("ij,ij->i", vectors.reshape(-1, width).astype(np.float64), own[row])
                 good = score > floor[row]
                 a, b, score = query[row[good]], ids[good], score[good]
                 order = np.lexsort((b, a))
@@ -263,7 +268,7 @@ def _pool(size: int, step: int):
     def run(batches):
         for batch in _whole_runs(batches):
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            kept = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            kept = _one_of_each(a, b, ~batch.column(3).to_numpy(zero_copy_only=False))
             starts = _runs(a[kept])
             rank = np.arange(len(kept)) - np.repeat(starts, np.diff(np.append(starts, len(kept))))
             kept = kept[rank < size]
@@ -290,9 +295,9 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, p
     spark = nodes.sparkSession
     around = f"grainmill_around_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fat = _around(graph, nodes, reverse, False).select("v", "u", "vec", "scale").mapInArrow(_fat_rows, "node long, ids binary, scales binary, codes binary")
+    fat = _around(graph, nodes, reverse, False).select("v", "u", "vec").mapInArrow(_fat_rows, "node long, ids binary, vectors binary")
     fat.write.bucketBy(buckets, "node").sortBy("node").saveAsTable(around)
-    asking = stored(nodes.join(queries.select("node"), "node", "left_semi").select(F.col("node").alias("a"), "vec", "scale"), "asking")
+    asking = stored(nodes.join(queries.select("node"), "node", "left_semi").select(F.col("node").alias("a"), "vec"), "asking")
     # A node's product with itself is the first entry of its pool.
     own = F.lit(float("inf"))
     found = asking.select("a", F.col("a").alias("b"), own.alias("score"), F.lit(False).alias("asked"))
@@ -305,7 +310,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, p
     try:
         while state.where("ask").take(1):
             asked = state.where("ask").select("a", F.col("b").alias("node"), "floor").join(asking, "a")
-            met = asked.join(spark.table(around), "node").select("a", "floor", "scale", "vec", "ids", "scales", "codes")
+            met = asked.join(spark.table(around), "node").select("a", "floor", "vec", "ids", "vectors")
             hits = met.mapInArrow(_ask(width), EDGES).where("a <> b").withColumn("asked", F.lit(False))
             turned = ranked(state.select("a", "b", "score", "asked").union(hits))
             forget(state)
@@ -335,8 +340,12 @@ def nearest(
     own = stored(own.join(exact.select("v", "node"), "v").select("id", "node"), "own")
     found = search(graph, nodes, own.select("node").distinct(), width, pool)
 
-    best = Window.partitionBy("a").orderBy(F.desc("score"), "b")
-    close = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= 3 * k + 1).select("a", "b")
+    # Two sums of the same terms differ by less than `off`: all of the pool that may be among the k + 1 best are ranked.
+    longest = nodes.agg(F.max("norm").alias("n")).first()["n"] or 0.0
+    off = F.lit(min(4 * width * float(np.finfo(float).eps) * longest * longest, 1e308))
+    placed = found.withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b")))
+    least = F.max(F.when(F.col("n") == k + 1, F.col("score"))).over(Window.partitionBy("a"))
+    close = placed.withColumn("least", least - 2 * off).where(F.col("least").isNull() | (F.col("score") >= F.col("least"))).select("a", "b")
     left = exact.select(F.col("node").alias("a"), F.col("v").alias("x"))
     right = exact.select(F.col("node").alias("b"), F.col("v").alias("y"), "copies")
     terms = F.zip_with("x", "y", lambda p, q: F.coalesce(p.cast("double") * q.cast("double"), F.lit(0.0)))

@@ -3,6 +3,8 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from grainmill.llm.catalog import QUERIES
 from grainmill.llm.neighbour_graph import nearest
@@ -53,6 +55,31 @@ def test_few_and_no_vectors(frame):
     assert nearest(frame(few[:1], SCHEMA), "id % 10 = 0").count() == 0
 
 
+def vectors_of(spark, rows):
+    """A frame of single precision vectors with their places as ids, and the true neighbours of every twentieth."""
+    rows = rows.astype(np.float32)
+    table = pa.table({"vec_id": np.arange(len(rows)), "embedding": pa.array(list(rows), pa.list_(pa.float32()))})
+    exact, want = rows.astype(float), {}
+    for q in range(0, len(rows), 20):
+        score = exact @ exact[q]
+        score[q] = -np.inf
+        near = np.argsort(-score, kind="stable")[:20]
+        want[q] = [(-score[j], j) for j in near.tolist()]
+    return spark.createDataFrame(table).repartition(8), want
+
+
+def test_a_third_are_near_copies(spark):
+    rng = np.random.default_rng(8)
+    rows = rng.standard_normal((6000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    near = rng.permutation(6000)[:2000]
+    rows[near] = rows[near[0]] + 0.0003 * rng.standard_normal((2000, 64))
+    df, want = vectors_of(spark, rows)
+    group = {q: best for q, best in want.items() if q in set(near.tolist())}
+    got = nearest(df, "id % 20 = 0").where(F.col("query_id").isin(list(group))).collect()
+    check(got, group, 0.9)
+
+
 def test_query_recall(spark):
     folder = "/root/testdata/sf0.01"
     rows = duckdb.sql(f"select vec_id, embedding from '{folder}/embeddings.parquet'").fetchall()
