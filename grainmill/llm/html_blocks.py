@@ -8,7 +8,7 @@ import re
 from dataclasses import dataclass
 
 # Elements whose content is no text of the page, and elements that end a run of text.
-UNSEEN = "head title script style noscript template svg math iframe object textarea"
+UNSEEN = "title script style noscript template svg math iframe textarea"
 BLOCKS = (
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td "
@@ -31,10 +31,13 @@ ENDED_BY = {
 #: Elements through which a beginning tag still ends what is open above them.
 PASSED = {"div", "address"}
 VOID = {"hr"}
+#: What stands in a tag after its name: quotes hold a value only after `=`.
+REST = r"(?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<unseen>{'|'.join(UNSEEN.split())})\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=unseen)\s*>|(?=<body\b)|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(?:svg|math)(?=[\s/>]){REST}(?<=/)>"
+    rf"|<(?P<unseen>{'|'.join(UNSEEN.split())})(?=[\s/>]){REST}>.*?(?:</(?P=unseen)\s*>|(?=</head[\s>]|<body[\s/>])|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>{REST})>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )

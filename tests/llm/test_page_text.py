@@ -31,6 +31,13 @@ MADE = """<html><body><header><h1>Site</h1><a href=x>Home</a></header><div class
         ("<p></p><p> &nbsp; </p>", []),
         ("<div>" * 3000 + "deep", ["deep"]),
         ("<p class=\"a" * 200 + ">x", ["x"]),
+        ("<article>a<svg class=\"i\"/>b<p>c</article><svg><text>no</text></svg>d", ["ab", "c", "d"]),
+        ("<p>a<title-bar>b</title-bar><object-view>c<head-line>d<p>e", ["abcd", "e"]),
+        ("<head><title>t</title><p>x<p>y", ["x", "y"]),
+        ("<head><title>t</head><p>x", ["x"]),
+        ("<head><meta name=a><style>p{}</style><script>'<p>'</script><title>t</title></head>x", ["x"]),
+        ("<p>a<object data=x>b<p>c", ["ab", "c"]),
+        ("<p title='it's'>one two don't three<p title=a\"b>four\"", ["one two don't three", "four\""]),
     ],
 )
 def test_blocks(page, want):
