@@ -11,6 +11,7 @@ order of the sums: all of a pool that can be among the best by these bits is ran
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ from grainmill.llm.staging import forget, stored
 
 #: Nodes that are compared all with all at the start.
 LEAF = 64
+#: The graph is done when a round changes no more than this share of its edges.
+SETTLED = 0.02
 ROWS = 1 << 14
 
 
@@ -75,7 +78,7 @@ def _edges(a, b, score) -> pa.RecordBatch:
 
 
 EDGES = "a long, b long, score double"
-GRAPH = EDGES + ", first boolean, floor double"
+GRAPH = EDGES + ", fresh boolean, first boolean, floor double"
 
 
 def _first_neighbours(nodes: DataFrame, width: int, k: int, trees: int) -> DataFrame:
@@ -146,12 +149,15 @@ def _one_of_each(a: np.ndarray, b: np.ndarray, later: np.ndarray) -> np.ndarray:
 
 
 def _keep_best(k: int):
-    """Rows sorted by (a, score descending, b) to the `k` best distinct b of each a; each knows the score that a new one must beat."""
+    """Rows `(a, b, score, fresh)` sorted by (a, score descending, b) to the `k` best distinct b of each a, known ones not fresh.
+
+    Each a knows the score that a new one must beat.
+    """
 
     def run(batches):
         for batch in _whole_runs(batches):
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            kept = _one_of_each(a, b, np.zeros(len(a), bool))
+            kept = _one_of_each(a, b, batch.column(3).to_numpy(zero_copy_only=False))
             starts = _runs(a[kept])
             counts = np.diff(np.append(starts, len(kept)))
             rank = np.arange(len(kept)) - np.repeat(starts, counts)
@@ -212,14 +218,21 @@ def _compare(width: int):
     return run
 
 
-def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24, trees: int = 4, rounds: int = 3) -> DataFrame:
-    """`(a, b, score, first, floor)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, cut)`."""
-    graph = stored(_best(_first_neighbours(nodes, width, k, trees), k), "graph")
+def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24, trees: int = 4, rounds: int = 50) -> DataFrame:
+    """`(a, b, score, fresh, first, floor)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, cut)`.
+
+    Rounds go on until one changes no more than `SETTLED` of all edges; `rounds` only keeps them from going on for ever.
+    """
+    graph = stored(_best(_first_neighbours(nodes, width, k, trees).withColumn("fresh", F.lit(True)), k), "graph")
     for _ in range(rounds):
-        better = _around(graph, nodes, reverse, True).mapInArrow(_compare(width), EDGES)
-        turned = stored(_best(graph.select("a", "b", "score").union(better), k), "graph")
+        better = _around(graph, nodes, reverse, True).mapInArrow(_compare(width), EDGES).withColumn("fresh", F.lit(True))
+        turned = stored(_best(graph.select("a", "b", "score", F.lit(False).alias("fresh")).union(better), k), "graph")
         forget(graph)
         graph = turned
+        changed = graph.agg(F.avg(F.col("fresh").cast("int")).alias("share")).first()["share"] or 0.0
+        if changed <= SETTLED:
+            return graph
+    warnings.warn(f"the neighbour graph still changed {changed:.4f} of its edges in the last of {rounds} rounds", stacklevel=2)
     return graph
 
 
@@ -321,7 +334,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, p
 
 
 def nearest(
-    df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = 32, rounds: int = 3, pool: int = 256
+    df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = 32, rounds: int = 50, pool: int = 256
 ) -> DataFrame:
     """`(query_id, rank, vec_id, score)`: for each row with `is_query` (over `id`) the `k` largest inner products found among all others.
 

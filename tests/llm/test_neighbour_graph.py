@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from grainmill.llm.catalog import QUERIES
-from grainmill.llm.neighbour_graph import nearest
+from grainmill.llm.neighbour_graph import _coded, distinct_vectors, nearest, neighbour_graph
+from grainmill.llm.staging import stored
 
 SCHEMA = "vec_id long, embedding array<float>, score string, a int"
 
@@ -80,6 +81,21 @@ def test_a_third_are_near_copies(spark):
     check(got, group, 0.9)
 
 
+def test_graph_settles_on_many_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = rng.standard_normal((20000, 32))
+    df, _ = vectors_of(spark, rows / np.linalg.norm(rows, axis=1, keepdims=True))
+    nodes = stored(_coded(distinct_vectors(df, 21), 32, 4), "nodes")
+    found, exact, hits = {}, rows / np.linalg.norm(rows, axis=1, keepdims=True), 0
+    for r in neighbour_graph(nodes, 32).where("a % 100 = 0").collect():
+        found.setdefault(r["a"], set()).add(r["b"])
+    for a in range(0, 20000, 100):
+        score = exact @ exact[a]
+        score[a] = -np.inf
+        hits += len(found[a] & set(np.argsort(-score)[:20].tolist()))
+    assert hits >= 0.9 * 200 * 20
+
+
 def test_query_recall(spark):
     folder = "/root/testdata/sf0.01"
     rows = duckdb.sql(f"select vec_id, embedding from '{folder}/embeddings.parquet'").fetchall()
