@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
 
 #: Characters of text that are worked on together, so that memory does not follow the length of a batch.
 CHUNK = 2_000_000
@@ -36,3 +39,16 @@ class Words(dict):
 def field_list(schema) -> str:
     """A schema as the text that `mapInArrow` takes."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def by_row(batches) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples."""
+    for batch in batches:
+        yield from zip(*[column.to_pylist() for column in batch.columns])
+
+
+def as_batches(rows, fields: dict[str, pa.DataType], size: int = 2_000) -> Iterator[pa.RecordBatch]:
+    """Tuples as Arrow batches of up to `size` rows."""
+    rows = iter(rows)
+    while held := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), fields.values())], names=list(fields))
