@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import as_double, col, numeric_columns, present
+from grainmill.operators.comoments import correlation_rows
 from grainmill.operators.order_statistics import mode_table, quantiles
 
-PAIRS_PER_SCAN = 400  # correlation pairs computed by one aggregate
-
 
 def group_mean(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
     return df.groupBy(col(key)).agg(F.avg(col(value)).alias(out or f"average_{value}"))
@@ -106,34 +105,16 @@ def quantile_rows(df: DataFrame, columns: Sequence[str], probabilities: Sequence
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """`(f1, f2, correlation)` for every pair in column order, over rows where both are present.
 
-    A column without variance gives null. Many columns are done in blocks of pairs, one scan each.
+    One scan for any number of columns. A pair without variance or without rows gives null, one with an infinite
+    value NaN.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    pairs = list(combinations(range(len(columns)), 2))
-    values = df.select(*[as_double(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    schema = "f1 string, f2 string, correlation double"
-    if not pairs:
-        return df.sparkSession.createDataFrame([], schema)
-    blocks = []
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        block = pairs[start : start + PAIRS_PER_SCAN]
-        wide = values.agg(*[_correlation(F.col(f"v{i}"), F.col(f"v{j}")).alias(f"c{i}_{j}") for i, j in block])
-        rows = [
-            F.struct(F.lit(columns[i]).alias("f1"), F.lit(columns[j]).alias("f2"), F.col(f"c{i}_{j}").alias("correlation"))
-            for i, j in block
-        ]
-        blocks.append(wide.select(F.inline(F.array(*rows))))
-    result = blocks[0]
-    for block in blocks[1:]:
-        result = result.unionAll(block)
-    return result
-
-
-def _correlation(x: Column, y: Column) -> Column:
-    """Pearson correlation; `F.corr` itself raises under ANSI for a constant column."""
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.sqrt(F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y)))
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "f1 string, f2 string, correlation double")
+    pairs = df.sparkSession.createDataFrame(
+        [(a, b) for a, b in combinations(columns, 2)], "f1 string, f2 string"
+    )  # a pair is listed even if the table has no rows
+    return pairs.join(correlation_rows(df, columns), ["f1", "f2"], "left")
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import as_double, numeric_columns
-from grainmill.operators.aggregates import correlations, min_max, quantile_rows, skew_kurtosis
+from grainmill.operators.aggregates import correlations, min_max, skew_kurtosis
 from grainmill.operators.order_statistics import quantiles
 
 
@@ -141,20 +141,13 @@ def box_statistics(df: DataFrame, columns: Sequence[str], factor: float = 1.5, a
 def qq_points(df: DataFrame, columns: Sequence[str], points: int = 99, approx: bool = False) -> DataFrame:
     """`(column, i, theoretical, sample)`: normal quantiles against those of the standardised column."""
     shares = [(i - 0.5) / points for i in range(1, points + 1)]
-    names = [f"p{i}" for i in range(points)]
-    found = quantile_rows(df, columns, shares, names, approx)
-    normal = F.array(*[F.lit(NormalDist().inv_cdf(p)) for p in shares])
+    found = quantiles(df, columns, shares, approx)
+    normal = NormalDist()
+    rows = [(c, i, normal.inv_cdf(p), q) for c in columns for i, (p, q) in enumerate(zip(shares, found[c]), 1)]
     wide = df.agg(*[f(as_double(df, c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", F.stddev_samp))])
     moments = wide.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("_mean"), F.col(f"s{i}").alias("_std")) for i, c in enumerate(columns)]))
     )
-    return (
-        found.select("column", F.posexplode(F.array(*names)).alias("_at", "quantile"))
-        .join(F.broadcast(moments), "column")
-        .select(
-            "column",
-            (F.col("_at") + 1).cast("bigint").alias("i"),
-            F.get(normal, F.col("_at")).alias("theoretical"),
-            ((F.col("quantile") - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))).alias("sample"),
-        )
-    )
+    placed = df.sparkSession.createDataFrame(rows, "column string, i bigint, theoretical double, quantile double")
+    sample = (F.col("quantile") - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
+    return placed.join(F.broadcast(moments), "column").select("column", "i", "theoretical", sample.alias("sample"))

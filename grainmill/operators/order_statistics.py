@@ -3,15 +3,18 @@
 `median`, `percentile` and `mode` as plain aggregates keep a map of all distinct values in the one
 task that finishes a global aggregate. Here a fixed-size sketch proposes narrow intervals around the
 wanted ranks, one counting scan makes them exact, and only the few values strictly inside an
-interval are looked at one by one. No shuffle carries the values of a column.
+interval are looked at one by one. No shuffle carries the values of a column. The scan finds the place
+of a value among the splitters by binary search, so its code does not grow with splitters or columns.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,21 +63,22 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     values = {c: as_double(df, c) for c in columns}
     around = [(p, p) if approx else _around(p) for p in probabilities]
     points = sorted({p for pair in around for p in pair})
+    at = {p: i for i, p in enumerate(points)}
     row = df.agg(
         *[F.count(values[c]) for c in columns],
         *[F.percentile_approx(values[c], points, SKETCH_ACCURACY) for c in columns],
     ).first()
     sizes = dict(zip(columns, row))
-    sketched = {c: [(q[points.index(a)], q[points.index(b)]) for a, b in around] for c, q in zip(columns, row[len(columns) :]) if sizes[c]}
+    sketched = {c: [(q[at[a]], q[at[b]]) for a, b in around] for c, q in zip(columns, row[len(columns) :]) if sizes[c]}
     if approx:
         return {c: [low for low, _ in sketched[c]] if sizes[c] else [None] * len(probabilities) for c in columns}
 
     places = {c: [p * (sizes[c] - 1) for p in probabilities] if sizes[c] else [] for c in columns}
     start = [_Interval(c, values[c], None, None, 0, sizes[c], {r for x in places[c] for r in (math.floor(x), math.ceil(x))}) for c in sketched]
-    at = _resolve(df, start, sketched)
+    exact = _resolve(df, start, sketched)
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     for c in sketched:
-        ends = [(at[c][math.floor(x)], at[c][math.ceil(x)], x - math.floor(x)) for x in places[c]]
+        ends = [(exact[c][math.floor(x)], exact[c][math.ceil(x)], x - math.floor(x)) for x in places[c]]
         result[c] = [low if low == high else low + (high - low) * part for low, high, part in ends]  # equal ends may be infinite
     return result
 
@@ -180,32 +184,59 @@ class _Scan:
     def cells_read(self) -> list[int]:
         """Open cells (numbered 2k below splitter k) that lie in an interval to be read out."""
         points = self.points()
-        edges = [-math.inf, *points, math.inf]
-        wanted = [(-math.inf if low is None else low, math.inf if high is None else high) for low, high in self.read]
-        return [2 * k for k in range(len(points) + 1) if any(low <= edges[k] and edges[k + 1] <= high for low, high in wanted)]
+        at = {p: k for k, p in enumerate(points)}
+        cells = set()
+        for low, high in self.read:
+            cells.update(range(0 if low is None else at[low] + 1, (len(points) if high is None else at[high]) + 1))
+        return sorted(2 * k for k in cells)
+
+
+def _numbers(values: Iterable[float | int], kind: str) -> Column:
+    """A constant array from one text, so that thousands of values are one literal."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def _place(rows: DataFrame, points: Sequence[Sequence[float]]) -> DataFrame:
+    """`rows(column, x)` with `cell`: twice the number of the column's sorted splitters below x, one more at a splitter.
+
+    The columns' splitters stand one after the other in a constant array, each list filled up with NaN, which is
+    above every number, to one less than a power of two. Each step of the search is a projection of its own that
+    halves the list: as many steps as the longest list has binary digits, whatever the number of columns.
+    """
+    steps = max(len(p) for p in points).bit_length()
+    width = (1 << steps) - 1
+    if not width:
+        return rows.withColumn("cell", F.lit(0))
+    table = _numbers((x for p in points for x in [*p, *[math.nan] * (width - len(p))]), "double")
+    start = F.col("column") * width
+    rows = rows.withColumn("below", F.lit(0))
+    for step in (1 << k for k in reversed(range(steps))):
+        rows = rows.withColumn("below", F.col("below") + F.when(F.col("x") > F.get(table, start + F.col("below") + F.lit(step - 1)), step).otherwise(0))
+    hit = (F.col("below") < width) & (F.col("x") == F.get(table, start + F.least(F.col("below"), F.lit(width - 1))))
+    return rows.withColumn("cell", 2 * F.col("below") + hit.cast("int")).drop("below")
 
 
 def _tally(df: DataFrame, scans: dict[str, _Scan]) -> dict[str, dict[int, tuple[int, list]]]:
     """`{column: {cell: (rows, sorted (value, rows) pairs of a cell read out)}}` in one scan of the columns.
 
-    The cell of a value is a sum of comparisons with the splitters. Tasks combine their rows by cell; only
-    values of cells to be read out keep their own rows, so the shuffle carries little else.
+    Tasks combine their rows by cell; only values of cells to be read out keep their own rows, so the shuffle
+    carries little else.
     """
     names = list(scans)
-    placed = []
-    for i, c in enumerate(names):
-        x = F.col(f"v{i}")
-        steps = [F.when(x > F.lit(p), 2).when(x == F.lit(p), 1).otherwise(0) for p in scans[c].points()]
-        cell = F.when(x.isNotNull(), reduce(Column.__add__, steps, F.lit(0)))
-        read = scans[c].cells_read()
-        value = F.when(cell.isin(read), x) if read else F.lit(None).cast("double")
-        placed.append(F.struct(F.lit(i).alias("column"), cell.alias("cell"), value.alias("value")))
-    picked = df.select(*[scans[c].value.cast("double").alias(f"v{i}") for i, c in enumerate(names)])
-    counted = picked.select(F.inline(F.array(*placed))).filter("cell IS NOT NULL").groupBy("column", "cell", "value").agg(F.count("*").alias("n"))
+    points = [scans[c].points() for c in names]
+    values = df.select(F.posexplode(F.array(*[scans[c].value.cast("double") for c in names])).alias("column", "x")).filter("x IS NOT NULL")
+    width = 2 * max(len(p) for p in points) + 1
+    wanted = sorted(i * width + cell for i, c in enumerate(names) for cell in scans[c].cells_read())
+    number = F.col("column") * width + F.col("cell")
+    read = number.isin(wanted) if wanted else F.lit(False)
+    placed = _place(values, points).select("column", "cell", F.when(read, F.col("x")).alias("value"))
+    counted = placed.groupBy("column", "cell", "value").agg(F.count("*").alias("n"))
     result: dict[str, dict[int, tuple[int, list]]] = {c: {} for c in names}
     for column, cell, value, n in counted.collect():  # one row per cell, and the values read out
         held, inside = result[names[column]].get(cell, (0, []))
-        result[names[column]][cell] = (held + n, inside if value is None else [*inside, (value, n)])
+        if value is not None:
+            inside.append((value, n))
+        result[names[column]][cell] = (held + n, inside)
     return {c: {cell: (n, sorted(inside)) for cell, (n, inside) in cells.items()} for c, cells in result.items()}
 
 
@@ -216,20 +247,17 @@ def _located(interval: _Interval, scan: _Scan, cells: dict[int, tuple[int, list]
     ranks, below = sorted(interval.ranks), 0
     for cell, (n, inside) in sorted(cells.items()):
         k = cell // 2
-        for r in [r for r in ranks if below <= r < below + n]:
-            if cell % 2:
-                answers[r] = points[k]
-            elif cell in readable:
-                upto = below
-                for value, times in inside:
-                    upto += times
-                    if r < upto:
-                        answers[r] = value
-                        break
-            else:
-                low, high = (points[k - 1] if k else None), (points[k] if k < len(points) else None)
-                part = narrower.setdefault(cell, _Interval(interval.name, interval.value, low, high, below, n))
-                part.ranks.add(r)
+        mine = ranks[bisect_left(ranks, below) : bisect_left(ranks, below + n)]
+        if not mine:
+            pass
+        elif cell % 2:
+            answers.update(dict.fromkeys(mine, points[k]))
+        elif cell in readable:
+            upto = list(accumulate((times for _, times in inside), initial=below))[1:]
+            answers.update({r: inside[bisect_right(upto, r)][0] for r in mine})
+        else:
+            low, high = (points[k - 1] if k else None), (points[k] if k < len(points) else None)
+            narrower[cell] = _Interval(interval.name, interval.value, low, high, below, n, set(mine))
         below += n
     return list(narrower.values())
 

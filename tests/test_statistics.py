@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from grainmill.operators import aggregates, eda, order_statistics, profile
+from grainmill.operators import aggregates, comoments, eda, order_statistics, profile
 
 
 @pytest.fixture(scope="module")
@@ -63,11 +63,10 @@ def test_few_rows_and_constant_columns_give_null(spark):
     assert aggregates.correlations(df).first()["correlation"] is None
 
 
-def test_correlations_are_pairwise_complete_and_blocked(spark, monkeypatch):
+def test_correlations_are_pairwise_complete(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame(rng.normal(size=(200, 4)), columns=list("abcd"))
     pdf.loc[::5, "b"] = np.nan
-    monkeypatch.setattr(aggregates, "PAIRS_PER_SCAN", 2)
     wanted = pdf.corr()
     rows = aggregates.correlations(spark.createDataFrame(pdf)).collect()
     assert len(rows) == 6
@@ -75,6 +74,72 @@ def test_correlations_are_pairwise_complete_and_blocked(spark, monkeypatch):
         assert math.isclose(r["correlation"], wanted.loc[r["f1"], r["f2"]], rel_tol=1e-9)
 
 
+def test_hundred_columns_in_one_scan_like_sql(spark, tmp_path):
+    import duckdb
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(3_000, 100)) + rng.normal(size=(3_000, 1))
+    base[rng.random(base.shape) < 0.1] = np.nan
+    base[:, 7] = 5.25  # constant
+    base[:, 8] = base[:, 8] * 1e-2 + 1e6  # far from zero
+    base[1:, 9] = np.nan  # one row
+    base[:, 10] = np.where(np.isnan(base[:, 11]), base[:, 10], 3.0)  # constant only where 11 is there
+    base[:, 12] = np.where(rng.random(3_000) < 0.001, 1e12, base[:, 12])
+    pdf = pd.DataFrame(base, columns=[f"c{i}" for i in range(100)])
+    path = str(tmp_path / "wide.parquet")
+    pdf.to_parquet(path, row_group_size=500)
+    df = spark.read.parquet(path).repartition(7)
+    found = aggregates.correlations(df)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    got = {(r["f1"], r["f2"]): r["correlation"] for r in found.collect()}
+    assert len(got) == 4950
+    pairs = [(7, 1), (9, 2), (10, 11), *[(i, j) for i in range(100) for j in range(i + 1, 100) if {i, j} & {0, 8, 12, 99}]]
+    pairs = [(min(p), max(p)) for p in pairs]
+    clean = "SELECT " + ", ".join(f"CASE WHEN isnan(c{i}) THEN NULL ELSE c{i} END AS c{i}" for i in range(100)) + f" FROM '{path}'"
+    row = duckdb.sql("SELECT " + ", ".join(f"CASE WHEN count(c{i} + c{j}) > 1 THEN corr(c{i}, c{j}) END" for i, j in pairs) + f" FROM ({clean})").fetchall()[0]
+    for (i, j), wanted in zip(pairs, row):
+        value = got[f"c{i}", f"c{j}"]
+        if wanted is None or math.isnan(wanted):
+            assert value is None, (i, j, value)
+        else:
+            assert value == pytest.approx(wanted, rel=1e-6, abs=1e-8), (i, j)
+
+
+def test_states_of_any_cut_merge_to_the_same(spark):
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(999, 5)) * [1, 1e3, 1e-3, 1, 1] + [0, 1e6, 5, -1e8, 0]
+    values[rng.random(values.shape) < 0.3] = np.nan
+    values[500, 4] = np.inf
+    whole = comoments.batch_state(values)
+    for cuts in ([1], [10, 11, 500], [333, 666], list(range(1, 999, 7))):
+        total = None
+        for part in np.split(values, cuts):
+            state = comoments.batch_state(part)
+            total = state if total is None else comoments.merged(total, state)
+        for name in comoments.FIELDS:
+            assert np.allclose(total[name], whole[name], rtol=1e-7, atol=1e-9), name
+
+
+def test_a_thousand_quantiles_in_one_call(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"x": rng.normal(size=20_000).round(3), "y": np.where(rng.random(20_000) < 0.6, 1.0, rng.exponential(size=20_000)), "z": 4.0})
+    shares = [i / 999 for i in range(1000)]
+    found = order_statistics.quantiles(spark.createDataFrame(pdf).repartition(3), ["x", "y", "z"], shares)
+    for c in pdf.columns:
+        assert np.allclose(found[c], np.quantile(pdf[c], shares), rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 7, 8, 200])
+def test_place_among_splitters(spark, n):
+    points = [float(2 * i) for i in range(n)]
+    values = [-math.inf, *[i / 2 for i in range(-1, 4 * n + 2)], math.inf]
+    rows = spark.createDataFrame([(c, x) for c in (0, 1) for x in values], "column int, x double")
+    placed = order_statistics._place(rows, [points, [1.0, math.inf]]).collect()
+    for r in placed:
+        mine = points if r["column"] == 0 else [1.0, math.inf]
+        assert r["cell"] == 2 * sum(p < r["x"] for p in mine) + (r["x"] in mine)
+
+
 def test_null_counts_see_nan_and_text(spark):
     df = spark.createDataFrame([(1.0, "a", None), (float("nan"), None, None), (None, "?", None)], "x double, s string, n int")
     assert profile.null_counts(df).first().asDict() == {"x": 2, "s": 1, "n": 3}
