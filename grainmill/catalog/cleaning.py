@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from grainmill.catalog.frames import FOUR_RATES, GAPPED, KEY, KEY_SQL, PEOPLE, SEVEN_RATES, gapped, people, rates_sql
 from grainmill.catalog.registry import query, table
 from grainmill.functions.columns import binary_encode, col, mean_of_available
-from grainmill.models.feature_stages import IndexedModeImputer, frequency_indexer, mean_imputer
+from grainmill.models.feature_stages import frequency_indexer, mean_imputer
+from grainmill.models.table_index import MODE, FrequencyIndexer
 from grainmill.operators import bands, clean, profile
 from grainmill.plans.clinical import clean_clinical
 
@@ -258,7 +259,7 @@ def priorities(spark, folder):
 @query("C22", f"WITH {PRIORITIES} SELECT o_orderkey, CAST(coalesce(code, 0) AS DOUBLE) AS code FROM base LEFT JOIN codes USING (priority)")
 def imputed_index(spark, folder):
     df = priorities(spark, folder)
-    return IndexedModeImputer(inputCols=["priority"], outputCols=["code"]).fit(df).transform(df).select("o_orderkey", "code")
+    return FrequencyIndexer(inputCols=["priority"], outputCols=["code"], unknown=MODE).fit(df).transform(df).select("o_orderkey", "code")
 
 
 @query(

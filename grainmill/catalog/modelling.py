@@ -174,6 +174,42 @@ def full_pipeline(spark, folder):
     return _judged(search.score(model, test))
 
 
+def _gapped_docs(spark, folder):
+    """Documents with gaps in numbers and texts, and their whole address as a text with very many values."""
+    docs = doc_features(spark, folder)
+    address = F.concat_ws("/", "source", (F.col("doc_id") % 7).cast("string"))
+    return docs.withColumns({"n_words": F.when(F.col("doc_id") % 6 != 1, F.col("n_words")), "lang": F.when(F.col("doc_id") % 9 != 2, F.col("lang")), "address": address})
+
+
+VECTOR = ("chars_words", "chars_digits", "words_digits", "n_chars", "n_words", "digit_share", "lang", "address")
+
+
+@query(
+    "L11_vectors",
+    """WITH d AS (
+      SELECT doc_id, n_chars::DOUBLE AS n_chars, CASE WHEN doc_id % 6 <> 1 THEN length(text) - length(replace(text, ' ', '')) + 1 END::DOUBLE AS n_words,
+        (length(text) - length(regexp_replace(text, '[0-9]', '', 'g'))) / greatest(length(text), 1) AS digit_share,
+        CASE WHEN doc_id % 9 <> 2 THEN lang END AS lang, source || '/' || (doc_id % 7) AS address
+      FROM documents JOIN labels USING (doc_id)),
+    train AS (SELECT * FROM d WHERE doc_id % 5 <> 4),
+    means AS (SELECT avg(n_chars) AS c, avg(n_words) AS w, avg(digit_share) AS s FROM train),
+    langs AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS code FROM train WHERE lang IS NOT NULL GROUP BY lang),
+    addresses AS (SELECT address, row_number() OVER (ORDER BY count(*) DESC, address) - 1 AS code FROM train GROUP BY address),
+    filled AS (
+      SELECT doc_id, coalesce(n_chars, c) AS c, coalesce(n_words, w) AS w, coalesce(digit_share, s) AS s, coalesce(l.code, 0)::DOUBLE AS l, coalesce(a.code, 0)::DOUBLE AS a
+      FROM d CROSS JOIN means LEFT JOIN langs AS l USING (lang) LEFT JOIN addresses AS a USING (address) WHERE doc_id % 5 = 4)
+    SELECT doc_id, round(c * w, 4) AS chars_words, round(c * s, 4) AS chars_digits, round(w * s, 4) AS words_digits, round(c, 4) AS n_chars, round(w, 4) AS n_words,
+      round(s, 6) AS digit_share, l AS lang, a AS address FROM filled""",
+)
+def prepared_vectors(spark, folder):
+    """The assembled vectors of the test rows, with codes and means of the training rows."""
+    train, test = split_rows(_gapped_docs(spark, folder), [0.8, 0.2], KEY, share=_fifths("doc_id"))
+    stages = search.pipeline(*feature_stages.preparation_stages(["n_chars", "n_words", "digit_share"], ["lang", "address"]))
+    vector = vector_to_array("features")
+    found = stages.fit(train).transform(test).select("doc_id", *[vector[i].alias(c) for i, c in enumerate(VECTOR)])
+    return _round(_round(found, 4, *VECTOR[:5]), 6, "digit_share")
+
+
 def _searched(spark, folder):
     train, test = _docs_split(spark, folder)
     classifier = search.logistic_regression("quality", max_iter=30)

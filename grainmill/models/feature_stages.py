@@ -6,14 +6,15 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml import Transformer
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import add_columns, as_double, col
+from grainmill.models.table_index import MODE, FrequencyIndexer
 from grainmill.operators.joins import lookup_side
 
 
@@ -50,36 +51,18 @@ class SquareFeatures(Transformer, HasInputCols, HasOutputCols, DefaultParamsRead
         return add_columns(dataset, {out: as_double(dataset, c) * as_double(dataset, c) for out, c in zip(self.names(), self.getInputCols())})
 
 
-class IndexedModeImputer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Text columns to frequency indexes with null and unseen values replaced by the mode.
-
-    The "unknown" index is the number of labels of the indexer fitted on the same rows, so it is
-    right inside every fold. Fits to an ordinary `PipelineModel`.
-    """
-
-    @keyword_only
-    def __init__(self, *, inputCols=None, outputCols=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _fit(self, dataset: DataFrame) -> PipelineModel:
-        indexes = [f"{c}Index" for c in self.getInputCols()]
-        indexer = StringIndexer(inputCols=self.getInputCols(), outputCols=indexes, handleInvalid="keep").fit(dataset)
-        # the most frequent value has index 0, so the mode needs no job of its own
-        filled = [
-            f"CASE WHEN `{i}` = {len(labels)} THEN 0D ELSE `{i}` END AS `{out}`"
-            for i, out, labels in zip(indexes, self.getOutputCols(), indexer.labelsArray)
-        ]
-        return PipelineModel([indexer, SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")])
-
-
 def mean_imputer(columns: Sequence[str], prefix: str = "Imputed") -> Imputer:
     return Imputer(inputCols=list(columns), outputCols=[f"{prefix}{c}" for c in columns], strategy="mean")
 
 
-def frequency_indexer(columns: Sequence[str], suffix: str = "Index") -> StringIndexer:
+def frequency_indexer(columns: Sequence[str], suffix: str = "Index") -> FrequencyIndexer:
     """Index by falling frequency, alphabetical on a tie; null and unseen values get the extra index."""
-    return StringIndexer(inputCols=list(columns), outputCols=[f"{c}{suffix}" for c in columns], handleInvalid="keep")
+    return FrequencyIndexer(inputCols=list(columns), outputCols=[f"{c}{suffix}" for c in columns])
+
+
+def mode_indexer(columns: Sequence[str], prefix: str = "ImputedIndex") -> FrequencyIndexer:
+    """The same with null and unseen values as the mode, which has index 0."""
+    return FrequencyIndexer(inputCols=list(columns), outputCols=[f"{prefix}{c}" for c in columns], unknown=MODE)
 
 
 def assembler(columns: Sequence[str], out: str = "features", handle_invalid: str = "error") -> VectorAssembler:
@@ -96,7 +79,7 @@ def preparation_stages(numeric: Sequence[str], text: Sequence[str], out: str = "
     stages: list = []
     text_ready = [f"ImputedIndex{c}" for c in text]
     if text:
-        stages.append(IndexedModeImputer(inputCols=list(text), outputCols=text_ready))
+        stages.append(mode_indexer(text))
     numeric_ready = [f"Imputed{c}" for c in numeric]
     products: list[str] = []
     if numeric:

@@ -125,10 +125,10 @@ def frequency_codes(df: DataFrame, column: str, bounded: bool | None = None) ->
 def _dictionary(values: DataFrame, order: Sequence[Column], bounded: bool) -> DataFrame:
     if bounded:
         return values.withColumn("code", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
-    return _numbered(values, order, "code")
+    return numbered(values, order, "code")
 
 
-def _numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Rows numbered from 0 in a total order, without one task seeing them all."""
     checkpoint_folder(df.sparkSession)
     ranged = df.orderBy(*order).withColumn("_part", F.spark_partition_id()).checkpoint()

@@ -1,10 +1,12 @@
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from grainmill.models import evaluate, feature_stages, neighbours, oversample, search
+from grainmill.models import evaluate, feature_stages, neighbours, oversample, search, table_index
 from grainmill.operators import sample
 
 
@@ -96,6 +98,40 @@ def test_stages_persist_and_impute_inside_the_fit(spark, points, tmp_path):
     assert [r[0] for r in again.orderBy("id").select("prediction").collect()] == [r[0] for r in scored.orderBy("id").select("prediction").collect()]
 
 
+@pytest.mark.parametrize("rows", [table_index.BROADCAST_ROWS, 50])
+def test_index_table_like_a_count_by_value(spark, tmp_path, monkeypatch, rows):
+    """A third of the values distinct, a hot value, nulls, unseen values; beyond the broadcast limit too."""
+    monkeypatch.setattr(table_index, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(table_index.frequency_table, "__defaults__", (rows,))
+    rng = np.random.default_rng(8)
+    texts = [None if i % 17 == 0 else "hot" if i % 3 == 1 else f"é{rng.integers(0, 700)}" for i in range(3000)]
+    pdf = pd.DataFrame({"id": range(3000), "t": texts, "n": rng.integers(0, 3, 3000)})
+    train = spark.createDataFrame(pdf).repartition(5)
+    test = train.unionAll(spark.createDataFrame([(9000, "never", 77), (9001, None, 1)], "id long, t string, n long"))
+    for unknown in (table_index.EXTRA, table_index.MODE):
+        model = table_index.FrequencyIndexer(inputCols=["t", "n"], outputCols=["ti", "ni"], unknown=unknown).fit(train)
+        model.write().overwrite().save(str(tmp_path / unknown))
+        again = table_index.FrequencyIndexerModel.load(str(tmp_path / unknown))
+        for fitted in (model, again):
+            got = fitted.transform(test)
+            assert got.columns == ["id", "t", "n", "ti", "ni"]
+            found = {r["id"]: (r["ti"], r["ni"]) for r in got.collect()}
+            assert len(found) == 3002
+            for at, (name, values) in enumerate((("t", texts), ("n", [str(v) for v in pdf["n"]]))):
+                counts = Counter(v for v in values if v is not None)
+                codes = {v: float(i) for i, (v, _) in enumerate(sorted(counts.items(), key=lambda c: (-c[1], c[0].encode())))}
+                other = float(len(codes)) if unknown == table_index.EXTRA else 0.0
+                assert all(found[i][at] == codes.get(v, other) for i, v in enumerate(values))
+                assert found[9000][at] == other
+    assert got.schema["ti"].metadata == {}
+
+
+def test_index_of_no_rows(spark):
+    empty = spark.createDataFrame([], "t string")
+    model = table_index.FrequencyIndexer(inputCols=["t"], outputCols=["i"]).fit(empty)
+    assert [tuple(r) for r in model.transform(spark.createDataFrame([("a",), (None,)], "t string")).collect()] == [("a", 0.0), (None, 0.0)]
+
+
 def test_min_max_uses_the_training_range(spark):
     train = spark.createDataFrame([(0.0, 5.0), (10.0, 5.0)], "x double, k double")
     test = spark.createDataFrame([(20.0, 6.0)], "x double, k double")
