@@ -208,8 +208,8 @@ RATED = f"""{PEOPLE}, rated AS (SELECT people.*, a.rate AS seven_rate, b.rate AS
 
 
 def rated(spark, folder):
-    df = bands.add_rate(people(spark, folder), bands.rate_table(spark, bands.SEVEN_BANDS, SEVEN_RATES), "age", "sex", "seven_rate")
-    return bands.add_rate(df, bands.rate_table(spark, bands.FOUR_BANDS, FOUR_RATES), "age", "sex", "four_rate")
+    tables = {"seven_rate": bands.rate_table(spark, bands.SEVEN_BANDS, SEVEN_RATES), "four_rate": bands.rate_table(spark, bands.FOUR_BANDS, FOUR_RATES)}
+    return bands.add_rates(people(spark, folder), tables, "age", "sex")
 
 
 @query("C17", f"WITH {RATED} SELECT c_custkey, age, sex, seven_rate, four_rate FROM rated")

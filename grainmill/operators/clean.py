@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.columns import add_columns, as_double, cap_upper, clamp, col, missing, numeric_columns, present, text_columns
 from grainmill.operators.joins import BROADCAST_ROWS, fits_broadcast
-from grainmill.operators.order_statistics import distinct_estimates, iqr_bounds, medians, modes
+from grainmill.operators.order_statistics import distinct_estimates, iqr_bounds, medians, modes, repaired_medians
 from grainmill.session import checkpoint_folder
 
 
@@ -44,17 +44,20 @@ def replace_out_of_range(
     """Values below the low or above the high end become the median; then nulls do too.
 
     `refit` takes a new median after the replacement for the nulls, otherwise the first one is used
-    for both. The columns of `fill` only get their nulls filled. All columns share the jobs.
+    for both. The columns of `fill` only get their nulls filled. All columns and both medians share the jobs.
     """
-    first = medians(df, [*ranges, *fill], approx)
-    repaired = {c: F.coalesce(as_double(df, c), F.lit(first[c])) for c in fill if first[c] is not None}
-    for c, (low, high) in ranges.items():
+    found = repaired_medians(df, {**ranges, **dict.fromkeys(fill, (None, None))}, approx)
+    new = {}
+    for c, (first, last) in found.items():
+        low, high = ranges.get(c, (None, None))
         x = as_double(df, c)
         tests = ([x < F.lit(low)] if low is not None else []) + ([x > F.lit(high)] if high is not None else [])
-        repaired[c] = F.when(reduce(Column.__or__, tests), F.lit(first[c])).otherwise(x) if tests else x
-    df = add_columns(df, repaired)
-    last = medians(df, list(ranges), approx) if refit else {c: first[c] for c in ranges}
-    return add_columns(df, {c: F.coalesce(col(c), F.lit(m)) for c, m in last.items() if m is not None})
+        kept = F.when(reduce(Column.__or__, tests), F.lit(first)).otherwise(x) if tests else x
+        if first is not None:
+            new[c] = F.coalesce(kept, F.lit(last if refit else first))
+        elif c in ranges:
+            new[c] = x
+    return add_columns(df, new)
 
 
 def cap_columns(df: DataFrame, cap: float, *columns: str) -> DataFrame:

@@ -23,9 +23,12 @@ from grainmill.functions.columns import as_double, col, present
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 2.0  # distance of a splitter from a wanted rank, in rank errors of the sketch
+SPLITTERS = 2_000  # evenly spaced splitters where the wanted ranks are not known before the sketch
 SMALL = 2_000  # rows of an interval that are read out without narrowing it first
 MAX_VALUES = 100_000  # rows inside all intervals together that may be read out
 
+Pair = tuple[float | None, float | None]
+
 
 def value_counts(df: DataFrame, columns: Sequence[str], as_type: str | None = "double") -> DataFrame:
     """`(name, value, n)` over values that are neither null nor NaN: one scan, hot values combined map-side."""
@@ -63,10 +66,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     values = {c: as_double(df, c) for c in columns}
     around = [(p, p) if approx else _around(p) for p in probabilities]
     points = sorted({p for pair in around for p in pair})
-    at = {p: i for i, p in enumerate(points)}
+    at, shares = {p: i for i, p in enumerate(points)}, _numbers(points, "double")
     row = df.agg(
         *[F.count(values[c]) for c in columns],
-        *[F.percentile_approx(values[c], points, SKETCH_ACCURACY) for c in columns],
+        *[F.percentile_approx(values[c], shares, SKETCH_ACCURACY) for c in columns],
     ).first()
     sizes = dict(zip(columns, row))
     sketched = {c: [(q[at[a]], q[at[b]]) for a, b in around] for c, q in zip(columns, row[len(columns) :]) if sizes[c]}
@@ -87,6 +90,59 @@ def medians(df: DataFrame, columns: Sequence[str], approx: bool = False) -> dict
     return {c: q[0] for c, q in quantiles(df, columns, [0.5], approx).items()}
 
 
+def repaired_medians(df: DataFrame, ranges: dict[str, tuple[float | None, float | None]], approx: bool = False) -> dict[str, tuple[float | None, float | None]]:
+    """Per column the median, and the median after all values outside the range have become the first one.
+
+    Values in the range are a stretch of the sorted column, and the others are one value in the end, so the second
+    median stands at ranks that the counts below and above the range give. One sketch with evenly spaced splitters
+    and one counting scan find both medians of all columns; `approx=True` stops at the sketch.
+    """
+    if not ranges:
+        return {}
+    values = {c: as_double(df, c) for c in ranges}
+    steps, asked = _numbers([i / SPLITTERS for i in range(SPLITTERS + 1)], "double"), []
+    for c, (low, high) in ranges.items():
+        under = values[c] < F.lit(low) if low is not None else F.lit(False)
+        over = (values[c] > F.lit(high)) & ~under if high is not None else F.lit(False)
+        asked += [F.count(values[c]), F.count_if(under), F.count_if(over), F.percentile_approx(values[c], steps, SKETCH_ACCURACY)]
+    row = df.agg(*asked).first()
+    counts = {c: (*row[4 * i : 4 * i + 3], row[4 * i + 3]) for i, c in enumerate(ranges)}
+    start, sketched, middle = [], {}, {}
+    for c, (n, under, over, grid) in counts.items():
+        middle[c] = sorted({(n - 1) // 2, n // 2}) if n else []
+        ranks = {r for k in middle[c] for r in (k, k + under, k - over) if 0 <= r < n}
+        if n:
+            start.append(_Interval(c, values[c], None, None, 0, n, ranks))
+            sketched[c] = [_around_in(grid, (r + 0.5) / n) for r in sorted(ranks)]
+    if approx:
+        at = {i.name: {r: counts[i.name][3][round((r + 0.5) / i.inside * SPLITTERS)] for r in i.ranks} for i in start}
+    else:
+        at = _resolve(df, start, sketched)
+    found: dict[str, tuple[float | None, float | None]] = {}
+    for c, (n, under, over, _) in counts.items():
+        if not n:
+            found[c] = None, None
+            continue
+        first = _mean([at[c][k] for k in middle[c][:1] if approx] or [at[c][k] for k in middle[c]])
+        outside, last = under + over, []
+        for k in middle[c]:
+            below = at[c][k + under] if k < n - outside else math.inf
+            above = at[c][k - over] if k >= outside else -math.inf
+            last.append(below if below < first else above if above > first else first)
+        found[c] = first, _mean(last[:1] if approx else last)
+    return found
+
+
+def _mean(ends: Sequence[float]) -> float:
+    return ends[0] if ends[0] == ends[-1] else ends[0] + (ends[-1] - ends[0]) * 0.5
+
+
+def _around_in(grid: Sequence[float], share: float) -> Pair:
+    """Splitters on both sides of a share, out of evenly spaced ones."""
+    low, high = _around(share)
+    return grid[math.floor(low * SPLITTERS)], grid[math.ceil(high * SPLITTERS)]
+
+
 def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5, approx: bool = False) -> dict[str, tuple[float, float]]:
     """`Q1 - factor*IQR` and `Q3 + factor*IQR` per column; a column without values is left out."""
     bounds = {}
@@ -98,8 +154,6 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5, appro
 
 # --- exact ranks --------------------------------------------------------------------------------
 
-Pair = tuple[float | None, float | None]
-
 
 def ranked_values(df: DataFrame, wanted: dict[str, tuple[Column, Iterable[int]]]) -> dict[str, dict[int, float]]:
     """The value at each 0-based rank of each double expression, exactly; ranks outside the rows are left out."""
@@ -166,7 +220,7 @@ def _sketch(df: DataFrame, intervals: list[_Interval]) -> dict[int, list[Pair]]:
     if not intervals:
         return {}
     around = [[_around((r - i.below + 0.5) / i.inside) for r in sorted(i.ranks)] for i in intervals]
-    asked = [F.percentile_approx(F.when(i.holds(), i.value), [e for pair in pairs for e in pair], SKETCH_ACCURACY) for i, pairs in zip(intervals, around)]
+    asked = [F.percentile_approx(F.when(i.holds(), i.value), _numbers([e for pair in pairs for e in pair], "double"), SKETCH_ACCURACY) for i, pairs in zip(intervals, around)]
     return {id(i): list(zip(points[::2], points[1::2])) for i, points in zip(intervals, df.agg(*asked).first())}
 
 

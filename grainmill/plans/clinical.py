@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions.columns import col, mean_of_available
-from grainmill.operators.bands import add_rate
+from grainmill.operators.bands import add_rates
 from grainmill.operators.clean import cap_columns, fill_constant, fill_from, fill_mode, replace_out_of_range, round_columns
 from grainmill.operators.rows import first_rows, keep_columns, keep_range, lenient_numeric
 
@@ -39,8 +39,7 @@ def clean_clinical(
     df = lenient_numeric(df, "age")
     if age_filter:
         df = keep_range(df, "age", *AGES)
-    df = add_rate(df, abs_rates, "age", "sex", "abs_smoke_rate")
-    df = add_rate(df, cdc_rates, "age", "sex", "cdc_smoke_rate")
+    df = add_rates(df, {"abs_smoke_rate": abs_rates, "cdc_smoke_rate": cdc_rates}, "age", "sex")
     df = fill_from(df, "smoke", mean_of_available(col("abs_smoke_rate"), col("cdc_smoke_rate")))
     return round_columns(df, 3, "smoke", "abs_smoke_rate", "cdc_smoke_rate").select(
         *KEPT_COLUMNS[:-1], "abs_smoke_rate", "cdc_smoke_rate", F.col("target")

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # longer methods are not compiled by the JVM's JIT; expressions one by one are faster than those
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -1,8 +1,10 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from grainmill.functions import columns as C
-from grainmill.operators import bands, clean, joins, rows
+from grainmill.operators import bands, clean, joins, order_statistics, rows
 from grainmill.plans.clinical import KEPT_COLUMNS, clean_clinical
 
 
@@ -68,6 +70,7 @@ def test_band_join_small_and_large_lookup(spark, monkeypatch, limit):
     """The cell join gives the same rows as the broadcast join."""
     table = bands.rate_table(spark, bands.SEVEN_BANDS, {label: (i + 0.5, i + 0.25) for i, (_, _, label) in enumerate(bands.SEVEN_BANDS)})
     monkeypatch.setattr(joins, "LOOPED_BANDS", limit)
+    monkeypatch.setattr(bands, "SEARCHED", 0)
     ages = [None, float("nan"), -1e9, 10.0, 18.0, 24.0, 24.5, 25.0, 50.0, 64.0, 74.9, 75.0, 1e9]
     df = spark.createDataFrame([(a, s) for a in ages for s in (0, 1, None)], "age double, sex int")
     found = bands.add_rate(df, table, "age", "sex", "rate").collect()
@@ -157,3 +160,84 @@ def test_clinical_flow_edge_rows(spark):
     assert got[1]["trestbps"] == 120.0 and got[2]["oldpeak"] == 1.0 and got[3]["fbs"] == 1.0
     assert got[4]["painloc"] == 1.0 and got[4]["slope"] == 2.0 and got[4]["thaldur"] == 5.0 and got[4]["diuretic"] == 0.0
     assert got[5]["smoke"] is None  # 24.5 lies between the bands
+
+
+def plain_repair(x, low, high):
+    """The median, the values outside the range as it, and the median of that, by sorting."""
+    x = np.array([v for v in x if v is not None and not np.isnan(v)])
+    if not len(x):
+        return None, None
+    first = float(np.median(x))
+    out = np.zeros(len(x), bool)
+    out |= (x < low) if low is not None else False
+    out |= (x > high) if high is not None else False
+    return first, float(np.median(np.where(out, first, x)))
+
+
+RANGES = [(None, None), (0.0, None), (None, 1.0), (-0.5, 0.5), (0.2, 0.3), (5.0, 9.0), (-9.0, -5.0), (2.0, 1.0)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 2500, 30001])
+def test_both_medians_of_one_scan(spark, n):
+    rng = np.random.default_rng(n)
+    columns = {}
+    for i, _ in enumerate(RANGES):
+        x = rng.normal(size=n)
+        x[rng.random(n) < 0.3] = 0.25
+        x[rng.random(n) < 0.1] = np.nan
+        columns[f"c{i}"] = x
+    schema = ", ".join(f"c{i} double" for i in range(len(RANGES)))
+    df = spark.createDataFrame(pd.DataFrame(columns), schema) if n else spark.createDataFrame([], schema)
+    found = order_statistics.repaired_medians(df.repartition(3), {f"c{i}": r for i, r in enumerate(RANGES)})
+    for i, (low, high) in enumerate(RANGES):
+        first, last = plain_repair(columns[f"c{i}"], low, high)
+        assert found[f"c{i}"] == (first if first is None else pytest.approx(first, abs=1e-15), last if last is None else pytest.approx(last, abs=1e-15)), (low, high)
+
+
+def test_clinical_flow_runs_few_jobs(spark):
+    from grainmill.catalog import REGISTRY
+    from grainmill.catalog.cleaning import FOUR_RATES, SEVEN_RATES, clinical
+    from grainmill.plans.clinical import clean_clinical
+
+    raw = clinical(spark, "/root/testdata/sf0.001")
+    rates = bands.rate_table(spark, bands.SEVEN_BANDS, SEVEN_RATES), bands.rate_table(spark, bands.FOUR_BANDS, FOUR_RATES)
+    found = clean_clinical(raw, *rates)
+    assert len(found.collect()) == REGISTRY["C25"].run(spark, "/root/testdata/sf0.001").count()
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    spark.sparkContext.setJobGroup("alone", "alone")
+    clean_clinical(raw, *rates).collect()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("alone")) <= 8
+    spark.sparkContext.setJobGroup("other", "other")
+
+
+TABLES = {
+    "a": [(0.0, 10.0, 1, 0.5), (10.5, 20.0, 1, 0.6), (20.5, None, 1, None), (0.0, 5.0, 0, 0.1)],
+    "b": [(5.0, 12.0, 1, 1.0), (12.0 + 1e-9, 12.5, 1, 2.0), (30.0, 30.0, 1, 3.0), (3.0, None, 0, 4.0), (None, 9.0, 0, 9.0), (7.0, 6.0, 0, 8.0)],
+    "none": [],
+}
+AGES = [None, float("nan"), float("-inf"), -1.0, 0.0, 2.9, 3.0, 5.0, 5.1, 10.0, 10.2, 10.5, 11.0, 12.0, 12.0 + 1e-10, 12.2, 12.5, 13.0, 20.0, 20.4, 20.5, 29.0, 30.0, 30.0001, 1e9, float("inf")]
+
+
+@pytest.mark.parametrize("limit", [500, 0])
+def test_rates_of_several_tables_in_one_lookup(spark, monkeypatch, limit):
+    monkeypatch.setattr(bands, "SEARCHED", limit)
+    tables = {n: spark.createDataFrame(rows, "lo double, hi double, `group` int, rate double") for n, rows in TABLES.items()}
+    rows = [(i, x, s) for i, (x, s) in enumerate((x, s) for x in AGES for s in (1, 0, None))]
+    df = spark.createDataFrame(rows, "id int, age double, sex int")
+    got = bands.add_rates(df, tables, "age", "sex")
+    assert got.columns == ["id", "age", "sex", "a", "b", "none"]
+
+    def rate(name, x, group):
+        if x is None or x != x:
+            return None
+        return next((r for lo, hi, g, r in TABLES[name] if lo is not None and g == group and lo <= x and (hi is None or x <= hi)), None)
+
+    found = {r["id"]: (r["a"], r["b"], r["none"]) for r in got.collect()}
+    assert found == {i: tuple(rate(n, x, 1 if s == 1 else 0) for n in TABLES) for i, x, s in rows}
+
+
+def test_overlapping_bands_are_joined(spark):
+    assert bands.refined({"a": [(0.0, 5.0, 1, 1.0), (5.0, 9.0, 1, 2.0)]}) is None
+    table = spark.createDataFrame([(0.0, 5.0, 1, 1.0), (5.0, 9.0, 1, 2.0)], "lo double, hi double, `group` int, rate double")
+    df = spark.createDataFrame([(5.0, 1)], "age double, sex int")
+    assert sorted(r["r"] for r in bands.add_rates(df, {"r": table}, "age", "sex").collect()) == [1.0, 2.0]
