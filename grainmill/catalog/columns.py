@@ -152,11 +152,13 @@ ITEM_TEXT = "replace(replace(replace(replace(replace(replace(regexp_replace(body
 
 @query(
     "F17",
-    f"""SELECT page_id, text FROM (SELECT page_id, {ITEM_TEXT} AS text FROM (
-      SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1)) AS body FROM pages)) WHERE regexp_matches(text, '^[A-Za-z]+$')""",
+    f"""SELECT page_id, CAST(place - 1 AS INTEGER) AS item_no, {ITEM_TEXT} AS text FROM (
+      SELECT page_id, unnest(bodies) AS body, unnest(range(1, len(bodies) + 1)) AS place FROM (
+        SELECT page_id, regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS bodies FROM pages))""",
 )
 def html_items(spark, folder):
-    return X.list_items(table(spark, folder, "pages"), "page_id", "html", "^[A-Za-z]+$").drop("item_no")
+    """Every item of every page."""
+    return X.list_items(table(spark, folder, "pages"), "page_id", "html")
 
 
 @query(

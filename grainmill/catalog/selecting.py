@@ -184,15 +184,22 @@ def side_by_side(spark, folder):
 # Random operators: the SQL states what must hold whatever rows are drawn.
 
 
-@query("M1", "SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS within FROM lineitem")
+@query("M1", f"SELECT {KEY_SQL}, l_quantity FROM lineitem WHERE (l_orderkey * 7 + l_linenumber * 3) % 10 < 2")
 def bernoulli(spark, folder):
-    lineitem = table(spark, folder, "lineitem").select("l_orderkey")
-    drawn = sample.bernoulli_sample(lineitem, 0.2, 42).agg(F.count("*").alias("drawn"))
-    total = lineitem.agg(F.count("*").alias("n_rows"))
-    expected = F.col("n_rows") * 0.2
+    """A fifth of the rows, by a share that SQL knows too; that the hash keeps a fifth as well is tested."""
+    lineitem = table(spark, folder, "lineitem").select(*KEY, "l_quantity")
+    share = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3, F.lit(10)) / F.lit(10.0)
+    return sample.bernoulli_sample(lineitem, 0.2, KEY, share=share)
+
+
+@query("M1_hash", "SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS within FROM lineitem")
+def bernoulli_by_hash(spark, folder):
+    """The number of rows that the hash keeps lies within six deviations of a fifth."""
+    lineitem = table(spark, folder, "lineitem").select(*KEY)
+    drawn = sample.bernoulli_sample(lineitem, 0.2, KEY).agg(F.count("*").alias("drawn"))
+    counted = lineitem.agg(F.count("*").alias("n_rows")).crossJoin(F.broadcast(drawn))  # one row each
     spread = 6 * F.sqrt(F.col("n_rows") * 0.16)
-    both = total.withColumn("k", F.lit(1)).join(drawn.withColumn("k", F.lit(1)), "k")
-    return both.select("n_rows", (F.abs(F.col("drawn") - expected) <= spread).alias("within"))
+    return counted.select("n_rows", (F.abs(F.col("drawn") - F.col("n_rows") * 0.2) <= spread).alias("within"))
 
 
 @query("M2", "SELECT CAST(least(count(*), 1000) AS BIGINT) AS n_rows, CAST(least(count(*), 1000) AS BIGINT) AS n_distinct FROM orders")

@@ -90,9 +90,9 @@ def folder_extract(spark, folder):
     return rows.drop("file_path", "file_block", "position")
 
 
-@query("S8", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000")
+@query("S8", "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders")
 def parquet_scan(spark, folder):
-    return readers.read_parquet(spark, f"{folder}/orders.parquet").filter("o_totalprice > 100000").select("o_orderkey", "o_totalprice")
+    return readers.read_parquet(spark, f"{folder}/orders.parquet").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 @query("S9", "SELECT line AS value FROM (SELECT unnest(string_split(replace(text, chr(13), ''), chr(10))) AS line FROM documents)")
@@ -159,20 +159,20 @@ def single_csv_sink(spark, folder):
     return readers.read_csv(spark, path, "o_orderpriority string, n bigint")
 
 
-@query("K3", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 25")
+@query("K3", "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem")
 def parquet_sink(spark, folder):
     path = scratch_path(spark, "k3")
-    writers.write_parquet(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), path)
-    return readers.read_parquet(spark, path).filter("l_quantity > 25")
+    writers.write_parquet(table(spark, folder, "lineitem"), path)
+    return readers.read_parquet(spark, path).withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
-@query("K4", "SELECT p_type, CAST(count(*) AS BIGINT) AS n FROM part WHERE p_size > 25 GROUP BY p_type")
+@query("K4", "SELECT p_partkey, p_type, p_size + 100 AS p_size FROM part")
 def table_sink(spark, folder):
     name, path = unique("k4"), scratch_path(spark, "k4")
-    part = table(spark, folder, "part")
+    part = table(spark, folder, "part").select("p_partkey", "p_type", "p_size")
     writers.write_table(part, name, path)
-    writers.write_table(part.filter("p_size > 25"), name, path)
-    return spark.table(name).groupBy("p_type").agg(F.count("*").alias("n"))
+    writers.write_table(part.withColumn("p_size", F.col("p_size") + 100), name, path)
+    return spark.table(name)
 
 
 QUOTED = "replace(replace(replace(replace(word, '\\', '\\\\'), chr(9), '\\t'), chr(13), '\\r'), chr(10), '\\n')"
@@ -236,19 +236,20 @@ def driver_result(spark, folder):
 
 @query(
     "K9",
-    """SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_totalprice > 50000 GROUP BY o_orderpriority""",
+    "SELECT o_orderkey, o_totalprice * 2 + 1 AS o_totalprice, o_orderpriority FROM orders",
 )
 def replaced_input(spark, folder):
-    """A stage that replaces the table it reads."""
+    """A stage that replaces the table it reads, twice: a plain table at first, then its own view."""
     name = unique("k9")
     table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority").write.saveAsTable(name)
 
     @table_stage(name, name)
-    def expensive(frame):
-        return {"tables": {name: frame.filter("o_totalprice > 50000")}}
+    def change(frame, times, plus):
+        return {"tables": {name: frame.withColumn("o_totalprice", F.col("o_totalprice") * times + plus)}}
 
-    expensive(spark)
-    return spark.table(name).groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    change(spark, times=2, plus=0)
+    change(spark, times=1, plus=1)
+    return spark.table(name)
 
 
 @query(

@@ -24,9 +24,12 @@ def hash_share(key: Sequence[str], seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(*[col(k) for k in key], F.lit(seed)), F.lit(HASH_RANGE)).cast("double") / F.lit(float(HASH_RANGE))
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Each row kept with probability `fraction`; the size varies."""
-    return df.sample(fraction=fraction, seed=seed)
+def bernoulli_sample(df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42, share: Column | None = None) -> DataFrame:
+    """Each row kept with probability `fraction`, by the hash of its key; the size varies.
+
+    `share` is the caller's own number in [0, 1) for each row, in place of the hash.
+    """
+    return df.filter((hash_share(key, seed) if share is None else share) < F.lit(float(fraction)))
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:

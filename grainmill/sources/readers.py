@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from grainmill.functions.columns import col
 from grainmill.operators.rows import union_all
+from grainmill.sources.stages import VERSION
 
 Schema = T.StructType | str
 
@@ -111,6 +112,6 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: Schema | S
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """`(table_name)` of a database, temporary views left out."""
+    """`(table_name)` of a database, temporary views and the versions of stages' tables left out."""
     tables = spark.sql(f"SHOW TABLES IN `{database}`" if database else "SHOW TABLES")
-    return tables.filter(~F.col("isTemporary")).select(F.col("tableName").alias("table_name"))
+    return tables.filter(~F.col("isTemporary") & ~F.col("tableName").rlike(VERSION.pattern)).select(F.col("tableName").alias("table_name"))

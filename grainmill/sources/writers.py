@@ -7,6 +7,7 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.sources.stages import replace_tables, versions
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -27,7 +28,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace a catalog table, at a path of its own if given; the frame must not read that table (see `stages`)."""
+    """Replace a catalog table, at a path of its own if given; the frame must not read that table (see `stages`).
+
+    A table that stages write gets a new version instead.
+    """
+    if versions(df.sparkSession, name):
+        replace_tables(df.sparkSession, {name: df})
+        return
     writer = df.write.mode("overwrite")
     (writer.option("path", path) if path else writer).saveAsTable(name)
 

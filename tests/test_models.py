@@ -29,6 +29,14 @@ def test_split_parts_are_disjoint_and_whole(spark):
     assert again[1].exceptAll(parts[1]).count() == 0
 
 
+def test_bernoulli_sample_does_not_depend_on_the_layout(spark):
+    df = spark.range(20_000)
+    drawn = sample.bernoulli_sample(df, 0.3, ["id"])
+    assert abs(drawn.count() - 6000) < 400
+    assert sample.bernoulli_sample(df.repartition(13), 0.3, ["id"]).exceptAll(drawn).count() == 0
+    assert sample.bernoulli_sample(df, 0.0, ["id"]).count() == 0 and sample.bernoulli_sample(df, 1.0, ["id"]).count() == 20_000
+
+
 @pytest.mark.parametrize("n", [0, 1, 777, 5000, 6000])
 def test_sample_has_the_exact_size(spark, n):
     assert sample.sample_rows(spark.range(5000), n, ["id"]).distinct().count() == min(n, 5000)

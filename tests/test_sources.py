@@ -65,7 +65,8 @@ def test_stage_names_and_replaced_input(spark):
 
     assert shrink(spark) == {"answer": 42}
     assert spark.table("numbers").count() == 3 and spark.table("kept").count() == 3
-    assert not [t.name for t in spark.catalog.listTables() if "__" in t.name]
+    assert {"numbers", "kept"} <= {r[0] for r in readers.list_tables(spark).collect()}
+    assert not [r[0] for r in readers.list_tables(spark).collect() if "__" in r[0]]
     with pytest.raises(ValueError):
         stages.table_stage(None)
 
@@ -153,7 +154,7 @@ def test_failing_stage_leaves_tables_as_they_were(spark):
 
     spark.sql("DROP TABLE IF EXISTS stage_in")
     spark.range(3).write.saveAsTable("stage_in")
-    before = {t.name for t in spark.catalog.listTables()}
+    before = {r[0] for r in readers.list_tables(spark).collect()}
 
     @table_stage("stage_in", "stage_in")
     def failing(frame):
@@ -161,15 +162,75 @@ def test_failing_stage_leaves_tables_as_they_were(spark):
 
     with pytest.raises(Exception, match="no"):
         failing(spark)
-    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("stage_in").count() == 3
+    assert {r[0] for r in readers.list_tables(spark).collect()} == before and spark.table("stage_in").count() == 3
 
     @table_stage("stage_in", "stage_in")
     def halved(frame):
         return {"tables": {"stage_in": frame.limit(1)}}
 
     halved(spark)
-    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("stage_in").count() == 1
-    spark.sql("DROP TABLE stage_in")
+    assert {r[0] for r in readers.list_tables(spark).collect()} == before and spark.table("stage_in").count() == 1
+    table_stage("stage_in", "stage_in")(lambda frame: {})(spark)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("stage_in")]
+
+
+def test_readers_find_a_table_at_every_step(spark, monkeypatch):
+    """At each change of the catalog, before and after it, the old rows or the new ones are there."""
+    spark.range(3).write.saveAsTable("steps_a")
+    seen, statements, run = [], [], stages._run
+
+    def watched(session, statement):
+        for moment in (lambda: run(session, statement), lambda: None):
+            seen.append(tuple(spark.table(n).count() if spark.catalog.tableExists(n) else None for n in ("steps_a", "steps_b")))
+            moment()
+        statements.append(statement)
+
+    monkeypatch.setattr(stages, "_run", watched)
+    for n in range(4, 8):
+        stages.replace_tables(spark, {"steps_a": spark.range(n), "steps_b": spark.range(n)})
+        assert spark.table("steps_a").count() == spark.table("steps_b").count() == n
+    assert all(a is not None for a, _ in seen)
+    assert [a for a, _ in seen] == sorted(a for a, _ in seen)  # never back to older rows
+    assert len([t.name for t in spark.catalog.listTables() if stages.VERSION.search(t.name)]) >= 4  # the previous versions are kept
+    writers.write_table(spark.range(9), "steps_a")
+    assert spark.table("steps_a").count() == 9
+    stages.replace_tables(spark, {}, ["steps_a", "steps_b"])
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("steps_")]
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_a_failure_at_any_step_leaves_the_old_tables(spark, monkeypatch, first):
+    """With plain tables at first, and with views of an earlier stage."""
+    run, at = stages._run, 0
+    while True:
+        names = [f"fails_{first}_{at}_a".lower(), f"fails_{first}_{at}_b".lower(), f"fails_{first}_{at}_c".lower()]
+        for n in names[:2]:
+            spark.range(3).write.saveAsTable(n)
+        if not first:
+            stages.replace_tables(spark, {n: spark.range(3) for n in names[:2]})
+        calls = 0
+
+        def failing(session, statement, at=at):
+            nonlocal calls
+            calls += 1
+            if calls == at + 1 and not statement.startswith("DROP"):
+                raise RuntimeError("no")
+            run(session, statement)
+
+        monkeypatch.setattr(stages, "_run", failing)
+        try:
+            stages.replace_tables(spark, {n: spark.range(5) for n in names})
+            failed = False
+        except RuntimeError:
+            failed = True
+        monkeypatch.setattr(stages, "_run", run)
+        assert [spark.table(n).count() for n in names[:2]] == ([3, 3] if failed else [5, 5])
+        assert spark.catalog.tableExists(names[2]) == (not failed)
+        stages.replace_tables(spark, {}, names)
+        if not failed:
+            break
+        at += 1
+    assert at >= 3
 
 
 def test_folder_for_intermediate_tables(spark, monkeypatch):
