@@ -152,7 +152,7 @@ def logistic(spark, folder):
 
 @query("L8", SCORED_SQL)
 def forest(spark, folder):
-    return _scored(spark, folder, search.random_forest("quality", numTrees=50, maxDepth=5))
+    return _scored(spark, folder, search.random_forest("quality", numTrees=300, maxDepth=5))
 
 
 @query("L9", SCORED_SQL)
@@ -162,7 +162,7 @@ def tree(spark, folder):
 
 @query("L10", SCORED_SQL)
 def boosted(spark, folder):
-    return _scored(spark, folder, search.boosted_trees("quality", maxIter=20, maxDepth=3, stepSize=0.1))
+    return _scored(spark, folder, search.boosted_trees("quality", maxIter=100, maxDepth=3, stepSize=0.1))
 
 
 @query("L11", SCORED_SQL)
@@ -170,7 +170,7 @@ def full_pipeline(spark, folder):
     """Text indexed and imputed, numbers imputed, pair products, forest: fitted as one pipeline."""
     train, test = _docs_split(spark, folder)
     stages = feature_stages.preparation_stages(["n_chars", "n_words", "digit_share"], ["lang", "source"])
-    model = search.pipeline(*stages, search.random_forest("quality", numTrees=20, maxDepth=4, maxBins=64)).fit(train)
+    model = search.pipeline(*stages, search.random_forest("quality", numTrees=100, maxDepth=4, maxBins=64)).fit(train)
     return _judged(search.score(model, test))
 
 
@@ -212,7 +212,7 @@ def prepared_vectors(spark, folder):
 
 def _searched(spark, folder):
     train, test = _docs_split(spark, folder)
-    classifier = search.logistic_regression("quality", max_iter=30)
+    classifier = search.logistic_regression("quality", max_iter=100)
     stages = search.pipeline(feature_stages.assembler(FEATURES, "raw_features"), feature_stages.scaler(), classifier)
     points = search.grid(reg=(classifier.regParam, [0.01, 1.0]), net=(classifier.elasticNetParam, [0.0, 1.0]))
     return search.train_and_evaluate("Logistic Regression", stages, points, train, test, "quality", KEY, parallelism=4), train
@@ -262,20 +262,20 @@ def report(spark, folder):
 
 
 def _builders():
-    """A linear model, a tree and a forest on any list of feature columns, with one grid point each."""
+    """A linear model, a tree and a forest on any list of feature columns, with three grid points each."""
 
     def linear(names):
-        classifier = search.logistic_regression("quality", max_iter=20)
+        classifier = search.logistic_regression("quality", max_iter=100)
         stages = search.pipeline(feature_stages.assembler(names, "raw_features"), feature_stages.scaler(), classifier)
-        return stages, search.grid(reg=(classifier.regParam, [0.1]))
+        return stages, search.grid(reg=(classifier.regParam, [0.01, 0.1, 1.0]))
 
     def branched(names):
         classifier = search.decision_tree("quality")
-        return search.pipeline(feature_stages.assembler(names), classifier), search.grid(depth=(classifier.maxDepth, [3]))
+        return search.pipeline(feature_stages.assembler(names), classifier), search.grid(depth=(classifier.maxDepth, [3, 5, 7]))
 
     def wooded(names):
         classifier = search.random_forest("quality", numTrees=20)
-        return search.pipeline(feature_stages.assembler(names), classifier), search.grid(depth=(classifier.maxDepth, [3]))
+        return search.pipeline(feature_stages.assembler(names), classifier), search.grid(depth=(classifier.maxDepth, [3, 4, 5]))
 
     return {"Logistic Regression": linear, "Decision Tree": branched, "Random Forest": wooded}
 
@@ -292,7 +292,7 @@ def feature_sets():
       (VALUES ('fe_1'), ('fe_2'), ('combined')) AS f(feature_set)""",
 )
 def comparison(spark, folder):
-    """Three models on three feature sets, five folds each."""
+    """Three models on three feature sets, five folds and three grid points each."""
     train, test = _docs_split(spark, folder)
     results = search.compare(_builders(), feature_sets(), train, test, "quality", KEY, FEATURES, parallelism=4)
     return results.select("model", "feature_set", F.col("accuracy").between(0, 1).alias("is_share"))
@@ -345,6 +345,6 @@ def challenger(spark, folder):
 @query("L23", "SELECT CAST(50 AS BIGINT) AS rounds, TRUE AS in_order")
 def noise_robustness(spark, folder):
     train, test = stratified_split(doc_features(spark, folder), "quality", 0.2, KEY)
-    model = search.pipeline(feature_stages.assembler(FEATURES, "raw_features"), feature_stages.scaler(), search.logistic_regression("quality", max_iter=30, regParam=0.01)).fit(train)
+    model = search.pipeline(feature_stages.assembler(FEATURES, "raw_features"), feature_stages.scaler(), search.logistic_regression("quality", max_iter=100, regParam=0.01)).fit(train)
     found = search.robustness(model, test, FEATURES, "quality", KEY, rounds=50, std=1.2)
     return found.select("rounds", (F.col("low") <= F.col("mean_accuracy")).__and__(F.col("mean_accuracy") <= F.col("high")).alias("in_order"))

@@ -6,12 +6,15 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from statistics import NormalDist
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.param.shared import HasFeaturesCol
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,21 +91,68 @@ def k_fold_search(
 ) -> Search:
     """Search with folds taken from the row key, so every run and every grid point sees the same folds.
 
-    `fold` names a column of the caller's own fold numbers (0 to `folds` - 1) to be used instead.
+    Stages of a pipeline before the first one that a grid point changes are fitted and applied once a fold, and
+    once on all rows for the best point; their result is kept for the fold's grid points, which fit the rest, up
+    to `parallelism` at a time. `fold` names a column of the caller's own fold numbers (0 to `folds` - 1).
     """
     checkpoint_folder(train.sparkSession)
     evaluator = evaluator or MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=points, evaluator=evaluator, numFolds=folds, foldCol=fold or "fold", parallelism=parallelism, seed=seed
-    )
-    folded = train if fold is not None else with_fold(train, folds, key, seed, "fold")
+    shared, rest = shared_stages(estimator, points)
+    number = fold or "fold"
+    folded = train if fold is not None else with_fold(train, folds, key, seed, number)
     folded = folded.persist()  # read by every fit; spills to disk, rebuilt if an executor goes
+    sums = [0.0] * len(points)
     try:
-        fitted: CrossValidatorModel = search.fit(folded)
+        for i in range(folds):
+            inside = col(number) != i
+            prepared = _needed(Pipeline(stages=shared).fit(folded.filter(inside)).transform(folded), rest, evaluator, number).persist()
+
+            def measure(point: dict, prepared: DataFrame = prepared, inside: Column = inside) -> float:
+                model = Pipeline(stages=rest).fit(prepared.filter(inside), point)
+                return evaluator.evaluate(model.transform(prepared.filter(~inside)))
+
+            try:
+                with ThreadPool(min(parallelism, len(points))) as pool:
+                    scores = pool.map(inheritable_thread_target(train.sparkSession)(measure), points)
+            finally:
+                prepared.unpersist()
+            sums = [total + score for total, score in zip(sums, scores)]
+        means = [total / folds for total in sums]
+        best = means.index(max(means) if evaluator.isLargerBetter() else min(means))
+        before = Pipeline(stages=shared).fit(folded)
+        prepared = _needed(before.transform(folded), rest, evaluator, number).persist()
+        try:
+            after = Pipeline(stages=rest).fit(prepared, points[best])
+        finally:
+            prepared.unpersist()
     finally:
         folded.unpersist()
+    stages = [*before.stages, *after.stages]
     shown = [{p.name: v for p, v in point.items()} for point in points]
-    return Search(fitted.bestModel, [float(m) for m in fitted.avgMetrics], shown, evaluator.isLargerBetter())
+    return Search(PipelineModel(stages) if isinstance(estimator, Pipeline) else stages[-1], means, shown, evaluator.isLargerBetter())
+
+
+def shared_stages(estimator: Estimator, points: list[dict]) -> tuple[list, list]:
+    """The stages that no grid point changes, up to the first one that does, and the others; the last one is never shared."""
+    if not isinstance(estimator, Pipeline):
+        return [], [estimator]
+    stages = estimator.getStages()
+    changed = {param.parent for point in points for param in point}
+    first = next((i for i, s in enumerate(stages) if _owners(s) & changed), len(stages) - 1)
+    return stages[:first], stages[first:]
+
+
+def _owners(stage) -> set[str]:
+    inner = stage.getStages() if isinstance(stage, Pipeline) else []
+    return {stage.uid}.union(*[_owners(s) for s in inner])
+
+
+def _needed(df: DataFrame, stages: Sequence, evaluator, fold: str) -> DataFrame:
+    """Only the columns that predictors and the evaluator name, if all stages are predictors; else all columns."""
+    if not all(isinstance(s, HasFeaturesCol) for s in stages):
+        return df
+    names = {v for s in (*stages, evaluator) for p, v in s.extractParamMap().items() if p.name.endswith("Col")}
+    return df.select(*[col(c) for c in df.columns if c in names or c == fold])
 
 
 def scores_table(df: DataFrame, search: Search) -> DataFrame:

@@ -4,6 +4,9 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from grainmill.models import evaluate, feature_stages, neighbours, oversample, search, table_index
@@ -167,6 +170,40 @@ def test_search_finds_the_better_grid_point(spark, points):
     assert sum(r["n"] for r in found.counts.collect()) == test.count()
 
 
+class CountedScaler(StandardScaler):
+    fits = []
+
+    def _fit(self, dataset):
+        CountedScaler.fits.append(self.uid)
+        return super()._fit(dataset)
+
+
+def test_stages_before_the_grid_are_fitted_once_a_fold(spark, points):
+    classifier = search.logistic_regression("label", max_iter=20)
+    stages = search.pipeline(feature_stages.assembler(["a", "b"], "raw_features"), CountedScaler(inputCol="raw_features", outputCol="features"), classifier)
+    grid = search.grid(reg=(classifier.regParam, [0.001, 0.1, 10.0]), net=(classifier.elasticNetParam, [0.0, 1.0]))
+    CountedScaler.fits.clear()
+    found = search.k_fold_search(stages, grid, points, "label", ["id"], folds=3, parallelism=3)
+    assert len(CountedScaler.fits) == 4  # three folds and the whole table, not one for each of six points
+    folded = sample.with_fold(points, 3, ["id"])
+    plain = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"), numFolds=3, foldCol="fold").fit(folded)
+    assert found.scores == pytest.approx(plain.avgMetrics, abs=1e-12)
+    assert [s.uid for s in found.model.stages] == [s.uid for s in plain.bestModel.stages]
+    both = [[r[0] for r in m.transform(points).orderBy("id").select("prediction").collect()] for m in (found.model, plain.bestModel)]
+    assert both[0] == both[1]
+
+
+def test_search_over_a_prepared_stage_and_a_single_classifier(spark, points):
+    scaler, classifier = feature_stages.scaler(), search.decision_tree("label", maxDepth=2)
+    stages = search.pipeline(feature_stages.assembler(["a", "b"], "raw_features"), scaler, classifier)
+    shared, rest = search.shared_stages(stages, search.grid(mean=(scaler.withMean, [True, False])))
+    assert len(shared) == 1 and rest == [scaler, classifier]
+    assert len(search.k_fold_search(stages, search.grid(mean=(scaler.withMean, [True, False])), points, "label", ["id"], folds=2).scores) == 2
+    assert search.shared_stages(stages, [{}]) == (stages.getStages()[:2], [classifier])
+    vectors = feature_stages.assembler(["a", "b"]).transform(points)
+    assert search.k_fold_search(classifier, search.grid(depth=(classifier.maxDepth, [1, 3])), vectors, "label", ["id"], folds=2).best_params == {"maxDepth": 3}
+
+
 def test_choice_rules(spark):
     def choose(p, a, b):
         results = spark.createDataFrame([("production", p), ("max", a), ("product", b)], "model string, accuracy double")
