@@ -5,7 +5,7 @@ The key must identify a row (rows with equal keys go the same way together).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,27 +62,39 @@ def split_rows(df: DataFrame, weights: Sequence[float], key: Sequence[str], seed
 
 
 def stratified_split(df: DataFrame, label: str, test_share: float, key: Sequence[str], seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """`(train, test)` with `round(test_share * n)` test rows of every class.
+    """`(train, test)` with `round(test_share * n)` test rows of every class."""
+    both = marked_rows(df, label, lambda n, _: F.bround(n * F.lit(float(test_share))), key, seed)
+    names = [col(c) for c in df.columns]
+    return both.filter("NOT _picked").select(*names), both.filter("_picked").select(*names)
+
 
-    Each class is cut at the hash with the wanted rank. One count over (class, slot of the hash) finds the slots
-    of all cuts, whatever the number of classes; only the rows of a class's own cut slot are ranked.
+def marked_rows(df: DataFrame, label: str, wanted: Callable[[Column, Column], Column], key: Sequence[str], seed: int = 42) -> DataFrame:
+    """`df` with `_picked`, true for exactly `wanted(n, largest)` rows of every class, and the class's `_size` and `_largest`.
+
+    `wanted` is an expression of the rows of a class and of the largest class. Each class is cut at the hash with
+    the wanted rank. One count over (class, slot of the hash) finds the slots of all cuts, whatever the number of
+    classes; only the rows of a class's own cut slot are ranked.
     """
     share = hash_share(key, seed)
     slot = F.floor(share * SLOTS).cast("int")
     counted = df.groupBy(col(label).alias("_class"), slot.alias("_slot")).agg(F.count("*").alias("_n"))
+    sizes = counted.groupBy("_class").agg(F.sum("_n").alias("_size"))
+    largest = sizes.agg(F.max("_size").alias("_largest"))  # one row
     upto = Window.partitionBy("_class").orderBy("_slot")
     whole = Window.partitionBy("_class")
-    run = counted.withColumns({"_upto": F.sum("_n").over(upto), "_wanted": F.bround(F.sum("_n").over(whole) * F.lit(float(test_share))).cast("bigint")})
-    # the slot of a class in which its wanted number of test rows is reached, and how many rows of that slot are among them
-    cuts = run.filter("_wanted > 0 AND _upto >= _wanted AND _upto - _n < _wanted").select("_class", F.col("_slot").alias("_cut"), (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_rest"))
+    run = counted.withColumns({"_upto": F.sum("_n").over(upto), "_size": F.sum("_n").over(whole)}).crossJoin(F.broadcast(largest))
+    run = run.withColumn("_wanted", wanted(F.col("_size"), F.col("_largest")).cast("bigint"))
+    # a row for each class: the slot in which its wanted number of rows is reached (its first slot if none is wanted), and how many rows of that slot are among them
+    reached = F.when(F.col("_wanted") > 0, (F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted"))).otherwise(F.col("_upto") == F.col("_n"))
+    cuts = run.filter(reached).select(
+        "_class", F.col("_slot").alias("_cut"), F.greatest(F.col("_wanted") - F.col("_upto") + F.col("_n"), F.lit(0)).alias("_rest"), "_size", "_largest"
+    )
     placed = df.withColumns({"_share": share, "_slot": slot}).join(lookup_side(cuts), col(label).eqNullSafe(F.col("_class")), "left")
     at_cut = F.col("_slot") == F.col("_cut")
     order = Window.partitionBy("_class").orderBy("_share", *[col(k) for k in key])
-    border = placed.filter(at_cut).withColumn("_test", F.row_number().over(order) <= F.col("_rest"))
-    clear = placed.filter(~F.coalesce(at_cut, F.lit(False))).withColumn("_test", F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False)))
-    both = clear.unionAll(border)
-    names = [col(c) for c in df.columns]
-    return both.filter("NOT _test").select(*names), both.filter("_test").select(*names)
+    border = placed.filter(at_cut).withColumn("_picked", F.row_number().over(order) <= F.col("_rest"))
+    clear = placed.filter(F.col("_slot") != F.col("_cut")).withColumn("_picked", F.col("_slot") < F.col("_cut"))
+    return clear.unionAll(border).select(*[col(c) for c in df.columns], "_picked", "_size", "_largest")
 
 
 def with_fold(df: DataFrame, folds: int, key: Sequence[str], seed: int = 42, out: str = "fold") -> DataFrame:

@@ -63,7 +63,7 @@ def test_neighbours_within_the_leaves_of_trees(spark, options, least):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 3))
     x[:100] *= 0.01
-    df = spark.createDataFrame([(p.tolist(), 1) for p in x], "vec array<double>, copies bigint").cache()
+    df = spark.createDataFrame([("a", p.tolist(), 1) for p in x], "kind string, vec array<double>, copies bigint").cache()
     got = {tuple(r["vec"]): [n["distance"] for n in r["near"]] for r in neighbours.nearest_distinct(df, 5, **options).collect()}
     far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     far.sort(1)
@@ -73,8 +73,41 @@ def test_neighbours_within_the_leaves_of_trees(spark, options, least):
 
 
 def test_each_vector_goes_to_one_leaf_of_each_tree(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.col("embedding").cast("array<double>").alias("vec"), F.lit(1).cast("bigint").alias("copies"))
-    assert {r["count"] for r in neighbours.planted(df, 5).groupBy("vec").count().collect()} == {5}
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.lit("k").alias("kind"), F.col("embedding").cast("array<double>").alias("vec"), F.lit(1).cast("bigint").alias("copies"))
+    assert {r["count"] for r in neighbours.planted(df, 5, leaf=10).groupBy("vec").count().collect()} == {5}
+    assert {r["count"] for r in neighbours.planted(df, 5).groupBy("vec").count().collect()} == {1}
+
+
+def test_classes_of_every_size_keep_to_themselves(spark):
+    """Many small classes beside one beyond a leaf: exact in the small ones, and never a vector of another class."""
+    rng = np.random.default_rng(1)
+    rows = [(f"k{c}", p.tolist(), 1) for c in range(80) for p in rng.normal(size=(int(rng.integers(1, 30)), 3))]
+    rows += [("big", p.tolist(), 1) for p in rng.normal(size=(400, 3))]
+    df = spark.createDataFrame(rows, "kind string, vec array<double>, copies bigint").cache()
+    points = {}
+    for kind, vec, _ in rows:
+        points.setdefault(kind, []).append(vec)
+    got = neighbours.nearest_distinct(df, 5, leaf=60).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        mine = np.array(points[r["kind"]])
+        assert all(n["vec"] in points[r["kind"]] for n in r["near"])
+        if r["kind"] != "big":
+            far = np.sort(np.sqrt(((mine - np.array(r["vec"])) ** 2).sum(1)))[1:6]
+            assert np.allclose([n["distance"] for n in r["near"]], far)
+
+
+def test_smote_of_a_thousand_classes_is_one_plan(spark):
+    def plan(n):
+        df = spark.range(n * 12).select("id", (F.col("id") % n).alias("y"), F.rand(3).alias("a"), F.rand(4).alias("b"))
+        df = df.unionAll(spark.range(40).select((F.col("id") + 10**6).alias("id"), F.lit(None).cast("bigint").alias("y"), F.rand(5).alias("a"), F.rand(6).alias("b")))
+        return oversample.smote(df, "y", ["a", "b"], ["id"])
+
+    few, many = plan(3), plan(1000)
+    lengths = [len(d._jdf.queryExecution().optimizedPlan().toString().splitlines()) for d in (few, many)]
+    assert lengths[0] == lengths[1]
+    counts = many.groupBy("y").agg(F.count("*").alias("n"), F.count_if("synthetic").alias("new")).collect()
+    assert len(counts) == 1001 and {r["n"] for r in counts} == {40} and {r["new"] for r in counts if r["y"] is not None} == {28}
 
 
 def test_smote_balances_on_segments(spark, points):
