@@ -36,6 +36,14 @@ class Words(dict):
         return at
 
 
+def unused(df, name: str) -> str:
+    """A column name that `df` does not have, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def field_list(schema) -> str:
     """A schema as the text that `mapInArrow` takes."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

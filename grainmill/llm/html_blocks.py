@@ -8,7 +8,7 @@ import re
 from dataclasses import dataclass
 
 # Elements whose content is no text of the page, and elements that end a run of text.
-UNSEEN = "title script style noscript template svg math iframe textarea"
+UNSEEN = "script style noscript template svg math iframe textarea"
 BLOCKS = (
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td "
@@ -36,12 +36,14 @@ REST = r"(?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?:svg|math)(?=[\s/>]){REST}(?<=/)>"
-    rf"|<(?P<unseen>{'|'.join(UNSEEN.split())})(?=[\s/>]){REST}>.*?(?:</(?P=unseen)\s*>|(?=</head[\s>]|<body[\s/>])|\Z)"
+    rf"|<(?P<unseen>{'|'.join(UNSEEN.split())})(?=[\s/>]){REST}>.*?(?:</(?P=unseen)(?=[\s/>])[^>]*>|\Z)"
+    rf"|<title(?=[\s/>]){REST}>.*?(?:</title(?=[\s/>])[^>]*>|(?=</head[\s>]|<body[\s/>])|\Z)"
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>{REST})>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NAMING = {"class", "id", "role"}
 IS_BLOCK = frozenset(BLOCKS)
 
 
@@ -55,7 +57,7 @@ class Block:
 @functools.lru_cache(20_000)
 def names_of(attributes: str) -> tuple[str, ...]:
     """The words of an element's class, id and role, as `.word`."""
-    found = " ".join(a or b or c for a, b, c in NAMED.findall(attributes))
+    found = " ".join(a or b or c for name, a, b, c in ATTRIBUTE.findall(attributes) if name.lower() in NAMING)
     found = re.sub(r"([a-z])([A-Z])", r"\1 \2", html.unescape(found)).lower()
     return tuple("." + w for w in re.findall(r"[a-z]+", found))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.batches import Words, field_list, in_chunks
+from grainmill.llm.batches import Words, field_list, in_chunks, unused
 from grainmill.llm.html_blocks import Block, blocks
 from grainmill.llm.recurrent import NUMBERS, PATHS, WORDS, Sequence, label, train
 
@@ -138,10 +138,12 @@ def lesson(page: list[Block], rng: np.random.Generator, copies: int) -> list[tup
 
 
 def fit_labeller(pages: DataFrame, html_col: str = "html", fit_pages: int = 300, copies: int = 2, most_blocks: int = 200, seed: int = 5) -> dict | None:
-    """The labeller's weights, from `fit_pages` pages at most, picked by a hash of their markup among a share of all pages.
+    """The labeller's weights, from `fit_pages` pages at most, picked by a hash of their markup.
 
-    Only pages with up to `most_blocks` blocks are learnt from (that bounds the sample; labelling has no such
-    bound). None if no page's names tell of main text; then the names alone decide on every page.
+    A share of all pages is looked at for pages whose names tell of main text; it grows until enough are found or
+    all pages were seen, and the least hashes are the same whatever the share. Only pages with up to `most_blocks`
+    blocks are learnt from (that bounds the sample; labelling has no such bound). None if no such page's names
+    tell of main text; then the names alone decide on every page.
     """
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +156,12 @@ def fit_labeller(pages: DataFrame, html_col: str = "html", fit_pages: int = 300,
 
     keyed = pages.select(F.crc32(F.col(html_col).cast("binary")).alias("key"), F.col(html_col).alias("page")).where("page <> ''")
     share = min(1.0, 8 * fit_pages / max(1, pages.count()))  # of the pages, so that enough of them are useful
-    some = keyed.where(F.col("key") < F.lit(int(share * (1 << 32)))).mapInArrow(told, "key long, page string")
-    sample = some.groupBy("key").agg(F.min("page").alias("page")).orderBy("key").limit(fit_pages).collect()
+    while True:
+        some = keyed.where(F.col("key") < F.lit(int(share * (1 << 32)))).mapInArrow(told, "key long, page string")
+        sample = some.groupBy("key").agg(F.min("page").alias("page")).orderBy("key").limit(fit_pages).collect()
+        if len(sample) >= fit_pages or share >= 1:
+            break
+        share = min(1.0, 8 * share)
     rng, reader = np.random.default_rng(seed), Describer()
     lessons = [x for r in sample for x in lesson(blocks(r["page"]), rng, copies)]
     return train([reader.sequence(p) for p, _ in lessons], [y for _, y in lessons]) if lessons else None
@@ -169,7 +175,7 @@ def extract_text(pages: DataFrame, weights: dict | None, html_col: str = "html",
     """
     held = pages.sparkSession.sparkContext.broadcast(weights)
     kept = pages.drop(html_col, into).columns
-    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").alias("__page"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").alias(unused(pages, "page")))
     schema = f"{field_list(rows.schema.fields[:-1])}, `{into}` string".removeprefix(", ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

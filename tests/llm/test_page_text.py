@@ -37,6 +37,10 @@ MADE = """<html><body><header><h1>Site</h1><a href=x>Home</a></header><div class
         ("<head><title>t</head><p>x", ["x"]),
         ("<head><meta name=a><style>p{}</style><script>'<p>'</script><title>t</title></head>x", ["x"]),
         ("<p>a<object data=x>b<p>c", ["ab", "c"]),
+        ('<article>a<script>w.document.write("<body>"+x+"</body>");</script>b</article>', ["ab"]),
+        ("<p>a<script>if(s.indexOf(\"</head>\")>0){run()}</script >b<style>/*</head>*/p{}</style\n>c", ["abc"]),
+        ("<p>a<textarea><body>no</textarea>b<script>never closed </body><p>no", ["ab"]),
+        ("<head><title>t<body>x", ["x"]),
         ("<p title='it's'>one two don't three<p title=a\"b>four\"", ["one two don't three", "four\""]),
     ],
 )
@@ -50,6 +54,8 @@ def test_paths_and_links():
         (("body", "div", ".side", ".bar", ".top", ".nav", ".main", "ul", "li"), 3),
         (("body", "div", ".side", ".bar", ".top", ".nav", ".main", "ul", "li"), 0),
     ]
+    assert [b.path for b in blocks("<article data-id='nav-12' my-class=footer title='class=menu' CLASS=\"a\">x")] == [("article", ".a")]
+    assert told_by_names(blocks("<article data-id=\"nav-12\"><p>x")[0])
     assert told_by_names(blocks("<article><header><h1>x")[0]) and told_by_names(blocks("<header><h1>x")[0]) is False
 
 
@@ -102,6 +108,20 @@ def test_no_pages_to_learn_from(frame):
     assert [r["text"] for r in got.collect()] == ["yes"]
 
 
+def test_lessons_are_looked_for_until_they_are_found(frame):
+    """One page in thousands tells of main text."""
+    rows = [(i, f"<p>page {i}") for i in range(6000)] + [(9000, "<nav>menu</nav><article><p>Text of the only article.</article>")]
+    assert fit_labeller(frame(rows, "page_id int, html string"), fit_pages=20) is not None
+    assert fit_labeller(frame(rows[:-1], "page_id int, html string"), fit_pages=20) is None
+
+
+def test_clashing_columns(frame, weights):
+    rows = [(1, MADE, "a", "b", {"k": 1})]
+    got = extract_text(frame(rows, "page_id int, html string, page string, PAGE_ string, m map<string,int>"), weights)
+    assert got.columns == ["page_id", "page", "PAGE_", "m", "text"]
+    assert got.first()["page"] == "a" and got.first()["text"].startswith("A & B")
+
+
 def test_query_finds_the_articles(spark):
     got = {r["page_id"]: r for r in QUERIES["op8_page_text"](spark, FOLDER).collect()}
     for page, url, text in duckdb.sql(f"select page_id, url, html from '{FOLDER}/pages.parquet'").fetchall():
