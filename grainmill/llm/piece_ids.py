@@ -15,14 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.batches import Words, field_list, in_chunks
+from grainmill.llm.batches import Words, field_list, in_chunks, unused
 from grainmill.llm.merges import MergeTable, ranges
 
 SPACE = "▁"  # the mark that pieces have for a space
 STRETCH = re.compile(" *[^ ]+| +")
 CODE_POINTS = 0x110000
-#: The text's name on its way to the tasks.
-TEXT = "__text"
 
 
 class PieceModel:
@@ -184,7 +182,7 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", decoded:
     """
     added = ["ids", *["decoded"] * decoded]
     others = docs.drop(text_col, *added)
-    rows = docs.select(*[F.col(f"`{c}`") for c in others.columns], F.col(f"`{text_col}`").alias(TEXT))
+    rows = docs.select(*[F.col(f"`{c}`") for c in others.columns], F.col(f"`{text_col}`").alias(unused(docs, "text")))
     names = [*others.columns, *added]
     schema = field_list(others.schema) + ", ids binary" + ", decoded string" * decoded
 

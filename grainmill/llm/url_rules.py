@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.llm.batches import unused
+
 #: Rules up to this number, with texts up to so many bytes, are broadcast.
 BROADCAST_RULES, BROADCAST_BYTES = 100_000, 16_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,26 +67,26 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
 
     new = ("host", "path", "rule", "verdict")
     kept = pages.drop(*new)
-    url = F.col("__url")
-    whole_pages = pages.select(*[F.col(f"`{c}`") for c in kept.columns], F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("__url"))
-    parts = whole_pages.select("__url").distinct().select("__url", host_of(url).alias("host"), path_of(url).alias("path"))
+    whole_url, best_rule = unused(pages, "whole_url"), unused(pages, "best_rule")
+    url = F.col(whole_url)
+    whole_pages = pages.select(*[F.col(f"`{c}`") for c in kept.columns], F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias(whole_url))
+    parts = whole_pages.select(whole_url).distinct().select(whole_url, host_of(url).alias("host"), path_of(url).alias("path"))
 
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.transform(
         F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n)
     )
-    named = parts.select("__url", F.explode(suffixes).alias("suffix"), "path").select("__url", "suffix", F.explode(prefixes).alias("start"))
+    named = parts.select(whole_url, F.explode(suffixes).alias("suffix"), "path").select(whole_url, "suffix", F.explode(prefixes).alias("start"))
     keyed = named.withColumn("full", digest(F.col("suffix"), F.col("start"))).withColumn("prefix", F.substring("full", 1, 8))
     met = keyed.join(ruled, keyed["prefix"] == F.col("rule_prefix")).where(F.col("full") == F.col("whole"))
-    best = met.groupBy("__url").agg(F.max(F.struct(F.length("rule").alias("length"), "rule", "action")).alias("best"))
-    found = best.select("__url", F.col("best.rule").alias("rule"), F.col("best.action").alias("action"))
+    best = met.groupBy(whole_url).agg(F.max(F.struct(F.length("rule").alias("length"), "rule", "action")).alias(best_rule))
 
-    judged = whole_pages.join(found, "__url", "left")
+    judged = whole_pages.join(best, whole_url, "left")
     return judged.select(
         *[F.col(f"`{c}`") for c in kept.columns],
         host_of(url).alias("host"),
         path_of(url).alias("path"),
-        "rule",
-        F.coalesce("action", F.lit(default)).alias("verdict"),
+        F.col(f"{best_rule}.rule").alias("rule"),
+        F.coalesce(f"{best_rule}.action", F.lit(default)).alias("verdict"),
     )

@@ -57,3 +57,10 @@ def test_query(spark, library):
         digests = [hashlib.sha256(x).hexdigest() for x in (struct.pack(f"<{len(ids)}I", *ids), library.decode(ids).encode())]
         want.append((doc, len(ids), *digests))
     assert sorted(map(tuple, QUERIES["op6_pieces"](spark, folder).collect())) == sorted(want)
+
+
+def test_clashing_columns(frame):
+    docs = frame([(1, "two words", "x", {"k": 1})], "doc_id int, text string, text_ string, m map<string,int>")
+    got = encode_pieces(docs, PATH, decoded=True)
+    assert got.columns == ["doc_id", "text_", "m", "ids", "decoded"]
+    assert got.first()["text_"] == "x" and got.first()["decoded"] == "two words"

@@ -46,6 +46,13 @@ def test_no_rules_and_no_pages(frame):
     assert judge(frame([], "page_id int, url string"), frame(URL_RULES, schema)).count() == 0
 
 
+def test_clashing_columns(frame):
+    pages = frame([(1, "http://a.org/", "x", 2, {"k": 1})], "page_id int, url string, action string, whole_url int, BEST_rule map<string,int>")
+    got = judge(pages, frame(URL_RULES, "action string, host string, path string"))
+    assert got.columns == [*pages.columns, "host", "path", "rule", "verdict"]
+    assert tuple(got.first()) == (1, "http://a.org/", "x", 2, {"k": 1}, "a.org", "/", "org/", "allow")
+
+
 def test_query_and_sql(spark):
     folder = "/root/testdata/sf0.001"
     assert oracle.compare(QUERIES["op5_url_rules"](spark, folder), oracle.connect(folder), SQL["op5_url_rules"]) == []
