@@ -8,26 +8,33 @@ from pyspark.sql import functions as F
 from grainmill.llm.staging import forget, stored
 
 
-def _star(pairs: DataFrame) -> DataFrame:
-    """From rows `(u, v)`: each v hangs below the smallest of u and all its v.
+#: Rows of a node from which its minimum is broadcast, unless fewer than `1 / MOST_HEAVY` of all rows.
+HEAVY, MOST_HEAVY = 64, 10_000
 
-    The minimum is summed up in the map tasks, so a node with very many neighbours costs a row per task there;
-    the join back is one that adaptive execution can split.
+
+def _star(pairs: DataFrame, rows: int) -> DataFrame:
+    """From about `rows` rows `(u, v)`: each v hangs below the smallest of u and all its v.
+
+    The minimum is summed up in the map tasks, so a node with very many neighbours costs a row per task there. The
+    minima of such nodes (at most `MOST_HEAVY` of them, as the others have a share of the rows too small) then go
+    to the rows by broadcast, so the rows of one node stay where they are; only rows of other nodes are shuffled.
     """
-    least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return pairs.join(least, "u")
+    least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    heavy = F.broadcast(least.where(F.col("n") > max(HEAVY, rows // MOST_HEAVY)).select("u", "m"))
+    light = pairs.join(heavy.select("u"), "u", "left_anti").join(least.select("u", "m"), "u")
+    return pairs.join(heavy, "u").unionByName(light)
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, rows: int) -> DataFrame:
     """Every larger neighbour of u goes to the smallest neighbour of u."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-    return _star(both).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return _star(both, 2 * rows).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, rows: int) -> DataFrame:
     """Every smaller neighbour of u, and u itself, goes to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    starred = _star(down)
+    starred = _star(down, rows)
     moved = starred.select(F.col("v").alias("a"), F.col("m").alias("b")).union(starred.select("u", "m"))
     return moved.where("a <> b").distinct()
 
@@ -40,9 +47,9 @@ def components(edges: DataFrame) -> DataFrame:
     No edges give no rows.
     """
     edges = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    seen = None
+    rows, seen = edges.count(), None
     while True:
-        turned = stored(_small(_large(edges)), "edges")
+        turned = stored(_small(_large(edges, rows), rows), "edges")
         forget(edges)
         edges = turned
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

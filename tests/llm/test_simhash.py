@@ -92,3 +92,14 @@ def test_query_on_a_whole_table(spark):
     pairs = [(i, j) for i in range(len(docs)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
     want = sorted((d, f"{p:016x}", docs[r][0]) for (d, _), p, r in zip(docs, prints, roots(len(docs), pairs)))
     assert sorted(map(tuple, QUERIES["op10_simhash"](spark, folder).collect())) == want
+
+
+def test_heavy_nodes_of_the_components(frame, monkeypatch):
+    """Stars of many rows beside chains; the heavy ones go by broadcast."""
+    import grainmill.llm.components as module
+
+    monkeypatch.setattr(module, "HEAVY", 5)
+    edges = [(1000, i) for i in range(200)] + [(i, i + 1) for i in range(2000, 2030)] + [(199, 2030), (5000, 5001), (7000, 7000), (None, 3)]
+    found = {r["node"]: r["root"] for r in components(frame(edges, "a long, b long")).collect()}
+    first = {1000, *range(200), *range(2000, 2031)}
+    assert found == {**{n: 0 for n in first}, 5000: 5000, 5001: 5000}
