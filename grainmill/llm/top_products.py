@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.staging import stored
 
-#: Vectors of a block, queries that are worked on together, bands of block lengths.
-BLOCK, TOGETHER, BANDS = 4096, 256, 64
+#: Vectors of a block, queries that are worked on together, queries of a task's part, bands of block lengths.
+BLOCK, TOGETHER, PART, BANDS = 4096, 256, 1024, 64
 #: Axes after which vectors may leave, as shares of all.
 STOPS = (0.25, 0.5, 1.0)
 #: Rounding of sums against the lengths of both vectors.
@@ -125,7 +125,7 @@ def _best(queries, floors, own, ids, rows, axes, k):
 
 
 def _meet(width: int, axes: np.ndarray, k: int):
-    """Rows sorted by (block, kind), a block's vectors (kind 0) before its queries (kind 1), to the best of each query there."""
+    """Rows sorted by (block, part, kind), a block's vectors (kind 0) before a part's queries (kind 1), to the best of each query there."""
 
     def run(batches):
         at = ids = rows = None
@@ -142,10 +142,10 @@ def _meet(width: int, axes: np.ndarray, k: int):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], names=["query_id", "vec_id", "score"])
 
         for batch in batches:
-            for block, _, own, floor, members, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if block != at:
+            for block, part, _, own, floor, members, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (block, part) != at:
                     yield from work()
-                    at = block
+                    at = block, part
                 if own is None:
                     ids, rows = np.frombuffer(members, "<i8"), np.frombuffer(data, "<i8").reshape(-1, width).astype(np.int64)
                 else:
@@ -163,7 +163,8 @@ def top_products(vectors: DataFrame, is_query: str, k: int = 5, block: int = BLO
     `vectors(id, v, norm)` as `whole_vectors` gives them; shorter vectors count as filled up with zeros. Equal
     scores go to smaller ids; with fewer than `k` others all are returned, and a query without others has no
     row. Exact while a product fits a long. The queries are a set of stated rows; each goes to a block of
-    vectors at most once, and only one block with its queries is in a task at a time.
+    vectors at most once. Queries are dealt over parts of about `PART` of them, and a block is copied to the parts
+    that ask for it, so no task has more than a part's queries for a block.
     """
     vectors = stored(vectors, "vectors")
     width = max(1, vectors.agg(F.max(F.size("v")).alias("width")).first()["width"] or 1)
@@ -184,10 +185,14 @@ def top_products(vectors: DataFrame, is_query: str, k: int = 5, block: int = BLO
 
     queries = stored(vectors.where(is_query).select("id", "norm", "v").mapInArrow(as_bytes, "id long, norm double, data binary"), "queries")
 
+    parts = 1 + queries.count() // PART
+
     def meet(asked, among):
-        of_queries = asked.select("block", F.lit(1).alias("kind"), "id", "floor", F.lit(None).cast("binary").alias("ids"), "data")
-        of_blocks = among.select("block", F.lit(0), F.lit(None).cast("long"), F.lit(None).cast("double"), "ids", "data")
-        ordered = of_queries.union(of_blocks).repartition("block").sortWithinPartitions("block", "kind", "id")
+        asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
+        wanted = asked.groupBy("block", "part").agg(F.lit(0).alias("kind"))  # a pair for each task
+        of_queries = asked.select("block", "part", F.lit(1).alias("kind"), "id", "floor", F.lit(None).cast("binary").alias("ids"), "data")
+        of_blocks = among.join(wanted, "block").select("block", "part", "kind", F.lit(None).cast("long"), F.lit(None).cast("double"), "ids", "data")
+        ordered = of_queries.union(of_blocks).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "id")
         return ordered.mapInArrow(_meet(width, axes, k), "query_id long, vec_id long, score long")
 
     lowest, top = F.lit(float("-inf")), F.lit(longest["block"])

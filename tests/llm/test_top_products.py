@@ -26,8 +26,9 @@ def plain(rows, step, k, scale=256):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block,spread", [(4096, 0.0), (7, 0.0), (7, 2.0), (1, 1.0)])
-def test_like_all_pairs(frame, block, spread):
+@pytest.mark.parametrize("block,spread,part", [(4096, 0.0, 1024), (7, 0.0, 2), (7, 2.0, 1024), (1, 1.0, 3)])
+def test_like_all_pairs(frame, block, spread, part, monkeypatch):
+    monkeypatch.setattr("grainmill.llm.top_products.PART", part)
     rng = random.Random(block)
     rows = [(i, [rng.gauss(0, 1) * math.exp(spread * rng.gauss(0, 1)) for _ in range(9)], "x", 1) for i in range(90)]
     rows += [(i, rows[3][1], "copy", 1) for i in range(200, 260)]  # ties
