@@ -65,7 +65,22 @@ def test_odd_rows(frame, spark, tmp_path):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(5, text, "a", "s", 1), (3, text, "b", "s", 2), (None, text, None, "s", 3), (3, text, "a", "s", 2), (9, None, "a", None, 0), (8, "", "a", "t", 0)]
     kept = drop_near_copies(spark, frame(rows, schema), FOLDER).collect()
-    assert sorted(((r["doc_id"], r["lang"]) for r in kept), key=repr) == [(3, "a"), (8, "a"), (None, None)]
+    assert len(kept) == 2  # the texts with words, and those without
+    assert sorted(r["doc_id"] for r in kept) == [3, 8]
     frame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
     frame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert run(spark, str(tmp_path)).count() == 0
+
+
+def test_every_group_keeps_one_row(frame, spark):
+    """Rows of one doc_id with different texts, rows without one, and columns with the stages' own names."""
+    text = {n: " ".join(f"{n}{i}" for i in range(50)) for n in "abcd"}
+    rows = [(7, text["b"]), (5, text["b"]), (5, text["a"]), (3, text["a"]), (5, text["c"]), (None, text["d"]), (None, text["d"]), (None, text["a"])]
+    schema = "doc_id long, text string, row string, score double, ROW_ map<string,int>, __score int"
+    docs = frame([(i, t, "r", 0.5, {"k": 1}, 1) for i, t in rows], schema)
+    kept = drop_near_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"][0], r["row"]) for r in kept.collect()), key=repr) == [(3, "a", "r"), (5, "b", "r"), (5, "c", "r"), (None, "d", "r")]
+    for _, stage in STAGES[:2]:
+        assert stage(spark, docs, FOLDER).columns == docs.columns
+        assert {r["score"] for r in stage(spark, docs, FOLDER).collect()} <= {0.5}
