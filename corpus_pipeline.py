@@ -1,42 +1,41 @@
 """From raw documents to packed training sequences: four stages, each written as Parquet and read again by the next.
 
-Toxic documents go, then those of low quality; of each group of near copies the one with the smallest doc_id
-stays; what is left is packed. Stages learn from and count over their own input. All but the last return the
-columns of their input. Null and empty texts are judged like any other text (no words: of low quality). Rows
-without a doc_id can't be told apart and pass the near-copy stage; rows that share a doc_id are one document
-there, of which the first by text stays.
+Toxic documents go, then those of low quality; of each group of near copies one row stays, the one with the
+smallest doc_id (without one only if no row of the group has any); what is left is packed. Stages learn from and
+count over their own input. All but the last return the columns of their input. Null and empty texts are judged
+like any other text (no words: of low quality). The near-copy stage decides by row: rows that share a doc_id, or
+have none, are rows like any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm.batches import unused
 from grainmill.llm.catalog import GOOD, TOXIC, pieces_of, toxicity_labels
 from grainmill.llm.quality import fit_quality, score_quality
 from grainmill.llm.simhash import near_duplicates
 from grainmill.llm.staging import stored, table
 from grainmill.llm.toxicity import fit_toxicity, score_toxicity
 
-SCORE = "__score"
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = fit_toxicity(docs, toxicity_labels(spark, sf_dir))
-    return score_toxicity(docs, model, into=SCORE, spans=False).where(F.col(SCORE) < TOXIC).drop(SCORE)
+    model, score = fit_toxicity(docs, toxicity_labels(spark, sf_dir)), unused(docs, "score")
+    return score_toxicity(docs, model, into=score, spans=False).where(F.col(score) < TOXIC).drop(score)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return score_quality(docs, fit_quality(docs), into=SCORE).where(F.col(SCORE) >= GOOD).drop(SCORE)
+    score = unused(docs, "score")
+    return score_quality(docs, fit_quality(docs), into=score).where(F.col(score) >= GOOD).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicates(docs, width=4, distance=4)
-    first = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    kept = kept.withColumn(SCORE, F.row_number().over(order)).where(F.col(SCORE) == 1).drop(SCORE)
-    return kept.select(docs.columns).union(docs.where("doc_id IS NULL"))
+    row = unused(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # numbers that stay as they are
+    found = near_duplicates(rows, row, width=4, distance=4).select(F.col("id").alias(row), "component_id")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("best")
+    kept = found.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(best)
+    return rows.join(kept.select(F.col(f"best.{row}").alias(row)), row, "left_semi").select(docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
