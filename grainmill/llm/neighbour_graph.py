@@ -1,31 +1,46 @@
 """Approximate nearest neighbours by inner product: a neighbour graph by NN-descent, searched greedily.
 
-Equal vectors are one node. Random cuts of the space give every node first neighbours; then, round after round,
-all that are neighbours of one node (or have it as theirs) are compared with each other and every node keeps
-the best it has seen. A query starts at a node and follows the graph: the best nodes seen so far are asked for
-their neighbours until all of them have been asked. Both work on the components as they are stored, multiplied in
-double precision, so near copies stay apart wherever their vectors do. The last bits of such products depend on the
-order of the sums: all of a pool that can be among the best by these bits is ranked again by sums in one order.
+Equal vectors are one node. Nodes are numbered along a random projection and cut into blocks of consecutive ones; a
+block's edges are one packed row. Leaves of random trees give every node first neighbours. Then, round after round,
+edges meet the nodes that they lead to, and among all that are neighbours of one node (or have it as theirs) the new
+ones are compared with each other and with the old ones; every node keeps the best it has seen. A vector goes once to
+each block that compares it, not to each neighbour, and only pairs that better an end leave the task.
+
+A query starts at its node and follows the graph: the best nodes seen so far are asked for their neighbours until all
+of them have been asked. Messages between blocks are packed rows joined by block; a task holds the messages of one.
+
+Products are in double precision of the components as they are stored, so near copies stay apart wherever their
+vectors do. The last bits of such products depend on the order of the sums: all of a pool that can be among the best
+by these bits is ranked again by sums in one order.
 """
 
 from __future__ import annotations
 
-import uuid
 import warnings
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grainmill.llm.merkle import numbered
 from grainmill.llm.staging import forget, stored
 
-#: Nodes that are compared all with all at the start.
-LEAF = 64
+#: Nodes that are compared all with all at the start, and vectors that a task cuts into such leaves.
+LEAF, LEAVES = 1024, 16_384
+#: Nodes whose edges are one row.
+BLOCK = 8192
+#: New edges of a node, and new edges to it, that take part in a round; the others wait.
+SAMPLE = 16
+#: Random trees that give the first neighbours.
+TREES = 4
 #: The graph is done when a round changes no more than this share of its edges.
 SETTLED = 0.02
-ROWS = 1 << 14
+#: Pairs that are held before they are cut to the best of each node.
+HELD = 2_000_000
 
 
 def distinct_vectors(df: DataFrame, copies: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -51,291 +66,500 @@ def _floats(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _vectors(column: pa.Array, width: int) -> np.ndarray:
-    """Binary cells of `width` components, of four or eight bytes each, as rows in double precision."""
-    cells = column.to_pylist()
-    kind = "<f4" if cells and len(cells[0]) == 4 * width else "<f8"
-    return np.frombuffer(b"".join(cells), kind).reshape(-1, width).astype(np.float64)
+@dataclass(frozen=True)
+class Shape:
+    """Components of a vector and their type, nodes of a block, and edges of a node."""
 
+    width: int
+    kind: str
+    block: int
+    k: int
 
-def _coded(exact: DataFrame, width: int, trees: int) -> DataFrame:
-    """`(node, vec, norm, cut)`: all components in the precision they have, the vector's length, and random projections to cut the space by."""
-    kind = "<f4" if exact.schema["v"].dataType.elementType.typeName() == "float" else "<f8"
+    def vectors(self, cells: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(cells), self.kind).reshape(-1, self.width)
+
+
+def _nodes(exact: DataFrame, shape: Shape, trees: int) -> DataFrame:
+    """`(place, node, norm, vec, cut)`: nodes numbered from 0, their lengths, all components, and projections to cut the space by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        onto = np.random.default_rng(11).standard_normal((width, trees))
+        onto = np.random.default_rng(11).standard_normal((shape.width, trees))
         for batch in batches:
-            v = _floats(batch.column(1), width)
-            cells = pa.array([c.tobytes() for c in v.astype(kind)], pa.binary())
+            v = _floats(batch.column(1), shape.width)
+            cells = pa.array([c.tobytes() for c in v.astype(shape.kind)], pa.binary())
             cuts = pa.array(list(v @ onto), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), cells, pa.array(np.linalg.norm(v, axis=1)), cuts], names=["node", "vec", "norm", "cut"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.linalg.norm(v, axis=1)), cells, cuts], names=["node", "norm", "vec", "cut"])
 
-    return exact.select("node", "v").mapInArrow(run, "node long, vec binary, norm double, cut array<double>")
+    coded = exact.select("node", "v").mapInArrow(run, "node long, norm double, vec binary, cut array<double>")
+    placed = numbered(coded.withColumns({"all": F.lit(0), "first": F.get("cut", F.lit(0))}), "all", "first", "node")
+    return placed.select("place", "node", "norm", "vec", "cut")
 
 
-def _edges(a, b, score) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(score)], names=["a", "b", "score"])
+# --- packed rows --------------------------------------------------------------------------------
 
+#: Columns of messages between blocks; what a column holds depends on the message.
+MESSAGE = "block long, kind int, a binary, b binary, x binary, vec binary"
+NAMES = ["block", "kind", "a", "b", "x", "vec"]
 
-EDGES = "a long, b long, score double"
-GRAPH = EDGES + ", fresh boolean, first boolean, floor double"
 
+def _message(block: int, kind: int, a, b=None, x=None, vec: bytes | None = None) -> tuple:
+    return (
+        int(block), kind, np.asarray(a, "<i8").tobytes(), None if b is None else np.asarray(b, "<i8").tobytes(),
+        None if x is None else np.asarray(x, "<f8").tobytes(), vec,
+    )
 
-def _first_neighbours(nodes: DataFrame, width: int, k: int, trees: int) -> DataFrame:
-    """Neighbours within the leaves of random trees: ranges of each tree's own projection to the tasks, cut further there.
 
-    All trees share one shuffle.
-    """
+def _table(rows: list[tuple]) -> pa.Table:
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    columns = zip(*rows) if rows else [[]] * 6
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=NAMES)
 
-    def grow(batches):
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        tree, node = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 1))
-        v = np.concatenate([_vectors(b.column(2), width) for b in got])
-        for t in np.unique(tree):
-            rng, todo = np.random.default_rng(t), [np.flatnonzero(tree == t)]
-            while todo:
-                part = todo.pop()
-                if len(part) > LEAF:
-                    order = part[np.argsort(v[part] @ rng.standard_normal(width), kind="stable")]
-                    todo += [order[: len(order) // 2], order[len(order) // 2 :]]
-                    continue
-                near = v[part] @ v[part].T
-                np.fill_diagonal(near, -np.inf)
-                n = min(k, len(part) - 1)
-                if n:
-                    top = np.argpartition(-near, n - 1, axis=1)[:, :n]
-                    yield _edges(np.repeat(node[part], n), node[part][top].ravel(), np.take_along_axis(near, top, 1).ravel())
-
-    planted = nodes.select(F.posexplode(F.slice("cut", 1, trees)).alias("tree", "at"), "node", "vec")
-    ranged = planted.repartitionByRange("tree", "at", "node").sortWithinPartitions("tree", "node")
-    return ranged.select("tree", "node", "vec").mapInArrow(grow, EDGES)
-
-
-def _runs(keys: np.ndarray) -> np.ndarray:
-    """Where runs of equal keys begin."""
-    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-
-
-def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of `batches`, sorted by the first column, in batches that end where its value changes."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        start = int(_runs(batch.column(0).to_numpy())[-1])
-        if start or (held and held[-1].column(0)[-1].as_py() != batch.column(0)[0].as_py()):
-            yield from _joined([*held, batch.slice(0, start)])
-            held = []
-        held.append(batch.slice(start))
-    yield from _joined(held)
-
-
-def _joined(parts):
-    parts = [p for p in parts if p.num_rows]
-    if parts:
-        yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
-
-
-def _one_of_each(a: np.ndarray, b: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Places, in order, of one row of each (a, b): the first with the least `later`.
-
-    The scores of one pair can differ in the last bits, so its rows need not stand together.
-    """
-    order = np.lexsort((later, b, a))
-    a, b = a[order], b[order]
-    return np.sort(order[np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]])
+
+def _read(table: pa.Table, kind: int | None = None):
+    """`a`, `b`, `x` of all messages of a kind one after the other, and their `vec` cells."""
+    found = {n: [] for n in ("a", "b", "x", "vec")}
+    kinds = table.column("kind").to_pylist()
+    for name in found:
+        found[name] = [c for c, of in zip(table.column(name).to_pylist(), kinds) if (kind is None or of == kind) and c is not None]
+    return (
+        np.frombuffer(b"".join(found["a"]), "<i8"), np.frombuffer(b"".join(found["b"]), "<i8"), np.frombuffer(b"".join(found["x"]), "<f8"), found["vec"],
+    )
+
+
+def _by_block(block: int, to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Blocks of nodes, and the places in `to` that lie in each."""
+    owner = to // block
+    order = np.argsort(owner, kind="stable")
+    owners, starts = np.unique(owner[order], return_index=True)
+    for of, part in zip(owners.tolist(), np.split(order, starts[1:])):
+        yield of, part
+
+
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The place of each row in its run of equal keys."""
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+
+
+def _top(a, b, score, k: int, *others):
+    """The `k` best distinct b of each a, of equal pairs the first; sorted by a, falling score and b."""
+    order = np.lexsort((b, a))
+    once = np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1]))[: len(a)]
+    kept = order[once]
+    kept = kept[np.lexsort((b[kept], -score[kept], a[kept]))]
+    kept = kept[_ranks(a[kept]) < k]
+    return tuple(x[kept] for x in (a, b, score, *others))
+
+
+# --- the graph ----------------------------------------------------------------------------------
+
+#: A block's edges a -> b, sorted by a, falling score and b; whether each is new; how many were changed last, and how many there are.
+GRAPH = "block long, a binary, b binary, score binary, fresh binary, changed long, edges long"
 
 
-def _keep_best(k: int):
-    """Rows `(a, b, score, fresh)` sorted by (a, score descending, b) to the `k` best distinct b of each a, known ones not fresh.
+def _edges(row: dict):
+    return np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8"), np.frombuffer(row["score"], "<f8"), np.frombuffer(row["fresh"], "?")
 
-    Each a knows the score that a new one must beat.
+
+def _picked(a: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """The best new edges of each node, which take part in the coming round."""
+    at = np.flatnonzero(fresh)
+    out = np.zeros(len(a), bool)
+    out[at[_ranks(a[at]) < SAMPLE]] = True
+    return out
+
+
+def _graph_row(block: int, a, b, score, fresh, changed: int) -> pa.Table:
+    cells = [np.asarray(x, t).tobytes() for x, t in ((a, "<i8"), (b, "<i8"), (score, "<f8"), (fresh, "?"))]
+    kinds = [pa.int64(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
+    return pa.Table.from_arrays([pa.array([x], t) for x, t in zip((block, *cells, changed, len(a)), kinds)], names=["block", "a", "b", "score", "fresh", "changed", "edges"])
+
+
+def _merge(shape: Shape):
+    """A block's edges and the better ones found for its nodes to its new edges."""
+
+    def run(key, old, found):
+        block = key[0].as_py()
+        a, b, score, _ = _read(found)
+        fresh = np.ones(len(a), bool)
+        if old.num_rows:
+            a0, b0, score0, fresh0 = _edges(old.to_pylist()[0])
+            fresh0 = fresh0 & ~_picked(a0, fresh0)
+            a, b, score, fresh = (np.concatenate(x) for x in ((a0, a), (b0, b), (score0, score), (fresh0, fresh)))
+            added = np.concatenate((np.zeros(len(a0), bool), np.ones(len(a) - len(a0), bool)))
+        else:
+            added = fresh.copy()
+        a, b, score, fresh, added = _top(a, b, score, shape.k, fresh, added)
+        return _graph_row(block, a, b, score, fresh, int(added.sum()))
+
+    return run
+
+
+def _first_neighbours(nodes: DataFrame, shape: Shape, n: int, trees: int) -> DataFrame:
+    """Messages with the neighbours within the leaves of random trees: ranges of each tree's own projection to the tasks, cut further there.
+
+    All trees share one shuffle.
     """
 
+    def grow(batches):
+        held, size, rows = [], 0, []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+        if held:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            tree, place = whole.column("tree").to_numpy(), whole.column("place").to_numpy()
+            v = shape.vectors(whole.column("vec").to_pylist())
+            for t in np.unique(tree):
+                rng, todo = np.random.default_rng(t), [np.flatnonzero(tree == t)]
+                while todo:
+                    part = todo.pop()
+                    own = v[part].astype(np.float64)
+                    if len(part) > LEAF:
+                        order = part[np.argsort(own @ rng.standard_normal(shape.width), kind="stable")]
+                        todo += [order[: len(order) // 2], order[len(order) // 2 :]]
+                        continue
+                    near = own @ own.T
+                    np.fill_diagonal(near, -np.inf)
+                    m = min(shape.k, len(part) - 1)
+                    if not m:
+                        continue
+                    top = np.argpartition(-near, m - 1, axis=1)[:, :m]
+                    a, b, score = np.repeat(place[part], m), place[part][top].ravel(), np.take_along_axis(near, top, 1).ravel()
+                    rows += [_message(of, 0, a[at], b[at], score[at]) for of, at in _by_block(shape.block, a)]
+                    size += len(a)
+                    if size > HELD:
+                        yield from _table(rows).to_batches()
+                        size, rows = 0, []
+        if rows:
+            yield from _table(rows).to_batches()
+
+    planted = nodes.select(F.posexplode(F.slice("cut", 1, trees)).alias("tree", "at"), "place", "vec")
+    ranged = planted.repartitionByRange(max(1, trees * n // LEAVES), "tree", "at", "place").sortWithinPartitions("tree", "place")
+    return ranged.select("tree", "place", "vec").mapInArrow(grow, MESSAGE)
+
+
+#: Kinds of messages of a round: a neighbourhood's members, vectors of members.
+MEMBERS, VECTORS = 1, 2
+
+
+def _backward(shape: Shape, reverse: int):
+    """A block's edges to the blocks that they lead to: the best to each node, new and old apart; `x` tells new ones (1) from old (0)."""
+
     def run(batches):
-        for batch in _whole_runs(batches):
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            kept = _one_of_each(a, b, batch.column(3).to_numpy(zero_copy_only=False))
-            starts = _runs(a[kept])
-            counts = np.diff(np.append(starts, len(kept)))
-            rank = np.arange(len(kept)) - np.repeat(starts, counts)
-            score = batch.column(2).to_numpy()[kept]
-            floor = np.repeat(np.where(counts >= k, score[np.minimum(starts + k, starts + counts) - 1], -np.inf), counts)
-            best = rank < k
-            part = batch.take(pa.array(kept[best]))
-            yield part.append_column("first", pa.array(rank[best] == 0)).append_column("floor", pa.array(floor[best]))
+        for batch in batches:
+            for row in batch.to_pylist():
+                a, b, score, fresh = _edges(row)
+                new = _picked(a, fresh)
+                used = np.flatnonzero(new | ~fresh)
+                order = used[np.lexsort((a[used], -score[used], new[used], b[used]))]
+                rank = _ranks(b[order] * 2 + new[order])
+                near = rank < np.where(new[order], SAMPLE, reverse)
+                # a node may be far from the best of those that lead to it, but their block needs its vector all the same
+                flags = np.where(near, new[order] + 0.0, 2.0)
+                rows = []
+                for of, part in _by_block(shape.block, b[order]):
+                    rows.append(_message(of, MEMBERS, a[order][part], b[order][part], flags[part], score[order][part].astype("<f8").tobytes()))
+                yield from _table(rows).to_batches()
 
     return run
 
 
-def _best(edges: DataFrame, k: int) -> DataFrame:
-    ordered = edges.repartition("a").sortWithinPartitions("a", F.desc("score"), "b")
-    return ordered.mapInArrow(_keep_best(k), GRAPH)
+def _around(shape: Shape, reverse: int):
+    """A block's edges and vectors, and the edges that lead to it, to neighbourhoods for itself and vectors for all blocks that compare them."""
+
+    def run(key, own, back):
+        block = key[0].as_py()
+        if not own.num_rows:
+            return _table([])
+        row = own.to_pylist()[0]
+        a, b, score, fresh = _edges(row)
+        start, vectors = block * shape.block, np.frombuffer(row["vecs"], shape.kind).reshape(-1, shape.width)
+        new = _picked(a, fresh)
+        used = new | ~fresh
+        from_, to, flag, cells = _read(back, MEMBERS)
+        back_score = np.frombuffer(b"".join(cells), "<f8")
+        # the best of all blocks that lead to a node
+        near = np.flatnonzero(flag < 2)
+        near = near[np.lexsort((from_[near], -back_score[near], flag[near], to[near]))]
+        near = near[_ranks(to[near] * 2 + flag[near].astype(np.int64)) < np.where(flag[near] == 1, SAMPLE, reverse)]
+        v = np.concatenate((a[used], to[near], np.unique(a)))
+        u = np.concatenate((b[used], from_[near], np.unique(a)))
+        is_new = np.concatenate((new[used], flag[near] == 1, np.zeros(len(v) - int(used.sum()) - len(near), bool)))
+        order = np.lexsort((~is_new, u, v))
+        order = order[np.append(True, (v[order][1:] != v[order][:-1]) | (u[order][1:] != u[order][:-1]))[: len(order)]]
+        v, u, is_new = v[order], u[order], is_new[order]
+        alive = np.zeros(shape.block, bool)
+        alive[v[is_new] - start] = True
+        some = alive[v - start]
+        rows = [_message(block, MEMBERS, v[some], u[some], is_new[some])] if some.any() else []
+        # a node's vector goes to the blocks of its neighbours, of those that lead to it, and to its own
+        mine = np.concatenate((a[used], to, np.unique(v[some])))
+        towards = np.concatenate((b[used], from_, np.unique(v[some]))) // shape.block
+        pairs = np.unique(np.stack((towards, mine)), axis=1) if len(mine) else np.zeros((2, 0), np.int64)
+        floor = np.full(shape.block, -np.inf)
+        full = np.flatnonzero(_ranks(a) == shape.k - 1)
+        floor[a[full] - start] = score[full]
+        for of in np.unique(pairs[0]).tolist():
+            ids = pairs[1, pairs[0] == of]
+            rows.append(_message(of, VECTORS, ids, None, floor[ids - start], vectors[ids - start].tobytes()))
+        return _table(rows)
 
+    return run
 
-def _around(graph: DataFrame, nodes: DataFrame, reverse: int, with_floor: bool) -> DataFrame:
-    """`(v, u, vec, floor)`, sorted by v: v itself, its neighbours, and the `reverse` best of those it is a neighbour of."""
-    order = Window.partitionBy("b").orderBy(F.desc("score"), "a")
-    back = graph.withColumn("n", F.row_number().over(order)).where(F.col("n") <= reverse).select(F.col("b").alias("v"), F.col("a").alias("u"))
-    known = nodes.select(F.col("node").alias("u"), "vec")
-    pairs = graph.select(F.col("a").alias("v"), F.col("b").alias("u")).union(back)
-    if with_floor:
-        pairs = pairs.union(nodes.select("node", "node"))
-        known = known.join(graph.where("first").select(F.col("a").alias("u"), "floor"), "u", "left")
-    else:
-        known = known.withColumn("floor", F.lit(0.0))
-    return pairs.join(known, "u").select("v", "u", "vec", "floor").repartition("v").sortWithinPartitions("v", "u")
 
+def _compare(shape: Shape):
+    """The neighbourhoods and vectors of a block to pairs that are better than what an end has."""
+
+    def run(key, table):
+        v, u, is_new, _ = _read(table.filter(pyarrow.compute.equal(table.column("kind"), MEMBERS)))
+        if not len(v):
+            return _table([])
+        ids, _, floors, cells = _read(table, VECTORS)
+        x = np.frombuffer(b"".join(cells), shape.kind).reshape(-1, shape.width)
+        order = np.argsort(ids)
+        ids, floors = ids[order], floors[order]
+        at = np.searchsorted(ids, u)
+        is_new = is_new > 0
+        starts = np.append(np.flatnonzero(_ranks(v) == 0), len(v)).tolist()
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        held, size = [], 0
+        for s, e in zip(starts[:-1], starts[1:]):
+            members, fresh = at[s:e], np.flatnonzero(is_new[s:e])
+            own = x[order[members]].astype(np.float64)
+            near = own[fresh] @ own.T
+            near[np.arange(len(fresh)), fresh] = -np.inf
+            limit = floors[members]
+            i, j = np.nonzero(near > limit[fresh][:, None])
+            back_i, back_j = np.nonzero((near > limit[None]) & ~is_new[s:e][None])
+            held.append((members[fresh[i]], members[j], near[i, j]))
+            held.append((members[back_j], members[fresh[back_i]], near[back_i, back_j]))
+            size += len(i) + len(back_i)
+            if size > HELD:
+                best = _top(*(np.concatenate(c) for c in zip(best, *held)), shape.k)
+                held, size = [], 0
+        a, b, score = _top(*(np.concatenate(c) for c in zip(best, *held)), shape.k)
+        a, b = ids[a], ids[b]
+        return _table([_message(of, 0, a[part], b[part], score[part]) for of, part in _by_block(shape.block, a)])
 
-def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Rows sorted by the first two columns without repetitions: a neighbour may be one in both directions."""
-    a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-    return batch.take(pa.array(np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))))
+    return run
 
 
-def _compare(width: int):
-    """The neighbourhoods of nodes to pairs that are better than what either end has."""
+def _blocks(nodes: DataFrame, shape: Shape) -> DataFrame:
+    """`(block, vecs)`: the vectors of each block in the order of its nodes."""
+    cut = nodes.select(F.expr(f"place div {shape.block}").alias("block"), "place", "vec")
 
-    def run(batches):
-        for batch in map(_once, _whole_runs(batches)):
-            u, vectors = batch.column(1).to_numpy(), _vectors(batch.column(2), width)
-            floor = batch.column(3).fill_null(-np.inf).to_numpy()
-            starts = np.append(_runs(batch.column(0).to_numpy()), batch.num_rows)
-            found = []
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                near = vectors[s:e] @ vectors[s:e].T
-                np.fill_diagonal(near, -np.inf)
-                i, j = np.nonzero(near > floor[s:e, None])
-                found.append((u[s + i], u[s + j], near[i, j]))
-            a, b, score = (np.concatenate(x) for x in zip(*found))
-            order = np.lexsort((b, a))
-            a, b, score = a[order], b[order], score[order]
-            once = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-            yield _edges(a[once], b[once], score[once])
+    def run(key, table):
+        order = np.argsort(table.column("place").to_numpy())
+        cells = table.column("vec").to_pylist()
+        return pa.Table.from_arrays([pa.array([key[0].as_py()]), pa.array([b"".join(cells[i] for i in order)], pa.binary())], names=["block", "vecs"])
 
-    return run
+    return cut.groupBy("block").applyInArrow(run, "block long, vecs binary")
 
 
-def neighbour_graph(nodes: DataFrame, width: int, k: int = 32, reverse: int = 24, trees: int = 4, rounds: int = 50) -> DataFrame:
-    """`(a, b, score, fresh, first, floor)`: up to `k` neighbours b of each node a, by NN-descent over `nodes(node, vec, cut)`.
+def neighbour_graph(nodes: DataFrame, blocks: DataFrame, shape: Shape, reverse: int = 24, trees: int = 4, rounds: int = 50) -> DataFrame:
+    """`GRAPH`: up to `shape.k` neighbours of each node, by NN-descent over `nodes(place, vec, cut)` and their `blocks(block, vecs)`.
 
     Rounds go on until one changes no more than `SETTLED` of all edges; `rounds` only keeps them from going on for ever.
     """
-    graph = stored(_best(_first_neighbours(nodes, width, k, trees).withColumn("fresh", F.lit(True)), k), "graph")
+    none = nodes.sparkSession.createDataFrame([], GRAPH)
+
+    def merged(old: DataFrame, better: DataFrame) -> DataFrame:
+        return stored(old.groupBy("block").cogroup(better.groupBy("block")).applyInArrow(_merge(shape), GRAPH), "graph")
+
+    graph = merged(none, _first_neighbours(nodes, shape, nodes.count(), trees))
     for _ in range(rounds):
-        better = _around(graph, nodes, reverse, True).mapInArrow(_compare(width), EDGES).withColumn("fresh", F.lit(True))
-        turned = stored(_best(graph.select("a", "b", "score", F.lit(False).alias("fresh")).union(better), k), "graph")
+        back = graph.mapInArrow(_backward(shape, reverse), MESSAGE)
+        around = graph.join(blocks, "block").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_around(shape, reverse), MESSAGE)
+        better = around.groupBy("block").applyInArrow(_compare(shape), MESSAGE)
+        turned = merged(graph, better)
         forget(graph)
         graph = turned
-        changed = graph.agg(F.avg(F.col("fresh").cast("int")).alias("share")).first()["share"] or 0.0
-        if changed <= SETTLED:
+        share = graph.agg(F.sum("changed") / F.greatest(F.sum("edges"), F.lit(1))).first()[0] or 0.0
+        if share <= SETTLED:
             return graph
-    warnings.warn(f"the neighbour graph still changed {changed:.4f} of its edges in the last of {rounds} rounds", stacklevel=2)
+    warnings.warn(f"the neighbour graph still changed {share:.4f} of its edges in the last of {rounds} rounds", stacklevel=2)
     return graph
 
 
-def _fat_rows(batches):
-    """Rows sorted by v to one row for each v, with the ids and vectors of its neighbours."""
-    for batch in map(_once, _whole_runs(batches)):
-        u, vec = batch.column(1).to_numpy(), batch.column(2).to_pylist()
-        starts = _runs(batch.column(0).to_numpy()).tolist()
-        ends = [*starts[1:], batch.num_rows]
-        ids = [u[s:e].tobytes() for s, e in zip(starts, ends)]
-        vectors = [b"".join(vec[s:e]) for s, e in zip(starts, ends)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(starts)), pa.array(ids, pa.binary()), pa.array(vectors, pa.binary())], names=["node", "ids", "vectors"]
-        )
+# --- the search ---------------------------------------------------------------------------------
+
+#: A block's queries a with their pools, sorted by a, falling score and b; which entries were asked, and which wait to be.
+STATE = "block long, a binary, b binary, score binary, asked binary, waiting long"
+
+
+def _links(graph: DataFrame, shape: Shape, reverse: int) -> DataFrame:
+    """`(block, a, b)`: the neighbours of each node of a block, and the `reverse` best of those it is a neighbour of."""
+
+    def backward(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                a, b, score, _ = _edges(row)
+                order = np.lexsort((a, -score, b))
+                order = order[_ranks(b[order]) < reverse]
+                yield from _table([_message(of, 0, b[order][p], a[order][p], score[order][p]) for of, p in _by_block(shape.block, b[order])]).to_batches()
+
+    def run(key, own, back):
+        a, b, score, _ = _read(back)
+        a, b, _ = _top(a, b, score, reverse)
+        if own.num_rows:
+            a0, b0, *_ = _edges(own.to_pylist()[0])
+            a, b = np.concatenate((a0, a)), np.concatenate((b0, b))
+        order = np.lexsort((b, a))
+        order = order[np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1]))[: len(order)]]
+        return pa.Table.from_arrays([pa.array([key[0].as_py()]), pa.array([a[order].tobytes()], pa.binary()), pa.array([b[order].tobytes()], pa.binary())], names=["block", "a", "b"])
+
+    back = graph.mapInArrow(backward, MESSAGE)
+    return graph.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, "block long, a binary, b binary")
 
 
-def _ask(width: int):
-    """Nodes' neighbours beside queries to the neighbours that beat the query's floor."""
+def _state_row(block, a, b, score, asked) -> pa.Table:
+    cells = [pa.array([np.asarray(x, t).tobytes()], pa.binary()) for x, t in ((a, "<i8"), (b, "<i8"), (score, "<f8"), (asked, "?"))]
+    return pa.Table.from_arrays([pa.array([block]), *cells, pa.array([int((~asked).sum())])], names=["block", "a", "b", "score", "asked", "waiting"])
+
+
+def _asking(shape: Shape, step: int):
+    """Each query's best nodes that were not asked, to the nodes' blocks: query and node, the query's floor, and once for a block its vector."""
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                query, floor = (part.column(i).to_numpy() for i in (0, 1))
-                own, near = _vectors(part.column(2), width), part.column(3).to_pylist()
-                ids, counts = np.frombuffer(b"".join(near), "<i8"), [len(x) // 8 for x in near]
-                vectors = np.frombuffer(b"".join(part.column(4).to_pylist()), "<f4" if len(part.column(2)[0].as_py()) == 4 * width else "<f8")
-                row = np.repeat(np.arange(part.num_rows), counts)
-                score = np.einsum("ij,ij->i", vectors.reshape(-1, width).astype(np.float64), own[row])
-                good = score > floor[row]
-                a, b, score = query[row[good]], ids[good], score[good]
-                order = np.lexsort((b, a))
-                a, b, score = a[order], b[order], score[order]
-                once = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-                yield _edges(a[once], b[once], score[once])
+            for row in batch.to_pylist():
+                a, b = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
+                score, asked = np.frombuffer(row["score"], "<f8"), np.frombuffer(row["asked"], "?")
+                at = _next(a, asked, step)
+                starts = np.flatnonzero(_ranks(a) == 0)
+                counts = np.diff(np.append(starts, len(a)))
+                floor = np.full(shape.block, -np.inf)
+                full = counts >= row["size"]
+                floor[a[starts[full]] - row["block"] * shape.block] = score[(starts + counts - 1)[full]]
+                vectors, rows = np.frombuffer(row["vecs"], shape.kind).reshape(-1, shape.width), []
+                for of, part in _by_block(shape.block, b[at]):
+                    queries = np.unique(a[at][part])
+                    local = queries - row["block"] * shape.block
+                    rows.append(_message(of, MEMBERS, a[at][part], b[at][part]))
+                    rows.append(_message(of, VECTORS, queries, None, floor[local], vectors[local].tobytes()))
+                yield from _table(rows).to_batches()
 
     return run
 
 
-POOL = "a long, b long, score double, asked boolean, ask boolean, floor double"
+def _next(a: np.ndarray, asked: np.ndarray, step: int) -> np.ndarray:
+    """Places of the entries that are asked next."""
+    at = np.flatnonzero(~asked)
+    return at[_ranks(a[at]) < step]
+
+
+def _unique_vectors(table: pa.Table, shape: Shape):
+    """Queries, their floors and vectors, each once."""
+    ids, _, floors, cells = _read(table, VECTORS)
+    x = np.frombuffer(b"".join(cells), shape.kind).reshape(-1, shape.width)
+    ids, first = np.unique(ids, return_index=True)
+    return ids, floors[first], x[first]
+
+
+def _passing(shape: Shape):
+    """Questions to a block's nodes, to the blocks of their neighbours, each neighbour once for a query."""
+
+    def run(key, links, asked):
+        if not asked.num_rows or not links.num_rows:
+            return _table([])
+        row = links.to_pylist()[0]
+        a, b = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
+        query, node, _, _ = _read(asked.filter(pyarrow.compute.equal(asked.column("kind"), MEMBERS)))
+        ids, floors, vectors = _unique_vectors(asked, shape)
+        first, last = np.searchsorted(a, node, "left"), np.searchsorted(a, node, "right")
+        rows = []
+        order = np.argsort(query, kind="stable")
+        pairs = []
+        for part in np.split(order, np.flatnonzero(np.diff(query[order])) + 1):
+            found = np.unique(np.concatenate([b[s:e] for s, e in zip(first[part].tolist(), last[part].tolist())]))
+            pairs.append((np.full(len(found), query[part[0]]), found))
+        query, near = (np.concatenate(x) for x in zip(*pairs))
+        for of, part in _by_block(shape.block, near):
+            wanted = np.unique(query[part])
+            at = np.searchsorted(ids, wanted)
+            rows.append(_message(of, MEMBERS, query[part], near[part]))
+            rows.append(_message(of, VECTORS, wanted, None, floors[at], vectors[at].tobytes()))
+        return _table(rows)
 
+    return run
 
-def _pool(size: int, step: int):
-    """Rows `(a, b, score, asked)` sorted by (a, score descending, b, asked descending) to each query's `size` best, the next `step` marked."""
 
-    def run(batches):
-        for batch in _whole_runs(batches):
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            kept = _one_of_each(a, b, ~batch.column(3).to_numpy(zero_copy_only=False))
-            starts = _runs(a[kept])
-            rank = np.arange(len(kept)) - np.repeat(starts, np.diff(np.append(starts, len(kept))))
-            kept = kept[rank < size]
-            part = batch.take(pa.array(kept))
-            a, score, asked = part.column(0).to_numpy(), part.column(2).to_numpy(), part.column(3).to_numpy(zero_copy_only=False)
-            starts = _runs(a)
-            counts = np.diff(np.append(starts, len(a)))
-            waiting = np.cumsum(~asked)
-            before = np.repeat(waiting[starts] - ~asked[starts], counts)
-            ask = ~asked & (waiting - before <= step)
-            floor = np.repeat(np.where(counts == size, score[starts + counts - 1], -np.inf), counts)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(asked | ask), pa.array(ask), pa.array(floor)], names=["a", "b", "score", "asked", "ask", "floor"]
-            )
+def _scoring(shape: Shape):
+    """Questions about a block's nodes to the products that beat the query's floor, for the queries' blocks."""
+
+    def run(key, blocks, asked):
+        if not asked.num_rows or not blocks.num_rows:
+            return _table([])
+        start = key[0].as_py() * shape.block
+        own = np.frombuffer(blocks.column("vecs")[0].as_py(), shape.kind).reshape(-1, shape.width).astype(np.float64)
+        query, node, _, _ = _read(asked.filter(pyarrow.compute.equal(asked.column("kind"), MEMBERS)))
+        ids, floors, vectors = _unique_vectors(asked, shape)
+        order = np.lexsort((node, query))
+        order = order[np.append(True, (query[order][1:] != query[order][:-1]) | (node[order][1:] != node[order][:-1]))[: len(order)]]
+        query, node = query[order], node[order]
+        found = []
+        for part in np.split(np.arange(len(query)), np.flatnonzero(np.diff(query)) + 1):
+            at = int(np.searchsorted(ids, query[part[0]]))
+            score = own[node[part] - start] @ vectors[at].astype(np.float64)
+            good = part[score > floors[at]]
+            found.append((query[good], node[good], score[score > floors[at]]))
+        a, b, score = (np.concatenate(x) for x in zip(*found))
+        return _table([_message(of, 0, a[part], b[part], score[part]) for of, part in _by_block(shape.block, a)])
 
     return run
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, pool: int = 256, step: int = 256, reverse: int = 24) -> DataFrame:
-    """`(a, b, score)`: for each node a of `queries(node)` up to `pool` nodes b found along the graph, a itself among them.
+def _pooled(pool: int, step: int):
+    """A block's pools and the products found to its new pools."""
 
-    Neighbourhoods are written once, bucketed by node, so that in each round only the questions are shuffled.
-    """
-    spark = nodes.sparkSession
-    around = f"grainmill_around_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fat = _around(graph, nodes, reverse, False).select("v", "u", "vec").mapInArrow(_fat_rows, "node long, ids binary, vectors binary")
-    fat.write.bucketBy(buckets, "node").sortBy("node").saveAsTable(around)
-    asking = stored(nodes.join(queries.select("node"), "node", "left_semi").select(F.col("node").alias("a"), "vec"), "asking")
-    # A node's product with itself is the first entry of its pool.
-    own = F.lit(float("inf"))
-    found = asking.select("a", F.col("a").alias("b"), own.alias("score"), F.lit(False).alias("asked"))
-
-    def ranked(rows):
-        ordered = rows.repartition("a").sortWithinPartitions("a", F.desc("score"), "b", F.desc("asked"))
-        return stored(ordered.mapInArrow(_pool(pool, step), POOL), "pool")
-
-    state = ranked(found)
-    try:
-        while state.where("ask").take(1):
-            asked = state.where("ask").select("a", F.col("b").alias("node"), "floor").join(asking, "a")
-            met = asked.join(spark.table(around), "node").select("a", "floor", "vec", "ids", "vectors")
-            hits = met.mapInArrow(_ask(width), EDGES).where("a <> b").withColumn("asked", F.lit(False))
-            turned = ranked(state.select("a", "b", "score", "asked").union(hits))
-            forget(state)
-            state = turned
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {around}")
-    return state.select("a", "b", "score")
+    def run(key, old, found):
+        row = old.to_pylist()[0]
+        a0, b0 = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
+        score0, asked0 = np.frombuffer(row["score"], "<f8"), np.frombuffer(row["asked"], "?").copy()
+        asked0[_next(a0, asked0, step)] = True
+        a, b, score, _ = _read(found)
+        a, b, score, asked = _top(
+            np.concatenate((a0, a)), np.concatenate((b0, b)), np.concatenate((score0, score)), pool, np.concatenate((asked0, np.zeros(len(a), bool)))
+        )
+        return _state_row(key[0].as_py(), a, b, score, asked)
+
+    return run
+
+
+def search(graph: DataFrame, blocks: DataFrame, queries: DataFrame, shape: Shape, pool: int = 256, step: int = 256, reverse: int = 24) -> DataFrame:
+    """`(a, b, score)`: for each node a of `queries(place)` up to `pool` nodes b found along the graph, a itself among them."""
+    links = stored(_links(graph, shape, reverse), "links")
+
+    def begin(key, table):
+        a = np.unique(table.column("place").to_numpy())
+        # a node's product with itself is the first entry of its pool
+        return _state_row(key[0].as_py(), a, a, np.full(len(a), np.inf), np.zeros(len(a), bool))
+
+    cut = queries.select(F.expr(f"place div {shape.block}").alias("block"), "place")
+    state = stored(cut.groupBy("block").applyInArrow(begin, STATE), "pool")
+    while (state.agg(F.sum("waiting")).first()[0] or 0) > 0:
+        with_vectors = state.join(blocks, "block").withColumn("size", F.lit(pool))
+        asked = with_vectors.mapInArrow(_asking(shape, step), MESSAGE)
+        passed = links.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_passing(shape), MESSAGE)
+        hits = blocks.groupBy("block").cogroup(passed.groupBy("block")).applyInArrow(_scoring(shape), MESSAGE)
+        turned = stored(state.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(_pooled(pool, step), STATE), "pool")
+        forget(state)
+        state = turned
+
+    def rows(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                cells = [np.frombuffer(row[c], t) for c, t in (("a", "<i8"), ("b", "<i8"), ("score", "<f8"))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["a", "b", "score"])
+
+    return state.mapInArrow(rows, "a long, b long, score double")
 
 
 def nearest(
-    df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = 32, rounds: int = 50, pool: int = 256
-) -> DataFrame:
+    df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = 32, rounds: int = 50, pool: int = 256,
+    block: int = BLOCK,
+) -> DataFrame:
     """`(query_id, rank, vec_id, score)`: for each row with `is_query` (over `id`) the `k` largest inner products found among all others.
 
     Nearest first, equal products to the smaller id; all others, if they are fewer than `k`. Products are those
@@ -345,13 +569,18 @@ def nearest(
     """
     exact = stored(distinct_vectors(df, k + 1, id_col, vector_col), "exact")
     width = max(1, exact.agg(F.max(F.size("v")).alias("w")).first()["w"] or 1)
-    nodes = stored(_coded(exact, width, 4), "nodes")
-    graph = neighbour_graph(nodes, width, neighbours, rounds=rounds)
+    shape = Shape(width, "<f4" if exact.schema["v"].dataType.elementType.typeName() == "float" else "<f8", block, neighbours)
+    nodes = stored(_nodes(exact, shape, TREES), "nodes")
+    blocks = stored(_blocks(nodes, shape), "blocks")
+    graph = neighbour_graph(nodes, blocks, shape, trees=TREES, rounds=rounds)
     finite = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     own = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite)
     own = own.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     own = stored(own.join(exact.select("v", "node"), "v").select("id", "node"), "own")
-    found = search(graph, nodes, own.select("node").distinct(), width, pool)
+    places = nodes.select("place", "node")
+    pools = search(graph, blocks, places.join(own.select("node").distinct(), "node"), shape, pool)
+    found = pools.join(places.select(F.col("place").alias("a"), F.col("node").alias("of")), "a").join(places.select(F.col("place").alias("b"), "node"), "b")
+    found = found.select(F.col("of").alias("a"), F.col("node").alias("b"), "score")
 
     # Two sums of the same terms differ by less than `off`: all of the pool that may be among the k + 1 best are ranked.
     longest = nodes.agg(F.max("norm").alias("n")).first()["n"] or 0.0

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from grainmill.llm.catalog import QUERIES
-from grainmill.llm.neighbour_graph import _coded, distinct_vectors, nearest, neighbour_graph
+from grainmill.llm.neighbour_graph import Shape, _blocks, _edges, _nodes, _top, distinct_vectors, nearest, neighbour_graph
 from grainmill.llm.staging import stored
 
 SCHEMA = "vec_id long, embedding array<float>, score string, a int"
@@ -49,6 +49,24 @@ def test_ties_copies_and_odd_rows(frame):
         assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == query] == [j for _, j in want[query]]
 
 
+def test_best_of_each():
+    a, b = np.array([1, 1, 0, 1, 1, 0]), np.array([5, 7, 2, 5, 6, 3])
+    score, mark = np.array([0.5, 0.9, 0.1, 0.6, 0.5, 0.2]), np.arange(6)
+    assert [x.tolist() for x in _top(a, b, score, 2, mark)] == [[0, 0, 1, 1], [3, 2, 7, 5], [0.2, 0.1, 0.9, 0.5], [5, 2, 1, 0]]
+    assert [len(x) for x in _top(a[:0], b[:0], score[:0], 2)] == [0, 0, 0]
+
+
+def test_small_blocks_and_double_precision(frame):
+    """Many blocks, a hub that is a neighbour of most, and the same with eight bytes a component."""
+    rng = np.random.default_rng(2)
+    rows = rng.standard_normal((700, 8))
+    rows[3] *= 50
+    made = [(i, v, "x", 1) for i, v in enumerate(rows.astype(np.float32).astype(float).tolist())]
+    for kind in ("float", "double"):
+        df = frame(made, SCHEMA.replace("float", kind))
+        check(nearest(df, "id % 20 = 0", block=64).collect(), plain(made, 20, 20), 0.97)
+
+
 def test_few_and_no_vectors(frame):
     few = [(0, [1.0, 2.0], "", 1), (3, [2.0, 1.0], "", 1), (10, [-1.0, 0.5], "", 1)]
     check(nearest(frame(few, SCHEMA), "id % 10 = 0").collect(), plain(few, 10, 20), 1)
@@ -85,10 +103,17 @@ def test_graph_settles_on_many_vectors(spark):
     rng = np.random.default_rng(4)
     rows = rng.standard_normal((20000, 32))
     df, _ = vectors_of(spark, rows / np.linalg.norm(rows, axis=1, keepdims=True))
-    nodes = stored(_coded(distinct_vectors(df, 21), 32, 4), "nodes")
-    found, exact, hits = {}, rows / np.linalg.norm(rows, axis=1, keepdims=True), 0
-    for r in neighbour_graph(nodes, 32).where("a % 100 = 0").collect():
-        found.setdefault(r["a"], set()).add(r["b"])
+    shape = Shape(32, "<f4", 3000, 32)
+    nodes = stored(_nodes(stored(distinct_vectors(df, 21), "exact"), shape, 4), "nodes")
+    exact, found, hits = rows / np.linalg.norm(rows, axis=1, keepdims=True), {}, 0
+    node = {r["place"]: r["node"] for r in nodes.select("place", "node").collect()}
+    assert sorted(node) == list(range(20000))
+    for row in neighbour_graph(nodes, stored(_blocks(nodes, shape), "blocks"), shape).collect():
+        a, b, score, _ = _edges(row.asDict())
+        assert (a // 3000 == row["block"]).all() and (a != b).all() and row["edges"] == len(a)
+        for x, y in zip(a.tolist(), b.tolist()):
+            found.setdefault(node[x], set()).add(node[y])
+    assert {len(x) for x in found.values()} == {32}
     for a in range(0, 20000, 100):
         score = exact @ exact[a]
         score[a] = -np.inf
