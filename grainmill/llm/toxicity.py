@@ -26,6 +26,8 @@ from grainmill.llm.staging import by_hash, forget, stored
 BEGINNINGS = range(3, 7)
 #: Tokens of a passage that the field is fitted to.
 PASSAGE = 32
+#: Summed log odds beyond which a document can't look more toxic by them: some ten certain tokens.
+SATURATION = 50.0
 SPANS = "array<struct<start:int,end:int,marginal:double>>"
 
 
@@ -36,8 +38,8 @@ class ToxicityModel:
 
 
 def evidence(total: np.ndarray, largest: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    """What a document's score is made of, from the marginals of its tokens."""
-    return np.stack((np.ones(len(total)), np.minimum(total, 50.0) ** 0.5, np.log1p(expected), largest), axis=1)
+    """What a document's score is made of, from the marginals of its tokens; summed odds count up to `SATURATION`."""
+    return np.stack((np.ones(len(total)), np.minimum(total, SATURATION) ** 0.5, np.log1p(expected), largest), axis=1)
 
 
 def _document_sums(tagger: Tagger, texts: list[str]):
@@ -95,8 +97,11 @@ def _sample(docs: DataFrame, labels: DataFrame, counts: dict[int, int], id_col:
     return marked.select("text", "label")
 
 
-def _marking(sample: DataFrame, least_gain: float = 16.0, least_ratio: float = 20.0, most: int = 20_000) -> set[str]:
-    """Words and word beginnings (`ab*`) found in many contexts of toxic documents and hardly any of clean ones."""
+def _marking(sample: DataFrame, least_gain: float = 16.0, least_ratio: float = 20.0) -> set[str]:
+    """Words and word beginnings (`ab*`) found in many contexts of toxic documents and hardly any of clean ones.
+
+    They come from the bounded sample, so their number is bounded by its words.
+    """
 
     def contexts(batches):
         for batch in batches:
@@ -127,7 +132,7 @@ def _marking(sample: DataFrame, least_gain: float = 16.0, least_ratio: float = 2
     other = F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
     gain = n * (part * F.log(part / share) + other)
     ratio = (F.col("bad") + 0.5) / totals[0] / ((F.col("good") + 0.5) / totals[1])
-    found = both.where("bad > 0").where((gain >= least_gain) & (ratio >= least_ratio)).orderBy(gain.desc(), "word").limit(most)
+    found = both.where("bad > 0").where((gain >= least_gain) & (ratio >= least_ratio))
     marked = {r["word"] for r in found.select("word").collect()}
     forget(words)
     return marked

@@ -35,6 +35,8 @@ GZIP = 31  # window bits of zlib for a gzip stream
 CHUNK = 1 << 18
 #: Bytes of records after which a task begins another file; a file is inflated by one task.
 FILE_BYTES = 64 << 20
+#: Packed bytes that a task reads back.
+READ_BYTES = 64 << 20
 #: Rows of one payload from which its key is salted, unless fewer than `1 / MOST_HEAVY` of all rows.
 HEAVY, MOST_HEAVY = 100_000, 10_000
 
@@ -325,5 +327,8 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
         fields = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
         return as_batches(records(), dict(zip((f.split()[0] for f in RECORD.split(", ")), fields)), size=200)
 
-    rows = index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    # the index is small beside what it names, so the number of tasks follows the bytes that they read
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+    rows = index.select("path", "offset", "length").repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
     return rows.mapInArrow(run, RECORD)
