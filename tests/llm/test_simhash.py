@@ -94,11 +94,8 @@ def test_query_on_a_whole_table(spark):
     assert sorted(map(tuple, QUERIES["op10_simhash"](spark, folder).collect())) == want
 
 
-def test_heavy_nodes_of_the_components(frame, monkeypatch):
-    """Stars of many rows beside chains; the heavy ones go by broadcast."""
-    import grainmill.llm.components as module
-
-    monkeypatch.setattr(module, "HEAVY", 5)
+def test_components_of_stars_and_chains(frame):
+    """Stars of many rows beside chains, a loop and a null end."""
     edges = [(1000, i) for i in range(200)] + [(i, i + 1) for i in range(2000, 2030)] + [(199, 2030), (5000, 5001), (7000, 7000), (None, 3)]
     found = {r["node"]: r["root"] for r in components(frame(edges, "a long, b long")).collect()}
     first = {1000, *range(200), *range(2000, 2031)}
