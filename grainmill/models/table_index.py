@@ -113,7 +113,9 @@ class FrequencyIndexerModel(Model, _IndexParams, MLWritable, MLReadable):
         done = df.join(F.broadcast(side(codes.filter("common"), "_first")), value == F.col("_value"), "left").drop("_value")
         spread = F.when(F.col("_first").isNull() & value.isNotNull(), F.lit(0)).otherwise(1 + F.monotonically_increasing_id() % SPREAD)
         keyed = done.withColumns({"_text": F.coalesce(value, F.lit("")), "_spread": spread})
-        rest = side(codes.filter("NOT common"), "_second").withColumn("_of", F.lit(0).cast("bigint"))
+        # zero, but not as a literal, which the optimizer would take out of the join's keys
+        rest = codes.filter("NOT common").withColumn("_of", F.least("n", F.lit(0).cast("bigint")))
+        rest = rest.select(F.col("value").alias("_value"), F.col("code").alias("_second"), "_of")
         met = keyed.join(rest, (F.col("_text") == F.col("_value")) & (F.col("_spread") == F.col("_of")), "left")
         return met.withColumn("_code", F.coalesce("_first", "_second")).drop("_first", "_second", "_text", "_spread", "_value", "_of")
 
