@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.components import components
+from grainmill.llm.components import components, join_dealt
 from grainmill.llm.staging import stored
 
 SEED = 42
@@ -216,9 +216,9 @@ def near_duplicates(
     made = stored(fingerprints(docs, id_col, text_col, width), "fingerprints")
     least = stored(made.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = components(links(least.select("fp"), distance, crowd))
-    linked = roots.join(least, roots["node"] == least["fp"]).select("root", "fp", "least")
+    linked = stored(roots.join(least, roots["node"] == least["fp"]).select("root", "fp", "least"), "linked")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    named = linked.join(smallest, "root").select("fp", "smallest")
+    named = join_dealt(linked, smallest, "root", linked.count()).select("fp", "smallest")
     classes = least.join(named, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
     classes = stored(classes, "classes")  # with plain shuffles below the join, adaptive execution can split a hot fingerprint
     return made.join(classes, "fp").select("id", "fp", "component_id")

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 import xxhash
 
-from grainmill.llm.components import components
+from grainmill.llm.components import components, join_dealt
 from grainmill.llm.simhash import fingerprint, links, near_duplicates
 
 
@@ -100,3 +100,18 @@ def test_components_of_stars_and_chains(frame):
     found = {r["node"]: r["root"] for r in components(frame(edges, "a long, b long")).collect()}
     first = {1000, *range(200), *range(2000, 2031)}
     assert found == {**{n: 0 for n in first}, 5000: 5000, 5001: 5000}
+
+
+@pytest.mark.parametrize("share", [0.0, 0.4, 1.0])
+def test_rows_of_hot_keys_are_dealt_over_parts(frame, share):
+    """The same rows as of a plain join, repeats and missing keys included, whatever one key holds."""
+    n = 1200
+    rows = [(7 if i < n * share else i, i // 2) for i in range(n)] + [(None, 1), (-5, 1), (-5, 1)]
+    side = [(k, k * 10) for k in {r[0] for r in rows if r[0] is not None} if k % 11]
+    left, right = frame(rows, "u long, v long"), frame(side, "u long, m long")
+    dealt = join_dealt(left, right, "u", n)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, left.join(right, "u").collect()))
+    assert dealt.columns == ["u", "v", "m"]
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join Inner" in x]
+    assert ("(part#" in joins[0]) == (share > 0)  # the part stays a key of the join
