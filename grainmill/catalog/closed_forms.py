@@ -80,28 +80,29 @@ def class_probabilities_are_shares(spark, folder):
 
 @query(
     "L11_tree",
-    """WITH d AS (SELECT doc_id, quality, CASE WHEN doc_id % 9 <> 2 THEN lang || '/' || (doc_id % 3) END AS place, CASE WHEN doc_id % 6 <> 1 THEN n_chars % 8 END AS x
-      FROM documents JOIN labels USING (doc_id)),
+    """WITH d AS (SELECT doc_id, CASE WHEN (coalesce(lang, '') = 'en') = (doc_id % 4 <> 0) THEN 1 ELSE 0 END AS y, CASE WHEN doc_id % 9 <> 2 THEN lang || '/' || (doc_id % 3) END AS place, CASE WHEN doc_id % 6 <> 1 THEN n_chars % 8 END AS x
+      FROM documents),
     train AS (SELECT * FROM d WHERE doc_id % 5 <> 4), mean AS (SELECT avg(x) AS m FROM train),
     codes AS (SELECT place, row_number() OVER (ORDER BY count(*) DESC, place) - 1 AS code FROM train WHERE place IS NOT NULL GROUP BY place),
-    f AS (SELECT doc_id, quality, unnest([0, 1]) AS feature, unnest([coalesce(x, m), coalesce(code, 0)::DOUBLE]) AS v FROM d CROSS JOIN mean LEFT JOIN codes USING (place)),
+    f AS (SELECT doc_id, y, unnest([0, 1]) AS feature, unnest([coalesce(x, m), coalesce(code, 0)::DOUBLE]) AS v FROM d CROSS JOIN mean LEFT JOIN codes USING (place)),
     seen AS (SELECT * FROM f WHERE doc_id % 5 <> 4),
-    counts AS (SELECT feature, v, count(*) AS n, sum(quality)::BIGINT AS ones FROM seen GROUP BY feature, v),
+    counts AS (SELECT feature, v, count(*) AS n, sum(y)::BIGINT AS ones FROM seen GROUP BY feature, v),
     cuts AS (SELECT c.feature, t.v AS t, c.v <= t.v AS low, sum(n)::DOUBLE AS n, sum(ones)::DOUBLE AS ones FROM counts AS c JOIN (SELECT feature, v FROM counts) AS t USING (feature) GROUP BY ALL),
     splits AS (SELECT feature, t, sum(n - ones * ones / n - (n - ones) * (n - ones) / n) AS impurity,
       max(CASE WHEN low THEN (ones * 2 > n)::INTEGER END) AS below, max(CASE WHEN NOT low THEN (ones * 2 > n)::INTEGER END) AS above FROM cuts GROUP BY feature, t HAVING count(*) = 2),
     best AS (SELECT * FROM splits ORDER BY round(impurity, 6), feature, t LIMIT 1)
-    SELECT doc_id, quality, (CASE WHEN v <= t THEN below ELSE above END)::DOUBLE AS prediction FROM f JOIN best USING (feature) WHERE doc_id % 5 = 4""",
+    SELECT doc_id, y, (CASE WHEN v <= t THEN below ELSE above END)::DOUBLE AS prediction FROM f JOIN best USING (feature) WHERE doc_id % 5 = 4""",
 )
 def prepared_split(spark, folder):
     """Text indexed and imputed, a number imputed, and the best split of both: one pipeline, fitted on the training rows."""
-    docs = table(spark, folder, "documents").join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
+    docs = table(spark, folder, "documents")
+    label = ((F.coalesce("lang", F.lit("")) == "en") == (F.col("doc_id") % 4 != 0)).cast("int")
     place = F.when(F.col("doc_id") % 9 != 2, F.concat("lang", F.lit("/"), (F.col("doc_id") % 3).cast("string")))
     number = F.when(F.col("doc_id") % 6 != 1, (F.col("n_chars") % 8).cast("double"))
-    docs = docs.select("doc_id", "quality", place.alias("place"), number.alias("x"))
+    docs = docs.select("doc_id", label.alias("y"), place.alias("place"), number.alias("x"))
     train, test = split_rows(docs, [0.8, 0.2], ["doc_id"], share=F.pmod("doc_id", F.lit(5)) / F.lit(5.0))
-    stages = search.pipeline(*feature_stages.preparation_stages(["x"], ["place"]), search.decision_tree("quality", maxDepth=1, maxBins=64))
-    return search.score(stages.fit(train), test).select("doc_id", "quality", "prediction")
+    stages = search.pipeline(*feature_stages.preparation_stages(["x"], ["place"]), search.decision_tree("y", maxDepth=1, maxBins=64))
+    return search.score(stages.fit(train), test).select("doc_id", "y", "prediction")
 
 
 @query("L24", "WITH d AS (SELECT doc_id, lang, quality FROM documents JOIN labels USING (doc_id)) SELECT doc_id, round(avg(quality) OVER (PARTITION BY lang = 'en'), 4) AS share FROM d")
