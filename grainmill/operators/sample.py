@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from grainmill.functions.columns import col
 from grainmill.operators.joins import lookup_side
 from grainmill.operators.order_statistics import ranked_values
+from grainmill.session import checkpoint_folder
 
 HASH_RANGE = 1 << 52  # hash values stay exact as doubles
 SLOTS = 1 << 16  # parts of the hash range that are counted
@@ -73,8 +74,11 @@ def marked_rows(df: DataFrame, label: str, wanted: Callable[[Column, Column], Co
 
     `wanted` is an expression of the rows of a class and of the largest class. Each class is cut at the hash with
     the wanted rank. One count over (class, slot of the hash) finds the slots of all cuts, whatever the number of
-    classes; only the rows of a class's own cut slot are ranked.
+    classes; a second scan ranks the hashes of a class's own cut slot. The bounds are stored, so the result is one
+    more scan without a shuffle. Only where rows share the hash at a bound and not all of them are wanted are
+    these rows ranked by their key.
     """
+    checkpoint_folder(df.sparkSession)
     share = hash_share(key, seed)
     slot = F.floor(share * SLOTS).cast("int")
     counted = df.groupBy(col(label).alias("_class"), slot.alias("_slot")).agg(F.count("*").alias("_n"))
@@ -88,13 +92,28 @@ def marked_rows(df: DataFrame, label: str, wanted: Callable[[Column, Column], Co
     reached = F.when(F.col("_wanted") > 0, (F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted"))).otherwise(F.col("_upto") == F.col("_n"))
     cuts = run.filter(reached).select(
         "_class", F.col("_slot").alias("_cut"), F.greatest(F.col("_wanted") - F.col("_upto") + F.col("_n"), F.lit(0)).alias("_rest"), "_size", "_largest"
-    )
-    placed = df.withColumns({"_share": share, "_slot": slot}).join(lookup_side(cuts), col(label).eqNullSafe(F.col("_class")), "left")
-    at_cut = F.col("_slot") == F.col("_cut")
-    order = Window.partitionBy("_class").orderBy("_share", *[col(k) for k in key])
-    border = placed.filter(at_cut).withColumn("_picked", F.row_number().over(order) <= F.col("_rest"))
-    clear = placed.filter(F.col("_slot") != F.col("_cut")).withColumn("_picked", F.col("_slot") < F.col("_cut"))
-    return clear.unionAll(border).select(*[col(c) for c in df.columns], "_picked", "_size", "_largest")
+    ).checkpoint()
+    # a class's bound: all rows below it, and `_take` of the `_tied` rows at it
+    of_class = col(label).eqNullSafe(F.col("_class"))
+    at_cut = df.select(col(label), share.alias("_share")).join(lookup_side(cuts), of_class).filter(F.floor(F.col("_share") * SLOTS) == F.col("_cut"))
+    hashes = at_cut.groupBy("_class", "_share", "_cut", "_rest", "_size", "_largest").agg(F.count("*").alias("_tied"))
+    below = F.sum("_tied").over(Window.partitionBy("_class").orderBy("_share")) - F.col("_tied")
+    # the first hash is the bound if nothing is wanted of the slot
+    at_bound = F.when(F.col("_rest") > 0, (F.col("_below") < F.col("_rest")) & (F.col("_below") + F.col("_tied") >= F.col("_rest"))).otherwise(F.col("_below") == 0)
+    bounds = hashes.withColumn("_below", below).filter(at_bound).select(
+        "_class", F.col("_share").alias("_bound"), (F.col("_rest") - F.col("_below")).alias("_take"), "_tied", "_size", "_largest"
+    ).checkpoint()
+    names = [col(c) for c in df.columns]
+    placed = df.withColumn("_share", share).join(lookup_side(bounds), of_class)
+    picked = (F.col("_share") < F.col("_bound")) | ((F.col("_share") == F.col("_bound")) & (F.col("_take") == F.col("_tied")))
+    parted = (F.col("_take") > 0) & (F.col("_take") < F.col("_tied"))
+    if bounds.filter(parted).isEmpty():
+        return placed.select(*names, picked.alias("_picked"), "_size", "_largest")
+    at_tie = parted & (F.col("_share") == F.col("_bound"))
+    order = Window.partitionBy("_class").orderBy(*[col(k) for k in key])
+    tied = placed.filter(at_tie).withColumn("_picked", F.row_number().over(order) <= F.col("_take"))
+    clear = placed.filter(~at_tie).withColumn("_picked", picked)
+    return clear.unionByName(tied).select(*names, "_picked", "_size", "_largest")
 
 
 def with_fold(df: DataFrame, folds: int, key: Sequence[str], seed: int = 42, out: str = "fold") -> DataFrame:

@@ -57,6 +57,23 @@ def test_stratified_split_with_a_hot_class(spark):
     assert train.join(test, "id").count() == 0 and train.count() + test.count() == 3000
 
 
+def test_stratified_split_of_repeated_keys_is_still_exact(spark):
+    df = spark.range(900).select((F.col("id") % 4).alias("k"), (F.col("id") % 3).alias("c"), "id")
+    train, test = sample.stratified_split(df, "c", 0.3, ["k"])
+    assert {r[0]: r[1] for r in test.groupBy("c").count().collect()} == {0: 90, 1: 90, 2: 90}
+    none, every = (sample.stratified_split(df, "c", share, ["id"])[1].count() for share in (0.0, 1.0))
+    assert (none, every) == (0, 900)
+    assert train.unionAll(test).distinct().count() == 900
+    assert sample.stratified_split(df.limit(0), "c", 0.3, ["id"])[0].count() == 0
+
+
+def test_parts_of_a_stratified_split_are_one_scan_without_a_shuffle(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("c"))
+    for part in sample.stratified_split(df, "c", 0.1, ["id"]):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Range (") == 1 and "hashpartitioning" not in plan and "Window" not in plan
+
+
 @pytest.mark.parametrize("options,least", [({}, 1.0), ({"leaf": 60, "trees": 6}, 0.95)])
 def test_neighbours_within_the_leaves_of_trees(spark, options, least):
     """One leaf is exact; several trees of smaller leaves find nearly all of the five nearest."""
