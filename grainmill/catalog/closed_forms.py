@@ -12,6 +12,7 @@ from grainmill.catalog.storing import unique
 from grainmill.models import feature_stages, search
 from grainmill.operators.sample import split_rows
 from grainmill.plans.challenge import challenge
+from grainmill.plans.comparison import compare_prepared
 from grainmill.plans.preparation import prepare
 from grainmill.session import scratch_path
 from grainmill.sources import writers
@@ -241,3 +242,101 @@ def prepared(spark, folder):
     """Gaps filled, outliers clamped, the most correlated pairs."""
     _, pairs = prepare(gapped(spark, folder).select("quantity", "price", "discount"), n=3)
     return pairs.select("feature1", "feature2", F.round("correlation", 6).alias("correlation"))
+
+
+# Models at full size on cells whose majority is clear: a row's label is the rule's, but for a tenth of the rows, so
+# any sound model says of a cell what most of its training rows say.
+CELLS_SQL = """base AS (
+      SELECT o_orderkey, o_orderkey % 5 AS fold, CASE WHEN o_orderkey % 11 <> 0 THEN CASE WHEN o_orderkey % 13 = 0 THEN 1000.0 ELSE day(o_orderdate) % 2 END END AS x, o_custkey % 2 AS w,
+        CASE WHEN (day(o_orderdate) % 2 = 1 OR o_custkey % 2 = 1 OR (o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0)) = (o_orderkey * 3 // 7 % 10 <> 0) THEN 1 ELSE 0 END AS y FROM orders),
+    mids AS (SELECT median(x) AS m FROM base), filled AS (SELECT base.* REPLACE (coalesce(x, m) AS x) FROM base, mids),
+    ends AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM filled),
+    tidy AS (SELECT filled.* REPLACE (greatest(least(x, q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)) AS x) FROM filled, ends),
+    cells AS (SELECT x, w, CAST(avg(y) > 0.5 AS INTEGER) AS guess FROM tidy WHERE fold <> 4 GROUP BY x, w),
+    told AS (SELECT o_orderkey, y, guess FROM tidy JOIN cells USING (x, w) WHERE fold = 4)"""
+
+
+def cells(spark, folder):
+    """Two features with gaps and outliers, and a label."""
+    key, day = F.col("o_orderkey"), F.dayofmonth("o_orderdate") % 2
+    far = (key % 11 != 0) & (key % 13 == 0)
+    rule = (day == 1) | (F.col("o_custkey") % 2 == 1) | far
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(key % 11 != 0, F.when(key % 13 == 0, 1000.0).otherwise(day.cast("double"))).alias("x"),
+        (F.col("o_custkey") % 2).cast("double").alias("w"),
+        (rule == (F.floor(key * 3 / 7) % 10 != 0)).cast("int").alias("y"),
+    )
+
+
+def told(spark, folder, classifier):
+    tidy, _ = prepare(cells(spark, folder), ["x", "w"])
+    train, test = split_rows(tidy, [0.8, 0.2], ["o_orderkey"], share=F.col("o_orderkey") % 5 / F.lit(5.0))
+    stages = search.pipeline(feature_stages.assembler(["x", "w"], "raw_features"), feature_stages.scaler(), classifier)
+    return search.score(stages.fit(train), test).select("o_orderkey", "y", "prediction")
+
+
+TOLD_SQL = f"WITH {CELLS_SQL} SELECT o_orderkey, y, CAST(guess AS DOUBLE) AS prediction FROM told"
+
+
+@query("L8_cells", TOLD_SQL)
+def forest_of_cells(spark, folder):
+    """Three hundred trees with their own rows and features."""
+    return told(spark, folder, search.random_forest("y", numTrees=300, maxDepth=10))
+
+
+@query("L9_cells", TOLD_SQL)
+def tree_of_cells(spark, folder):
+    """A deep tree has a leaf for each cell."""
+    return told(spark, folder, search.decision_tree("y", maxDepth=10, minInstancesPerNode=2))
+
+
+@query("L10_cells", TOLD_SQL)
+def rounds_on_cells(spark, folder):
+    """A hundred rounds of boosting."""
+    return told(spark, folder, search.boosted_trees("y", maxIter=100, maxDepth=3, stepSize=0.1))
+
+
+def _compared_models():
+    """A linear model with five grid points, forests with two, boosted trees with one."""
+
+    def linear(names):
+        classifier = search.logistic_regression("y", max_iter=100)
+        stages = search.pipeline(feature_stages.assembler(names, "raw_features"), feature_stages.scaler(), classifier)
+        return stages, search.grid(reg=(classifier.regParam, [0.01, 0.1, 1.0, 10.0, 100.0]))
+
+    def wooded(names):
+        classifier = search.random_forest("y", numTrees=20)
+        return search.pipeline(feature_stages.assembler(names), classifier), search.grid(depth=(classifier.maxDepth, [5, 10]))
+
+    def rounds(names):
+        classifier = search.boosted_trees("y", maxIter=5, maxDepth=3, stepSize=0.2)
+        return search.pipeline(feature_stages.assembler(names), classifier), [{}]
+
+    return {"Gradient Boosting": rounds, "Logistic Regression": linear, "Random Forest": wooded}
+
+
+@query(
+    "L20_flow",
+    f"""WITH {CELLS_SQL}, metrics AS (
+      SELECT 'accuracy' AS metric, round(avg(CAST(y = guess AS INTEGER)), 6) AS value FROM told
+      UNION ALL SELECT 'confusion[' || y || '.0,' || guess || '.0]', CAST(count(*) AS DOUBLE) FROM told GROUP BY y, guess)
+    SELECT model, feature_set, metric, value, model = 'Gradient Boosting' AS wins
+    FROM metrics, (VALUES ('Gradient Boosting'), ('Logistic Regression'), ('Random Forest')) AS m(model), (VALUES ('combined')) AS f(feature_set)""",
+)
+def compared_flow(spark, folder):
+    """The whole flow through tables: preparation, split, three searches with five folds, reports, the winner.
+
+    Of equally good models the first by name wins.
+    """
+    raw = unique("l20_flow")
+    cells(spark, folder).write.saveAsTable(raw)
+    product = search.FeatureSet("product", {"x_by_w": F.col("x") * F.col("w")})
+    square = search.FeatureSet("square", {"x_squared": F.col("x") * F.col("x")})
+    tables = compare_prepared(
+        spark, raw, raw, "y", ["x", "w"], ["o_orderkey"], _compared_models(), [search.combined("combined", product, square)],
+        test_share=0.2, share=F.col("o_orderkey") % 5 / F.lit(5.0), parallelism=4,
+    )
+    wins = spark.table(tables["best"]).select("model", "wins")
+    found = spark.table(tables["reports"]).filter("metric = 'accuracy' OR metric LIKE 'confusion%'").join(F.broadcast(wins), "model")  # three rows
+    return found.select("model", "feature_set", "metric", F.round("value", 6).alias("value"), "wins")

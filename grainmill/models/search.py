@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
@@ -204,7 +204,7 @@ def combined(name: str, *sets: FeatureSet) -> FeatureSet:
     return FeatureSet(name, {k: v for s in sets for k, v in s.columns.items()})
 
 
-def compare(
+def searches(
     models: dict[str, Callable[[list[str]], tuple[Estimator, list[dict]]]],
     feature_sets: Sequence[FeatureSet],
     train: DataFrame,
@@ -214,23 +214,28 @@ def compare(
     base_features: Sequence[str],
     folds: int = 5,
     **options,
-) -> DataFrame:
-    """`(model, feature_set, accuracy)` of every model on every feature set: results are appended.
+) -> Iterator[tuple[str, str, Search]]:
+    """`(model, feature set, search)` of every model on every feature set.
 
     Each entry of `models` builds an estimator and its grid for a list of feature columns.
     """
     train, test = train.persist(), test.persist()  # read by every fit; spills to disk, rebuilt if an executor goes
-    table = None
     try:
         for features, (name, build) in product(feature_sets, models.items()):
             estimator, points = build([*base_features, *features.columns])
-            search = train_and_evaluate(
+            yield name, features.name, train_and_evaluate(
                 name, estimator, points, features.apply(train), features.apply(test), label, key, folds, features.name, **options
             )
-            rows = search.report.filter("metric = 'accuracy'").select("model", "feature_set", F.col("value").alias("accuracy"))
-            table = rows if table is None else table.unionAll(rows)
     finally:
         train.unpersist(), test.unpersist()
+
+
+def compare(*args, **options) -> DataFrame:
+    """`(model, feature_set, accuracy)` of all `searches`: results are appended."""
+    table = None
+    for _, _, search in searches(*args, **options):
+        rows = search.report.filter("metric = 'accuracy'").select("model", "feature_set", F.col("value").alias("accuracy"))
+        table = rows if table is None else table.unionAll(rows)
     return table
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from grainmill.models import evaluate, feature_stages, neighbours, oversample, search, table_index
 from grainmill.operators import sample
+from grainmill.plans.comparison import compare_prepared
 
 
 @pytest.fixture(scope="module")
@@ -257,6 +258,35 @@ def test_search_over_a_prepared_stage_and_a_single_classifier(spark, points):
     assert search.k_fold_search(classifier, search.grid(depth=(classifier.maxDepth, [1, 3])), vectors, "label", ["id"], folds=2).best_params == {"maxDepth": 3}
 
 
+def test_comparison_flow_keeps_the_winner(spark, tmp_path):
+    rows = [(i, float(i % 2), float(i % 3) if i % 7 else None, None if i % 10 == 9 else i % 2) for i in range(300)]
+    spark.createDataFrame(rows, "id int, a double, b double, y int").write.saveAsTable("flow_raw")
+
+    def tree(names):
+        classifier = search.decision_tree("y", maxDepth=2)
+        return search.pipeline(feature_stages.assembler(names), classifier), [{}]
+
+    def flat(names):
+        classifier = search.decision_tree("y", maxDepth=0)
+        return search.pipeline(feature_stages.assembler(names), classifier), [{}]
+
+    sets = [search.FeatureSet("sum", {"a_and_b": F.col("a") + F.col("b")})]
+    path = str(tmp_path / "model")
+    tables = compare_prepared(spark, "flow_raw", "flow", "y", ["a", "b"], ["id"], {"tree": tree, "flat": flat}, sets, test_share=0.2, stratify=True, model_path=path, folds=2)
+    prepared = spark.table(tables["prepared"])
+    labels = {0: 150, 1: 120}  # rows without a label are the odd ones that end in 9
+    assert {(r["part"], r["y"]): r["count"] for r in prepared.groupBy("part", "y").count().collect()} == {
+        (part, y): (round(n * 0.2) if part == "test" else n - round(n * 0.2)) for y, n in labels.items() for part in ("train", "test")
+    }
+    assert prepared.filter("b IS NULL").count() == 0 and spark.table(tables["pairs"]).count() == 1
+    assert {r["model"]: (r["feature_set"], r["wins"]) for r in spark.table(tables["best"]).collect()} == {"tree": ("sum", True), "flat": ("sum", False)}
+    assert {r["model"]: r["accuracy"] for r in spark.table(tables["results"]).collect()}["tree"] == 1.0
+    test = sets[0].apply(prepared.filter("part = 'test'"))
+    assert PipelineModel.load(path).transform(test).filter("prediction <> y").count() == 0
+    with pytest.raises(ValueError, match="stratified"):
+        compare_prepared(spark, "flow_raw", "flow", "y", ["a"], ["id"], {}, [], share=F.lit(0.5), stratify=True)
+
+
 def test_choice_rules(spark):
     def choose(p, a, b):
         results = spark.createDataFrame([("production", p), ("max", a), ("product", b)], "model string, accuracy double")
