@@ -95,7 +95,8 @@ def marked_rows(df: DataFrame, label: str, wanted: Callable[[Column, Column], Co
     ).checkpoint()
     # a class's bound: all rows below it, and `_take` of the `_tied` rows at it
     of_class = col(label).eqNullSafe(F.col("_class"))
-    at_cut = df.select(col(label), share.alias("_share")).join(lookup_side(cuts), of_class).filter(F.floor(F.col("_share") * SLOTS) == F.col("_cut"))
+    hashed = df.select(col(label), share.alias("_share"), slot.alias("_slot"))
+    at_cut = hashed.join(lookup_side(cuts), of_class & (F.col("_slot") == F.col("_cut")))  # by slot as well, so a hot class is spread
     hashes = at_cut.groupBy("_class", "_share", "_cut", "_rest", "_size", "_largest").agg(F.count("*").alias("_tied"))
     below = F.sum("_tied").over(Window.partitionBy("_class").orderBy("_share")) - F.col("_tied")
     # the first hash is the bound if nothing is wanted of the slot
