@@ -17,7 +17,7 @@ from grainmill.operators.order_statistics import ranked_values
 from grainmill.session import checkpoint_folder
 
 HASH_RANGE = 1 << 52  # hash values stay exact as doubles
-SLOTS = 1 << 16  # parts of the hash range that are counted
+SLOTS = 1 << 12  # parts of the hash range that are counted: a task sends at most that many rows a class, a cut slot holds that share of a class
 
 
 def hash_share(key: Sequence[str], seed: int = 42) -> Column:
