@@ -13,7 +13,6 @@ import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -139,8 +138,14 @@ def _mean(ends: Sequence[float]) -> float:
 
 def _around_in(grid: Sequence[float], share: float) -> Pair:
     """Splitters on both sides of a share, out of evenly spaced ones."""
+    low, high = _around_at(share)
+    return grid[low], grid[high]
+
+
+def _around_at(share: float) -> tuple[int, int]:
+    """Their numbers."""
     low, high = _around(share)
-    return grid[math.floor(low * SPLITTERS)], grid[math.ceil(high * SPLITTERS)]
+    return math.floor(low * SPLITTERS), math.ceil(high * SPLITTERS)
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5, approx: bool = False) -> dict[str, tuple[float, float]]:
@@ -174,11 +179,9 @@ class _Interval:
     inside: int
     ranks: set[int] = field(default_factory=set)
 
-    def holds(self) -> Column:
-        tests = [self.value.isNotNull()]
-        tests += [self.value > F.lit(self.low)] if self.low is not None else []
-        tests += [self.value < F.lit(self.high)] if self.high is not None else []
-        return reduce(Column.__and__, tests)
+    def share(self, rank: int) -> float:
+        """Where a rank lies among the rows inside."""
+        return (rank - self.below + 0.5) / self.inside
 
 
 def _around(share: float) -> tuple[float, float]:
@@ -216,14 +219,44 @@ def _resolve(df: DataFrame, intervals: list[_Interval], sketched: dict[str, list
 
 
 def _sketch(df: DataFrame, intervals: list[_Interval]) -> dict[int, list[Pair]]:
-    """A pair of splitters around every rank of every interval."""
+    """A pair of splitters around every rank of every interval: whole columns by a sketch each, parts of columns by groups."""
+    whole = [i for i in intervals if i.low is None and i.high is None]
+    parts = [i for i in intervals if not (i.low is None and i.high is None)]
+    return _sketch_columns(df, whole) | _sketch_parts(df, parts)
+
+
+def _sketch_columns(df: DataFrame, intervals: list[_Interval]) -> dict[int, list[Pair]]:
     if not intervals:
         return {}
-    around = [[_around((r - i.below + 0.5) / i.inside) for r in sorted(i.ranks)] for i in intervals]
-    asked = [F.percentile_approx(F.when(i.holds(), i.value), _numbers([e for pair in pairs for e in pair], "double"), SKETCH_ACCURACY) for i, pairs in zip(intervals, around)]
+    around = [[_around(i.share(r)) for r in sorted(i.ranks)] for i in intervals]
+    asked = [F.percentile_approx(i.value, _numbers([e for pair in pairs for e in pair], "double"), SKETCH_ACCURACY) for i, pairs in zip(intervals, around)]
     return {id(i): list(zip(points[::2], points[1::2])) for i, points in zip(intervals, df.agg(*asked).first())}
 
 
+def _sketch_parts(df: DataFrame, intervals: list[_Interval]) -> dict[int, list[Pair]]:
+    """Sketches of disjoint parts of columns: a row is looked up once, whatever the number of parts, and feeds one sketch.
+
+    All groups share evenly spaced splitters, of which those around an interval's ranks are kept.
+    """
+    if not intervals:
+        return {}
+    scans: dict[str, _Scan] = {}
+    for i in intervals:
+        scans.setdefault(i.name, _Scan(i.value)).splitters.update(e for e in (i.low, i.high) if e is not None)
+    names, placed, width = _cells(df, scans)
+    points = {c: scans[c].points() for c in names}
+    at = {names.index(i.name) * width + 2 * (0 if i.low is None else bisect_right(points[i.name], i.low)): i for i in intervals}
+    numbers = sorted(at)
+    around = [[_around_at(at[n].share(r)) for r in sorted(at[n].ranks)] for n in numbers]
+    number = F.col("column") * width + F.col("cell")
+    kept = F.split(F.get(F.split(F.lit(";".join(",".join(str(e) for pair in pairs for e in pair) for pairs in around)), ";"), F.array_position(_numbers(numbers, "int"), F.col("number")).cast("int") - 1), ",")
+    steps = _numbers([k / SPLITTERS for k in range(SPLITTERS + 1)], "double")
+    inside = number.isin(numbers)  # no filter, which would move into the search and make its steps one expression
+    grids = placed.select(F.when(inside, number).alias("number"), F.when(inside, F.col("x")).alias("x")).groupBy("number").agg(F.percentile_approx("x", steps, SKETCH_ACCURACY).alias("grid"))
+    found = grids.select("number", F.transform(kept, lambda k: F.get(F.col("grid"), k.cast("int"))).alias("ends")).collect()  # one row an interval, and one of all other rows
+    return {id(at[number]): list(zip(ends[::2], ends[1::2])) for number, ends in found if number is not None}
+
+
 @dataclass
 class _Scan:
     """What one column is counted by, and the intervals whose values are read out."""
@@ -270,20 +303,25 @@ def _place(rows: DataFrame, points: Sequence[Sequence[float]]) -> DataFrame:
     return rows.withColumn("cell", 2 * F.col("below") + hit.cast("int")).drop("below")
 
 
+def _cells(df: DataFrame, scans: dict[str, _Scan]) -> tuple[list[str], DataFrame, int]:
+    """The scanned columns, `(column, x, cell)` of their values, and a number above every cell."""
+    names = list(scans)
+    points = [scans[c].points() for c in names]
+    values = df.select(F.posexplode(F.array(*[scans[c].value.cast("double") for c in names])).alias("column", "x")).filter("x IS NOT NULL")
+    return names, _place(values, points), 2 * max(len(p) for p in points) + 1
+
+
 def _tally(df: DataFrame, scans: dict[str, _Scan]) -> dict[str, dict[int, tuple[int, list]]]:
     """`{column: {cell: (rows, sorted (value, rows) pairs of a cell read out)}}` in one scan of the columns.
 
     Tasks combine their rows by cell; only values of cells to be read out keep their own rows, so the shuffle
     carries little else.
     """
-    names = list(scans)
-    points = [scans[c].points() for c in names]
-    values = df.select(F.posexplode(F.array(*[scans[c].value.cast("double") for c in names])).alias("column", "x")).filter("x IS NOT NULL")
-    width = 2 * max(len(p) for p in points) + 1
+    names, cells, width = _cells(df, scans)
     wanted = sorted(i * width + cell for i, c in enumerate(names) for cell in scans[c].cells_read())
     number = F.col("column") * width + F.col("cell")
     read = number.isin(wanted) if wanted else F.lit(False)
-    placed = _place(values, points).select("column", "cell", F.when(read, F.col("x")).alias("value"))
+    placed = cells.select("column", "cell", F.when(read, F.col("x")).alias("value"))
     counted = placed.groupBy("column", "cell", "value").agg(F.count("*").alias("n"))
     result: dict[str, dict[int, tuple[int, list]]] = {c: {} for c in names}
     for column, cell, value, n in counted.collect():  # one row per cell, and the values read out

@@ -30,6 +30,22 @@ def test_quantiles_are_exact_however_little_may_be_read(spark, hot, monkeypatch,
         np.testing.assert_allclose(found[c], hot[c].quantile(shares), rtol=1e-12)
 
 
+def test_one_sketch_narrows_any_number_of_parts(spark, hot, monkeypatch):
+    """Many ranks leave many parts of a column, which a row must not be compared with one by one."""
+    asked, sketch = [], F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda *args: asked.append(args) or sketch(*args))
+    monkeypatch.setattr(order_statistics, "MAX_VALUES", 50)
+    monkeypatch.setattr(order_statistics, "SMALL", 5)
+    monkeypatch.setattr(order_statistics, "SKETCH_ACCURACY", 100)
+    monkeypatch.setattr(order_statistics, "SPLITTERS", 20)
+    pdf = hot.assign(z=hot["x"] % 97)
+    shares = [(i - 0.5) / 99 for i in range(1, 100)]
+    found = order_statistics.quantiles(spark.createDataFrame(pdf), ["x", "z"], shares)
+    for c in ("x", "z"):
+        np.testing.assert_allclose(found[c], pdf[c].quantile(shares), rtol=1e-12)
+    assert 2 < len(asked) < 20
+
+
 def test_quantiles_of_empty_and_tiny_columns(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None), (4.0, None)], "a double, b double")
     assert order_statistics.medians(df, ["a", "b"]) == {"a": 2.5, "b": None}
