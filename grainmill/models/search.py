@@ -25,6 +25,10 @@ from grainmill.operators.sample import HASH_RANGE, with_fold
 from grainmill.session import checkpoint_folder
 
 
+DEALT_FROM = 100_000  # training rows from which they are dealt evenly over the cores
+PART_ROWS = 1_000_000  # most of them in one part, so that what a fit keeps of a part stays small
+
+
 def logistic_regression(label: str, features: str = "features", weight: str | None = None, max_iter: int = 10_000, **params) -> LogisticRegression:
     model = LogisticRegression(labelCol=label, featuresCol=features, maxIter=max_iter, **params)
     return model.setWeightCol(weight) if weight else model
@@ -94,11 +98,13 @@ def k_fold_search(
     Stages of a pipeline before the first one that a grid point changes are fitted and applied once a fold, and
     once on all rows for the best point; their result is kept for the fold's grid points, which fit the rest, up
     to `parallelism` at a time. `fold` names a column of the caller's own fold numbers (0 to `folds` - 1).
+    Every pass of a fit lasts as long as its largest part, so many rows are dealt evenly first.
     """
     checkpoint_folder(train.sparkSession)
     evaluator = evaluator or MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
     shared, rest = shared_stages(estimator, points)
     number = fold or "fold"
+    train = evenly(train)
     folded = train if fold is not None else with_fold(train, folds, key, seed, number)
     folded = folded.persist()  # read by every fit; spills to disk, rebuilt if an executor goes
     sums = [0.0] * len(points)
@@ -132,6 +138,12 @@ def k_fold_search(
     return Search(PipelineModel(stages) if isinstance(estimator, Pipeline) else stages[-1], means, shown, evaluator.isLargerBetter())
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """The rows in parts of one size, as many as there are cores or a multiple; few rows stay as they lie."""
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df if rows < DEALT_FROM else df.repartition(cores * math.ceil(rows / (cores * PART_ROWS)))
+
+
 def shared_stages(estimator: Estimator, points: list[dict]) -> tuple[list, list]:
     """The stages that no grid point changes, up to the first one that does, and the others; the last one is never shared."""
     if not isinstance(estimator, Pipeline):

@@ -247,6 +247,24 @@ def test_stages_before_the_grid_are_fitted_once_a_fold(spark, points):
     assert both[0] == both[1]
 
 
+def test_many_training_rows_are_dealt_evenly(spark, points, monkeypatch):
+    """Rows that lie in one part of four, with copies and a missing key, all reach the fits in parts of one size."""
+    monkeypatch.setattr(search, "DEALT_FROM", 400)
+    monkeypatch.setattr(search, "PART_ROWS", 40)
+    rows = points.unionAll(points).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), "a", "b", "label").coalesce(1)
+    skewed = rows.unionAll(spark.createDataFrame(rows.limit(0).rdd, rows.schema))
+    seen, needed = [], search._needed
+    monkeypatch.setattr(search, "_needed", lambda df, *args: seen.append(df) or needed(df, *args))
+    stages = search.pipeline(feature_stages.assembler(["a", "b"]), search.decision_tree("label", maxDepth=2))
+    found = search.k_fold_search(stages, [{}], skewed, "label", ["id"], folds=2)
+    assert len(seen) == 3 and found.scores[0] > 0.7
+    for df in seen:
+        sizes = [len(part) for part in df.select("a").rdd.glom().collect()]
+        assert len(sizes) == 16 and sum(sizes) == 480 and max(sizes) - min(sizes) <= 4
+    monkeypatch.setattr(search, "DEALT_FROM", 481)
+    assert search.evenly(skewed) is skewed
+
+
 def test_search_over_a_prepared_stage_and_a_single_classifier(spark, points):
     scaler, classifier = feature_stages.scaler(), search.decision_tree("label", maxDepth=2)
     stages = search.pipeline(feature_stages.assembler(["a", "b"], "raw_features"), scaler, classifier)
