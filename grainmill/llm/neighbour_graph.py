@@ -7,7 +7,9 @@ ones are compared with each other and with the old ones; every node keeps the be
 each block that compares it, not to each neighbour, and only pairs that better an end leave the task.
 
 A query starts at its node and follows the graph: the best nodes seen so far are asked for their neighbours until all
-of them have been asked. Messages between blocks are packed rows joined by block; a task holds the messages of one.
+of them have been asked. Neighbours come back to the query's block, which asks once for a node, and its vector goes
+once to each block that has a node it wants, however many nodes led there. Messages between blocks are packed rows
+joined by block; a task holds the messages of one.
 
 Products are in double precision of the components as they are stored, so near copies stay apart wherever their
 vectors do. The last bits of such products depend on the order of the sums: all of a pool that can be among the best
@@ -41,6 +43,8 @@ TREES = 4
 SETTLED = 0.02
 #: Pairs that are held before they are cut to the best of each node.
 HELD = 2_000_000
+#: Pairs of a query and a node it wants that are dealt to the nodes' blocks together.
+WANTED = 500_000
 
 
 def distinct_vectors(df: DataFrame, copies: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -244,7 +248,10 @@ MEMBERS, VECTORS = 1, 2
 
 
 def _backward(shape: Shape, reverse: int):
-    """A block's edges to the blocks that they lead to: the best to each node, new and old apart; `x` tells new ones (1) from old (0)."""
+    """A block's edges to the blocks that they lead to: the best to each node, new and old apart; `x` tells new ones (1) from old (0).
+
+    The best edge to a node is always among them, so the node's block knows of every block that needs its vector.
+    """
 
     def run(batches):
         for batch in batches:
@@ -254,12 +261,10 @@ def _backward(shape: Shape, reverse: int):
                 used = np.flatnonzero(new | ~fresh)
                 order = used[np.lexsort((a[used], -score[used], new[used], b[used]))]
                 rank = _ranks(b[order] * 2 + new[order])
-                near = rank < np.where(new[order], SAMPLE, reverse)
-                # a node may be far from the best of those that lead to it, but their block needs its vector all the same
-                flags = np.where(near, new[order] + 0.0, 2.0)
+                order = order[rank < np.where(new[order], SAMPLE, reverse)]
                 rows = []
                 for of, part in _by_block(shape.block, b[order]):
-                    rows.append(_message(of, MEMBERS, a[order][part], b[order][part], flags[part], score[order][part].astype("<f8").tobytes()))
+                    rows.append(_message(of, MEMBERS, a[order][part], b[order][part], new[order][part], score[order][part].astype("<f8").tobytes()))
                 yield from _table(rows).to_batches()
 
     return run
@@ -280,8 +285,7 @@ def _around(shape: Shape, reverse: int):
         from_, to, flag, cells = _read(back, MEMBERS)
         back_score = np.frombuffer(b"".join(cells), "<f8")
         # the best of all blocks that lead to a node
-        near = np.flatnonzero(flag < 2)
-        near = near[np.lexsort((from_[near], -back_score[near], flag[near], to[near]))]
+        near = np.lexsort((from_, -back_score, flag, to))
         near = near[_ranks(to[near] * 2 + flag[near].astype(np.int64)) < np.where(flag[near] == 1, SAMPLE, reverse)]
         v = np.concatenate((a[used], to[near], np.unique(a)))
         u = np.concatenate((b[used], from_[near], np.unique(a)))
@@ -419,26 +423,14 @@ def _state_row(block, a, b, score, asked) -> pa.Table:
 
 
 def _asking(shape: Shape, step: int):
-    """Each query's best nodes that were not asked, to the nodes' blocks: query and node, the query's floor, and once for a block its vector."""
+    """The best nodes of a block's queries that were not asked, to the nodes' blocks: each once, and the block that asks."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                a, b = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
-                score, asked = np.frombuffer(row["score"], "<f8"), np.frombuffer(row["asked"], "?")
-                at = _next(a, asked, step)
-                starts = np.flatnonzero(_ranks(a) == 0)
-                counts = np.diff(np.append(starts, len(a)))
-                floor = np.full(shape.block, -np.inf)
-                full = counts >= row["size"]
-                floor[a[starts[full]] - row["block"] * shape.block] = score[(starts + counts - 1)[full]]
-                vectors, rows = np.frombuffer(row["vecs"], shape.kind).reshape(-1, shape.width), []
-                for of, part in _by_block(shape.block, b[at]):
-                    queries = np.unique(a[at][part])
-                    local = queries - row["block"] * shape.block
-                    rows.append(_message(of, MEMBERS, a[at][part], b[at][part]))
-                    rows.append(_message(of, VECTORS, queries, None, floor[local], vectors[local].tobytes()))
-                yield from _table(rows).to_batches()
+                a, b, asked = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8"), np.frombuffer(row["asked"], "?")
+                nodes = np.unique(b[_next(a, asked, step)])
+                yield from _table([_message(of, MEMBERS, nodes[part], [row["block"]]) for of, part in _by_block(shape.block, nodes)]).to_batches()
 
     return run
 
@@ -449,63 +441,100 @@ def _next(a: np.ndarray, asked: np.ndarray, step: int) -> np.ndarray:
     return at[_ranks(a[at]) < step]
 
 
-def _unique_vectors(table: pa.Table, shape: Shape):
-    """Queries, their floors and vectors, each once."""
-    ids, _, floors, cells = _read(table, VECTORS)
-    x = np.frombuffer(b"".join(cells), shape.kind).reshape(-1, shape.width)
-    ids, first = np.unique(ids, return_index=True)
-    return ids, floors[first], x[first]
+def _spans(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places `first`, `first + 1`, ... of each run, one run after the other."""
+    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _answering(key, links, asked):
+    """A block's nodes that were asked to the block that asks: nodes, how many neighbours each has, and these."""
+    if not asked.num_rows or not links.num_rows:
+        return _table([])
+    row = links.to_pylist()[0]
+    a, b = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
+    rows = []
+    for cells in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist()):
+        nodes, to = (np.frombuffer(c, "<i8") for c in cells)
+        first = np.searchsorted(a, nodes, "left")
+        counts = np.searchsorted(a, nodes, "right") - first
+        rows.append(_message(to[0], MEMBERS, np.concatenate((nodes, counts)), b[_spans(first, counts)]))
+    return _table(rows)
 
 
-def _passing(shape: Shape):
-    """Questions to a block's nodes, to the blocks of their neighbours, each neighbour once for a query."""
+def _wanting(shape: Shape, pool: int, step: int):
+    """A block's queries and the neighbours of the nodes they asked to the blocks of those that are not in the pool yet.
 
-    def run(key, links, asked):
-        if not asked.num_rows or not links.num_rows:
+    A query goes once to such a block, with its vector and its floor. `a` holds queries and how many nodes each wants,
+    `b` these nodes by their places in the block, in four bytes.
+    """
+
+    def run(key, own, answers):
+        if not own.num_rows or not answers.num_rows:
             return _table([])
-        row = links.to_pylist()[0]
+        row = own.to_pylist()[0]
         a, b = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
-        query, node, _, _ = _read(asked.filter(pyarrow.compute.equal(asked.column("kind"), MEMBERS)))
-        ids, floors, vectors = _unique_vectors(asked, shape)
-        first, last = np.searchsorted(a, node, "left"), np.searchsorted(a, node, "right")
-        rows = []
-        order = np.argsort(query, kind="stable")
-        pairs = []
-        for part in np.split(order, np.flatnonzero(np.diff(query[order])) + 1):
-            found = np.unique(np.concatenate([b[s:e] for s, e in zip(first[part].tolist(), last[part].tolist())]))
-            pairs.append((np.full(len(found), query[part[0]]), found))
-        query, near = (np.concatenate(x) for x in zip(*pairs))
-        for of, part in _by_block(shape.block, near):
-            wanted = np.unique(query[part])
-            at = np.searchsorted(ids, wanted)
-            rows.append(_message(of, MEMBERS, query[part], near[part]))
-            rows.append(_message(of, VECTORS, wanted, None, floors[at], vectors[at].tobytes()))
+        score, asked = np.frombuffer(row["score"], "<f8"), np.frombuffer(row["asked"], "?")
+        start, vectors = row["block"] * shape.block, np.frombuffer(row["vecs"], shape.kind).reshape(-1, shape.width)
+        nodes, counts = (np.concatenate(x) for x in zip(*[np.split(np.frombuffer(c, "<i8"), 2) for c in answers.column("a").to_pylist()]))
+        near = np.frombuffer(b"".join(answers.column("b").to_pylist()), "<i8")
+        order = np.argsort(nodes)
+        nodes, counts, first = nodes[order], counts[order], (np.cumsum(counts) - counts)[order]
+        starts = np.flatnonzero(_ranks(a) == 0)
+        ends = np.append(starts[1:], len(a))
+        next_ = np.zeros(len(a), bool)
+        next_[_next(a, asked, step)] = True
+        held, size, rows = [], 0, []
+
+        def tell():
+            query, wanted = (np.concatenate(x) for x in zip(*held))
+            for of, part in _by_block(shape.block, wanted):
+                queries, many = np.unique(query[part], return_counts=True)
+                at = np.searchsorted(a[starts], queries)
+                floors = np.where(ends[at] - starts[at] >= pool, score[ends[at] - 1], -np.inf)
+                places = (wanted[part] - of * shape.block).astype("<i4").tobytes()
+                message = _message(of, VECTORS, np.concatenate((queries, many)), None, floors, vectors[queries - start].tobytes())
+                rows.append((*message[:3], places, *message[4:]))
+
+        for s, e in zip(starts.tolist(), ends.tolist()):
+            mine = b[s:e][next_[s:e]]
+            at = np.searchsorted(nodes, mine)
+            at = at[nodes[np.minimum(at, len(nodes) - 1)] == mine]
+            found = np.unique(near[_spans(first[at], counts[at])])
+            if not len(found):
+                continue
+            known = np.minimum(np.searchsorted(found, b[s:e]), len(found) - 1)
+            new = np.ones(len(found), bool)
+            new[known[found[known] == b[s:e]]] = False
+            held.append((np.full(int(new.sum()), a[s]), found[new]))
+            size += len(held[-1][1])
+            if size > WANTED:
+                tell()
+                held, size = [], 0
+        if held:
+            tell()
         return _table(rows)
 
     return run
 
 
 def _scoring(shape: Shape):
-    """Questions about a block's nodes to the products that beat the query's floor, for the queries' blocks."""
+    """Queries that want a block's nodes to the products that beat their floors, for the queries' blocks."""
 
-    def run(key, blocks, asked):
-        if not asked.num_rows or not blocks.num_rows:
+    def run(key, blocks, wanted):
+        if not wanted.num_rows or not blocks.num_rows:
             return _table([])
-        start = key[0].as_py() * shape.block
         own = np.frombuffer(blocks.column("vecs")[0].as_py(), shape.kind).reshape(-1, shape.width).astype(np.float64)
-        query, node, _, _ = _read(asked.filter(pyarrow.compute.equal(asked.column("kind"), MEMBERS)))
-        ids, floors, vectors = _unique_vectors(asked, shape)
-        order = np.lexsort((node, query))
-        order = order[np.append(True, (query[order][1:] != query[order][:-1]) | (node[order][1:] != node[order][:-1]))[: len(order)]]
-        query, node = query[order], node[order]
-        found = []
-        for part in np.split(np.arange(len(query)), np.flatnonzero(np.diff(query)) + 1):
-            at = int(np.searchsorted(ids, query[part[0]]))
-            score = own[node[part] - start] @ vectors[at].astype(np.float64)
-            good = part[score > floors[at]]
-            found.append((query[good], node[good], score[score > floors[at]]))
-        a, b, score = (np.concatenate(x) for x in zip(*found))
-        return _table([_message(of, 0, a[part], b[part], score[part]) for of, part in _by_block(shape.block, a)])
+        start, rows = key[0].as_py() * shape.block, []
+        for batch in wanted.to_batches(max_chunksize=1):
+            cells = {c: batch.column(c)[0].as_py() for c in ("a", "b", "x", "vec")}
+            queries, counts = np.split(np.frombuffer(cells["a"], "<i8"), 2)
+            places, floors = np.frombuffer(cells["b"], "<i4"), np.frombuffer(cells["x"], "<f8")
+            vectors = shape.vectors([cells["vec"]]).astype(np.float64)
+            score = np.concatenate([own[part] @ v for part, v in zip(np.split(places, np.cumsum(counts)[:-1]), vectors)])
+            good = score > np.repeat(floors, counts)
+            if good.any():
+                rows.append(_message(queries[0] // shape.block, 0, np.repeat(queries, counts)[good], places[good] + start, score[good]))
+        return _table(rows)
 
     return run
 
@@ -515,14 +544,19 @@ def _pooled(pool: int, step: int):
 
     def run(key, old, found):
         row = old.to_pylist()[0]
-        a0, b0 = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
-        score0, asked0 = np.frombuffer(row["score"], "<f8"), np.frombuffer(row["asked"], "?").copy()
-        asked0[_next(a0, asked0, step)] = True
-        a, b, score, _ = _read(found)
-        a, b, score, asked = _top(
-            np.concatenate((a0, a)), np.concatenate((b0, b)), np.concatenate((score0, score)), pool, np.concatenate((asked0, np.zeros(len(a), bool)))
-        )
-        return _state_row(key[0].as_py(), a, b, score, asked)
+        a, b = np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8")
+        score, asked = np.frombuffer(row["score"], "<f8"), np.frombuffer(row["asked"], "?").copy()
+        asked[_next(a, asked, step)] = True
+        best, held, size = (a, b, score, asked), [], 0
+        for batch in found.to_batches(max_chunksize=1):
+            new = [np.frombuffer(batch.column(c)[0].as_py(), t) for c, t in (("a", "<i8"), ("b", "<i8"), ("x", "<f8"))]
+            held.append((*new, np.zeros(len(new[0]), bool)))
+            size += len(new[0])
+            if size > HELD:
+                a, b, score, asked = (np.concatenate(x) for x in zip(best, *held))
+                best, held, size = _top(a, b, score, pool, asked), [], 0
+        a, b, score, asked = (np.concatenate(x) for x in zip(best, *held))
+        return _state_row(key[0].as_py(), *_top(a, b, score, pool, asked))
 
     return run
 
@@ -539,10 +573,10 @@ def search(graph: DataFrame, blocks: DataFrame, queries: DataFrame, shape: Shape
     cut = queries.select(F.expr(f"place div {shape.block}").alias("block"), "place")
     state = stored(cut.groupBy("block").applyInArrow(begin, STATE), "pool")
     while (state.agg(F.sum("waiting")).first()[0] or 0) > 0:
-        with_vectors = state.join(blocks, "block").withColumn("size", F.lit(pool))
-        asked = with_vectors.mapInArrow(_asking(shape, step), MESSAGE)
-        passed = links.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_passing(shape), MESSAGE)
-        hits = blocks.groupBy("block").cogroup(passed.groupBy("block")).applyInArrow(_scoring(shape), MESSAGE)
+        asked = state.mapInArrow(_asking(shape, step), MESSAGE)
+        answers = links.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_answering, MESSAGE)
+        wanted = state.join(blocks, "block").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_wanting(shape, pool, step), MESSAGE)
+        hits = blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_scoring(shape), MESSAGE)
         turned = stored(state.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(_pooled(pool, step), STATE), "pool")
         forget(state)
         state = turned

@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from grainmill.llm import neighbour_graph as module
 from grainmill.llm.catalog import QUERIES
-from grainmill.llm.neighbour_graph import Shape, _blocks, _edges, _nodes, _top, distinct_vectors, nearest, neighbour_graph
+from grainmill.llm.neighbour_graph import Shape, _backward, _blocks, _edges, _graph_row, _nodes, _top, distinct_vectors, nearest, neighbour_graph
 from grainmill.llm.staging import stored
 
 SCHEMA = "vec_id long, embedding array<float>, score string, a int"
@@ -67,6 +68,65 @@ def test_small_blocks_and_double_precision(frame):
         check(nearest(df, "id % 20 = 0", block=64).collect(), plain(made, 20, 20), 0.97)
 
 
+def test_a_query_goes_once_to_a_block(frame, monkeypatch):
+    """However many blocks have nodes that led there; before, each of them sent the query's vector."""
+    rng = np.random.default_rng(5)
+    made = [(i, v, "x", 1) for i, v in enumerate(rng.standard_normal((400, 8)).astype(np.float32).astype(float).tolist())]
+    want, scoring = plain(made, 20, 20), module._scoring
+
+    def counted(shape):
+        score, most = scoring(shape), len(want)
+
+        def run(key, blocks, wanted):
+            sent = sum(len(c) for c in wanted.column("vec").to_pylist() if c is not None) // (4 * shape.width)
+            if sent > most:
+                raise ValueError(f"{sent} vectors of {most} queries came to a block")
+            return score(key, blocks, wanted)
+
+        return run
+
+    monkeypatch.setattr(module, "_scoring", counted)
+    check(nearest(frame(made, SCHEMA), "id % 20 = 0", block=50).collect(), want, 0.97)
+
+
+def test_slices_of_wanted_and_found_pairs(monkeypatch):
+    """Pairs that go out and come back in many slices are the same pairs, and none is in the pool already."""
+    rng = np.random.default_rng(6)
+    shape, pool, key = Shape(4, "<f4", 50, 8), 12, [pa.scalar(0)]
+    a, b = np.repeat(np.arange(0, 40, 2), 9), np.concatenate([np.sort(rng.choice(300, 9, replace=False)) for _ in range(20)])
+    state = module._state_row(0, *_top(a, b, rng.random(180), pool, rng.random(180) < 0.5))
+    own = state.append_column("vecs", pa.array([rng.standard_normal((50, 4)).astype("<f4").tobytes()]))
+    lists = {of: [np.sort(rng.choice(300, rng.integers(0, 9), replace=False)) for _ in range(50)] for of in range(6)}
+    told = [(np.concatenate((np.arange(50) + 50 * of, [len(x) for x in near])), np.concatenate(near)) for of, near in lists.items()]
+    answers = module._table([module._message(0, 1, *cells) for cells in told])
+    row, asked, want = state.to_pylist()[0], {}, set()
+    for q, node, was in zip(*(np.frombuffer(row[c], t).tolist() for c, t in (("a", "<i8"), ("b", "<i8"), ("asked", "?")))):
+        asked.setdefault(q, set()).add(node)
+        if not was:
+            want |= {(q, int(x)) for x in lists[node // 50][node % 50]}
+    for most in (10, 10**6):
+        monkeypatch.setattr(module, "WANTED", most)
+        monkeypatch.setattr(module, "HELD", most)
+        pairs = []
+        for r in module._wanting(shape, pool, 100)(key, own, answers).to_pylist():
+            queries, counts = np.split(np.frombuffer(r["a"], "<i8"), 2)
+            pairs += zip(np.repeat(queries, counts).tolist(), (np.frombuffer(r["b"], "<i4") + r["block"] * 50).tolist())
+        assert len(set(pairs)) == len(pairs) and set(pairs) == {(q, x) for q, x in want if x not in asked[q]}
+        parts = [[(q, x, (q * 7 + x * 13) % 101 / 101) for q, x in sorted(pairs)[k::20]] for k in range(20)]
+        found = module._table([module._message(0, 0, *zip(*part)) for part in parts])
+        turned = module._pooled(pool, 100)(key, state, found).to_pylist()
+        assert most == 10 or turned == before
+        before = turned
+
+
+def test_edges_to_a_hub():
+    """A block tells a node's block of the best edges to it only, however many lead there."""
+    a = np.arange(1, 101)
+    rows = _graph_row(0, a, np.zeros(100), a / 100, np.arange(100) < 40, 0).to_batches()
+    told = [r for batch in _backward(Shape(4, "<f4", 200, 32), 24)(rows) for r in batch.to_pylist()]
+    assert [np.frombuffer(r["a"], "<i8").tolist() for r in told] == [[*range(100, 76, -1), *range(40, 24, -1)]]
+
+
 def test_few_and_no_vectors(frame):
     few = [(0, [1.0, 2.0], "", 1), (3, [2.0, 1.0], "", 1), (10, [-1.0, 0.5], "", 1)]
     check(nearest(frame(few, SCHEMA), "id % 10 = 0").collect(), plain(few, 10, 20), 1)
